@@ -59,8 +59,8 @@ def clean_emissions(
         .select(
             canonical(F.col("Country"), aliases).alias("country"),
             to_year(raw, "Year").alias("year"),
-            to_double("Total").alias("total"),
-            to_double("Per Capita").alias("per_capita"),
+            to_double(raw, "Total").alias("total"),
+            to_double(raw, "Per Capita").alias("per_capita"),
         )
     )
 
@@ -85,7 +85,7 @@ def clean_generation(
             named("Type").alias("type"),
             named("UN Region English").alias("region"),
             named("Unit").alias("unit"),
-            normalised(named("Unit"), to_double("Values"), divisors).alias("value"),
+            normalised(named("Unit"), to_double(trimmed, "Values"), divisors).alias("value"),
         )
         .na.drop()
     )
@@ -110,7 +110,7 @@ def clean_investment(
         kept = kept.filter(named("Technology") == technology)
     country = canonical(named("Country/Area"), aliases)
     if keep_raw:
-        panel = kept.withColumns({"Country": country, "TotalFinanceFlow": to_double(AMOUNT_COLUMN)})
+        panel = kept.withColumns({"Country": country, "TotalFinanceFlow": to_double(raw, AMOUNT_COLUMN)})
         key = "Country"
     else:
         key = "country"
@@ -119,7 +119,7 @@ def clean_investment(
             to_year(raw, "Year").alias("year"),
             named("Technology").alias("technology"),
             named("Region").alias("region"),
-            to_double(AMOUNT_COLUMN).alias("amount"),
+            to_double(raw, AMOUNT_COLUMN).alias("amount"),
         )
     return panel if countries is None else in_countries(panel, countries, key)
 

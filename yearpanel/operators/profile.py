@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yearpanel.functions.coerce import blank, named, quoted, to_double
+from yearpanel.functions.coerce import blank, is_text, named, quoted, to_double
 
 
 def _one_row_per_column(wide: DataFrame, keys: Sequence[str], rows: Sequence[Column]) -> DataFrame:
@@ -75,41 +75,49 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     return reduce(DataFrame.unionAll, branches)
 
 
-def summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def summary(df: DataFrame, by: Sequence[str] = (), columns_per_pass: int = 8) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of numeric and text columns, per group.
 
     Text columns get the mean and deviation of their cells that are numbers, and their smallest
     and largest text in ``min_text`` and ``max_text``; other columns use ``min`` and ``max``.
-    One scan; all aggregates combine on the map side.
+    All aggregates combine on the map side. A wide table is taken ``columns_per_pass`` columns at
+    a time, in one job, because generated code for too many aggregates is not compiled by the JVM.
     """
     profiled = [
         field.name
         for field in df.schema.fields
         if field.name not in by and isinstance(field.dataType, (T.NumericType, T.StringType))
     ]
+    passes = [
+        _summary_of(df, by, profiled[start : start + columns_per_pass])
+        for start in range(0, len(profiled), columns_per_pass)
+    ]
+    return reduce(DataFrame.unionAll, passes)
+
+
+def _summary_of(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     aggregates, rows = [], []
-    for i, name in enumerate(profiled):
-        number = to_double(name)
-        text = isinstance(df.schema[name].dataType, T.StringType)
+    for i, name in enumerate(columns):
+        text = is_text(df, name)
+        number = to_double(df, name, mostly_numbers=False) if text else named(name)
         aggregates += [
             F.count(named(name)).alias(f"count{i}"),
             F.avg(number).alias(f"mean{i}"),
             F.stddev_samp(number).alias(f"stddev{i}"),
-            F.min(named(name) if text else number).alias(f"min{i}"),
-            F.max(named(name) if text else number).alias(f"max{i}"),
+            F.min(named(name)).alias(f"min{i}"),
+            F.max(named(name)).alias(f"max{i}"),
         ]
-        none, value_type = F.lit(None), "string" if text else "double"
-        low, high = F.col(f"min{i}").cast(value_type), F.col(f"max{i}").cast(value_type)
+        none, low, high = F.lit(None), F.col(f"min{i}"), F.col(f"max{i}")
         rows.append(
             F.struct(
                 F.lit(name).alias("column"),
                 F.col(f"count{i}").alias("count"),
-                F.col(f"mean{i}").alias("mean"),
+                F.col(f"mean{i}").cast("double").alias("mean"),
                 F.col(f"stddev{i}").alias("stddev"),
-                (none.cast("double") if text else low).alias("min"),
-                (none.cast("double") if text else high).alias("max"),
-                (low if text else none.cast("string")).alias("min_text"),
-                (high if text else none.cast("string")).alias("max_text"),
+                (none if text else low).cast("double").alias("min"),
+                (none if text else high).cast("double").alias("max"),
+                (low if text else none).cast("string").alias("min_text"),
+                (high if text else none).cast("string").alias("max_text"),
             )
         )
     wide = df.groupBy(*[named(key) for key in by]).agg(*aggregates)
