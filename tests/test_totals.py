@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from yearpanel.functions.stats import half_up
+from yearpanel.operators import totals, trend
+from yearpanel.plans import reports
+
+SCHEMA = "country string, year int, total double"
+
+
+def emissions(spark, *records):
+    return spark.createDataFrame(list(records), SCHEMA)
+
+
+def test_totals_ignore_nulls_and_round_on_request(spark):
+    df = emissions(spark, ("a", 1, 1.005), ("a", 1, None), ("b", 1, None), ("a", 2, 2.0))
+    assert rows(totals.totals(df, ["country"], "total", "sum")) == [("a", 3.005), ("b", None)]
+    assert rows(totals.totals(df, ["country"], "total", digits=2)) == [("a", 3.01), ("b", None)]
+    largest = totals.totals(df, ["country"], "total", how=F.max)
+    assert rows(largest) == [("a", 2.0), ("b", None)]
+
+
+def test_rounding_does_not_depend_on_the_order_of_addition(spark):
+    values = [0.005] * 3 + [0.1] * 7 + [1e6 + 0.29]
+    found = set()
+    for seed in range(5):
+        random.Random(seed).shuffle(values)
+        df = emissions(spark, *[("a", 1, value) for value in values]).coalesce(1)
+        found.add(totals.totals(df, ["country"], "total", digits=2).first().total)
+    assert found == {1000001.01}
+
+
+def test_half_up_keeps_values_outside_the_decimal_range(spark):
+    df = spark.createDataFrame([(1e300,), (-2.345,), (None,)], "v double")
+    assert rows(df.select(half_up(F.col("v"), 2).alias("v"))) == [(None,), (-2.35,), (1e300,)]
+
+
+def test_rankings(spark):
+    df = emissions(spark, ("a", 1, 5.0), ("b", 1, 5.0), ("c", 1, 9.0), ("d", 1, None))
+    assert [r.country for r in reports.top_emitters(df, 3).collect()] == ["c", "a", "b"]
+    assert [r.country for r in reports.bottom_emitters(df, 3).collect()] == ["d", "a", "b"]
+
+
+def test_rankings_do_not_sort_everything(spark):
+    plan = reports.top_emitters(emissions(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_largest_record_is_not_the_largest_total(spark):
+    df = spark.createDataFrame(
+        [("a", 6.0), ("a", 6.0), ("b", 7.0)], "country string, value double"
+    )
+    assert [tuple(r) for r in reports.top_largest_records(df, 1).collect()] == [("b", 7.0)]
+
+
+def test_slopes_of_degenerate_groups(spark):
+    df = emissions(
+        spark,
+        *[("up", year, 2.0 * year) for year in range(2000, 2004)],
+        *[("down", year, -1.0 * year) for year in range(2000, 2004)],
+        *[("flat", year, 5.0) for year in range(2000, 2004)],
+        ("single", 2000, 3.0),
+        ("unreadable", 2000, None),
+    )
+    found = dict(rows(trend.slopes(df, "total")))
+    assert found == pytest.approx(
+        {"up": 2.0, "down": -1.0, "flat": 0.0, "single": 0.0, "unreadable": 0.0}
+    )
+    assert [r.country for r in trend.fastest_growing(df, "total").collect()] == ["up"]
+
+
+def test_slopes_equal_a_fit_per_country(spark):
+    rng = random.Random(7)
+    records = [(c, y, rng.uniform(0, 1e6)) for c in "abc" for y in range(2000, 2012) for _ in "xy"]
+    df = emissions(spark, *records)
+    found = dict(rows(trend.slopes(df, "total")))
+    yearly = df.groupBy("country", "year").agg(F.sum("total").alias("total"))
+    vectors = VectorAssembler(inputCols=["year"], outputCol="features").transform(yearly)
+    for country in "abc":
+        model = LinearRegression(labelCol="total").fit(vectors.filter(F.col("country") == country))
+        assert found[country] == pytest.approx(model.coefficients[0], rel=1e-6)

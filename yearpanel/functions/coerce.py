@@ -28,23 +28,18 @@ def is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def to_double(df: DataFrame, name: str, mostly_numbers: bool = True) -> Column:
-    """Double value of a column; text that is no number becomes null.
+def to_double(name: str) -> Column:
+    """Double value of a column; text that is no number becomes null."""
+    return named(name).try_cast("double")
+
+
+def number_in_text(name: str) -> Column:
+    """The same for a text column in which numbers may be rare.
 
     A failed ``try_cast`` costs about twenty times a successful one, because the parser throws
-    inside. Text is therefore screened by its first character, and if numbers are the exception,
-    as in a profile of free text, by its form as well. The result is that of ``try_cast`` alone.
+    inside. Here the form of the text is tested first.
     """
-    value = named(name)
-    if not is_text(df, name):
-        return value.cast("double")
-    first = F.ascii(value)
-    # Blank or control characters, and those from the plus sign to the digit nine.
-    numeric_start = first.between(1, 32) | first.between(ord("+"), ord("9"))
-    special = F.lower(F.trim(value)).isin(SPECIAL_NUMBERS)
-    if not mostly_numbers:
-        numeric_start &= value.rlike(NUMBER_TEXT)
-    return F.when(numeric_start | special, value.try_cast("double"))
+    return F.when(named(name).rlike(NUMBER_TEXT), to_double(name))
 
 
 def to_year(df: DataFrame, name: str) -> Column:
@@ -54,7 +49,7 @@ def to_year(df: DataFrame, name: str) -> Column:
     """
     if isinstance(df.schema[name].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
         return named(name)
-    return to_double(df, name).try_cast("int")
+    return to_double(name).try_cast("int")
 
 
 def blank(df: DataFrame, name: str) -> Column:

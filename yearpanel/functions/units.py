@@ -17,10 +17,8 @@ GWH_DIVISORS = {
 
 def normalised(unit: Column, value: Column, divisors: Mapping[str, float] = GWH_DIVISORS) -> Column:
     """``value`` divided by its unit's divisor; a unit not listed leaves it unchanged."""
-    scaled = None
-    for name, divisor in divisors.items():
-        if divisor == 1.0:
-            continue
-        condition, result = unit == name, value / F.lit(divisor)
-        scaled = F.when(condition, result) if scaled is None else scaled.when(condition, result)
-    return value if scaled is None else scaled.otherwise(value)
+    divisor = F.lit(1.0)
+    for name, number in divisors.items():
+        if number != 1.0:
+            divisor = F.when(unit == name, F.lit(number)).otherwise(divisor)
+    return value / divisor

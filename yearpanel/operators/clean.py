@@ -59,8 +59,8 @@ def clean_emissions(
         .select(
             canonical(F.col("Country"), aliases).alias("country"),
             to_year(raw, "Year").alias("year"),
-            to_double(raw, "Total").alias("total"),
-            to_double(raw, "Per Capita").alias("per_capita"),
+            to_double("Total").alias("total"),
+            to_double("Per Capita").alias("per_capita"),
         )
     )
 
@@ -76,8 +76,10 @@ def clean_generation(
     A row with a missing cell goes, and so does one whose figure is no number.
     """
     trimmed = trimmed_headers(raw)
+    texts = [name for name in GENERATION_COLUMNS if name != "Values"]
     return (
         trimmed.filter(to_year(trimmed, "Years").between(*years))
+        .na.drop(subset=texts)
         .select(
             canonical(named("IRENA Menu Label"), aliases).alias("country"),
             to_year(trimmed, "Years").alias("year"),
@@ -85,9 +87,9 @@ def clean_generation(
             named("Type").alias("type"),
             named("UN Region English").alias("region"),
             named("Unit").alias("unit"),
-            normalised(named("Unit"), to_double(trimmed, "Values"), divisors).alias("value"),
+            normalised(named("Unit"), to_double("Values"), divisors).alias("value"),
         )
-        .na.drop()
+        .na.drop(subset=["value"])
     )
 
 
@@ -110,7 +112,7 @@ def clean_investment(
         kept = kept.filter(named("Technology") == technology)
     country = canonical(named("Country/Area"), aliases)
     if keep_raw:
-        panel = kept.withColumns({"Country": country, "TotalFinanceFlow": to_double(raw, AMOUNT_COLUMN)})
+        panel = kept.withColumns({"Country": country, "TotalFinanceFlow": to_double(AMOUNT_COLUMN)})
         key = "Country"
     else:
         key = "country"
@@ -119,7 +121,7 @@ def clean_investment(
             to_year(raw, "Year").alias("year"),
             named("Technology").alias("technology"),
             named("Region").alias("region"),
-            to_double(raw, AMOUNT_COLUMN).alias("amount"),
+            to_double(AMOUNT_COLUMN).alias("amount"),
         )
     return panel if countries is None else in_countries(panel, countries, key)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yearpanel.functions.coerce import blank, is_text, named, quoted, to_double
+from yearpanel.functions.coerce import blank, is_text, named, number_in_text, quoted
 
 
 def _one_row_per_column(wide: DataFrame, keys: Sequence[str], rows: Sequence[Column]) -> DataFrame:
@@ -75,7 +75,7 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     return reduce(DataFrame.unionAll, branches)
 
 
-def summary(df: DataFrame, by: Sequence[str] = (), columns_per_pass: int = 8) -> DataFrame:
+def summary(df: DataFrame, by: Sequence[str] = (), columns_per_pass: int = 4) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of numeric and text columns, per group.
 
     Text columns get the mean and deviation of their cells that are numbers, and their smallest
@@ -99,7 +99,7 @@ def _summary_of(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Dat
     aggregates, rows = [], []
     for i, name in enumerate(columns):
         text = is_text(df, name)
-        number = to_double(df, name, mostly_numbers=False) if text else named(name)
+        number = number_in_text(name) if text else named(name)
         aggregates += [
             F.count(named(name)).alias(f"count{i}"),
             F.avg(number).alias(f"mean{i}"),

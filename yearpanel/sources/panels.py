@@ -12,10 +12,12 @@ row per task. There are too few orders per customer and year for that to pay.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yearpanel.functions.units import normalised
 
@@ -23,8 +25,15 @@ GENERATION = ["country", "year", "technology", "type", "region", "unit", "value"
 SUPPLY_INVESTMENT = ["country", "year", "technology", "region", "amount"]
 
 
+@functools.cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Read from a file footer once per session, as several queries use the same tables."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _in_years(df: DataFrame, date: str, years: tuple[int, int] | None) -> DataFrame:
