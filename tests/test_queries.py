@@ -69,7 +69,7 @@ def plan_of(spark, sf_dir, name):
 LAZY = [
     name
     for name in QUERIES
-    if not name.startswith(("csv_", "ml_within", "ml_impact", "ml_predictions"))
+    if not name.startswith(("csv_", "ml_within", "ml_impact", "ml_predictions", "profile_summary", "profile_distinct"))
 ]
 
 

@@ -93,20 +93,26 @@ def csv_lag_folders(spark, sf):
 # Profile
 
 
-def profiles(label: str, raw: Query) -> dict[str, Query]:
-    """The profile of one raw table. Distinct counts read a columnar copy column by column."""
+def profiles(suffix: str, raw: Query) -> dict[str, Query]:
+    """The profile of one raw table.
+
+    The raw tables are joins, and the summary and the distinct counts read their input several
+    times, a few columns each. They therefore work on a columnar copy.
+    """
+
+    def copy(spark, sf):
+        return materialise(raw(spark, sf), "profile")
+
     return {
-        f"profile_schema_{label}": lambda spark, sf: profile.schema_rows(raw(spark, sf)),
-        f"profile_sample_{label}": lambda spark, sf: profile.sample(
+        f"profile_schema{suffix}": lambda spark, sf: profile.schema_rows(raw(spark, sf)),
+        f"profile_sample{suffix}": lambda spark, sf: profile.sample(
             raw(spark, sf), 25, raw(spark, sf).columns
         ),
-        f"profile_summary_{label}": lambda spark, sf: rounded(
-            profile.summary(raw(spark, sf)), 4, "mean", "stddev"
-        ),
-        f"profile_nulls_{label}": lambda spark, sf: profile.blank_counts(raw(spark, sf)),
-        f"profile_distinct_{label}": lambda spark, sf: profile.distinct_counts(
-            materialise(raw(spark, sf), "profile")
+        f"profile_summary{suffix}": lambda spark, sf: rounded(
+            profile.summary(copy(spark, sf)), 4, "mean", "stddev"
         ),
+        f"profile_nulls{suffix}": lambda spark, sf: profile.blank_counts(raw(spark, sf)),
+        f"profile_distinct{suffix}": lambda spark, sf: profile.distinct_counts(copy(spark, sf)),
     }
 
 
@@ -117,23 +123,25 @@ def line_items(spark, sf):
 # Names
 
 
+def raw_names(spark, sf):
+    """Rows per raw name: names are counted before they are looked up."""
+    raw = panels.raw_emissions(spark, sf).groupBy(F.col("Country").alias("raw_name"))
+    return raw.agg(F.count(F.lit(1)).alias("rows")).withColumn("country", F.col("raw_name"))
+
+
 def harmonise_country(spark, sf):
     """Raw names, their common names and their rows."""
-    raw = panels.raw_emissions(spark, sf).groupBy(F.col("Country").alias("raw_name"))
-    counted = raw.agg(F.count(F.lit(1)).alias("rows"))
-    named = counted.withColumn("country", F.col("raw_name"))
-    return names.harmonise(named, panels.RAW_ALIASES)
+    return names.harmonise(raw_names(spark, sf), panels.RAW_ALIASES)
 
 
 def harmonise_country_table(spark, sf):
-    """The same with the aliases in a frame: the nations that the raw table renames."""
-    nation = panels.table(spark, sf, "nation")
+    """Rows per common name with the aliases in a frame: a former name of every nation."""
     common = F.lower("n_name")
-    aliases = nation.select(
+    aliases = panels.table(spark, sf, "nation").select(
         F.concat(common, F.lit(" (formerly x)")).alias("alias"), common.alias("canonical")
     )
-    raw = panels.raw_emissions(spark, sf).select(F.col("Country").alias("country"))
-    return names.harmonise(raw, aliases).groupBy("country").agg(F.count(F.lit(1)).alias("rows"))
+    harmonised = names.harmonise(raw_names(spark, sf), aliases)
+    return harmonised.groupBy("country").agg(F.sum("rows").alias("rows"))
 
 
 def country_mismatch(spark, sf):
@@ -218,9 +226,9 @@ QUERIES: dict[str, Query] = {
     "csv_single_file_report": csv_single_file_report,
     "csv_lag_folders": csv_lag_folders,
     # Profile
-    **profiles("emissions", panels.raw_emissions),
-    **profiles("generation", panels.raw_generation),
-    **profiles("investment", panels.raw_investment),
+    **profiles("", panels.raw_investment),
+    **profiles("_emissions", panels.raw_emissions),
+    **profiles("_generation", panels.raw_generation),
     "profile_summary_lineitem": lambda spark, sf: rounded(
         profile.summary(line_items(spark, sf)), 3, "mean", "stddev"
     ),

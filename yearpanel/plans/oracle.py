@@ -132,8 +132,9 @@ def unpivoted(source: str, columns: list[str], query: str) -> str:
     )
 
 
-def raw_profiles(label: str, cte: str, columns: list[str]) -> dict[str, str]:
-    source = f"raw_{label}"
+def raw_profiles(
+    suffix: str, source: str, cte: str, columns: list[str]
+) -> dict[str, str]:
     order = ", ".join(f'"{name}" NULLS FIRST' for name in columns)
     schema = (
         "SELECT {position} AS position, '{name}' AS \"column\", 'string' AS type, "
@@ -151,11 +152,11 @@ def raw_profiles(label: str, cte: str, columns: list[str]) -> dict[str, str]:
         "count(*) FILTER ({column} IS NULL OR {column} = '') AS blank_values FROM {source}"
     )
     return {
-        f"profile_schema_{label}": f"WITH {cte} {unpivoted(source, columns, schema)}",
-        f"profile_sample_{label}": f"WITH {cte} SELECT * FROM {source} ORDER BY {order} LIMIT 25",
-        f"profile_summary_{label}": f"WITH {cte} {unpivoted(source, columns, numbers)}",
-        f"profile_nulls_{label}": f"WITH {cte} {unpivoted(source, columns, nulls)}",
-        f"profile_distinct_{label}": f"WITH {cte} {unpivoted(source, columns, DISTINCT)}",
+        f"profile_schema{suffix}": f"WITH {cte} {unpivoted(source, columns, schema)}",
+        f"profile_sample{suffix}": f"WITH {cte} SELECT * FROM {source} ORDER BY {order} LIMIT 25",
+        f"profile_summary{suffix}": f"WITH {cte} {unpivoted(source, columns, numbers)}",
+        f"profile_nulls{suffix}": f"WITH {cte} {unpivoted(source, columns, nulls)}",
+        f"profile_distinct{suffix}": f"WITH {cte} {unpivoted(source, columns, DISTINCT)}",
     }
 
 
@@ -342,9 +343,12 @@ ORACLES: dict[str, str] = {
     "csv_single_file_report": f"""WITH {EMISSIONS}
 SELECT year, {half_up("sum(total)")} AS total FROM emissions GROUP BY year""",
     "csv_lag_folders": f"WITH {GENERATION_LAGS} {ROUNDED_GENERATION_LAGS}",
-    **raw_profiles("emissions", RAW_EMISSIONS, ["Year", "Country", "Total", "Per Capita"]),
     **raw_profiles(
-        "generation",
+        "_emissions", "raw_emissions", RAW_EMISSIONS, ["Year", "Country", "Total", "Per Capita"]
+    ),
+    **raw_profiles(
+        "_generation",
+        "raw_generation",
         RAW_GENERATION,
         [
             " Years ",
@@ -357,7 +361,8 @@ SELECT year, {half_up("sum(total)")} AS total FROM emissions GROUP BY year""",
         ],
     ),
     **raw_profiles(
-        "investment",
+        "",
+        "raw_investment",
         RAW_INVESTMENT,
         ["Country/Area", "Year", "Amount (2020 USD million)", "Technology", "Region", "Status"],
     ),
