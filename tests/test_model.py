@@ -71,7 +71,7 @@ def test_reduced_frame_does_not_grow_with_the_pairs(panels):
 
 
 def test_fit_and_rmse_equal_least_squares_on_all_pairs(panels):
-    fitted, held_out = reports.fit_investment_impact(*panels)
+    fitted, held_out = reports.fit_investment_impact(model.training_frame(*panels))
     training, test = all_pairs(panels, True), all_pairs(panels, False)
     solution, *_ = np.linalg.lstsq(design(training), training.value, rcond=None)
     expected = np.sqrt(np.mean((test.value - design(test) @ solution) ** 2))

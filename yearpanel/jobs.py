@@ -1,9 +1,4 @@
-"""The studies as Spark jobs, from raw files to CSV reports.
-
-    spark-submit yearpanel/jobs.py emissions --emissions E.csv --generation G.csv --out DIR
-    spark-submit yearpanel/jobs.py investment-emissions --emissions E.csv --investment I.csv --out DIR
-    spark-submit yearpanel/jobs.py investment-generation --generation G.csv --investment I.csv --out DIR
-    spark-submit yearpanel/jobs.py profile --table T.csv --out DIR
+"""The studies as Spark jobs, from raw files to CSV reports; ``study.py`` submits them.
 
 Each raw file is parsed and cleaned once, into a columnar table in the shared scratch folder; the
 reports of a study read that table.
@@ -86,6 +81,3 @@ def main(arguments: Sequence[str] | None = None) -> None:
     results = run_study(spark, options.study, vars(options), options.format)
     write_results(results, options.out, options.mode)
 
-
-if __name__ == "__main__":
-    main()

@@ -49,33 +49,40 @@ def two_points(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> D
     )
 
 
-def training_frame(generation: DataFrame, investment: DataFrame) -> DataFrame:
+def label_points(generation: DataFrame) -> DataFrame:
+    """The generation side, reduced: country, year, technology, value, label_rows."""
+    return two_points(generation, [*KEYS, "technology"], LABEL, "label_rows")
+
+
+def flow_points(investment: DataFrame) -> DataFrame:
+    """The investment side, reduced: country, year, region, amount, flow_rows."""
+    return two_points(investment, [*KEYS, "region"], NUMERIC, "flow_rows")
+
+
+def paired(labels: DataFrame, flows: DataFrame) -> DataFrame:
     """country, year, technology, region, amount, value, pairs: the weighted training frame."""
-    labels = two_points(generation, [*KEYS, "technology"], LABEL, "_label_rows")
-    flows = two_points(investment, [*KEYS, "region"], NUMERIC, "_flow_rows")
-    return labels.join(flows, KEYS).select(
-        *KEYS,
-        *CATEGORIES,
-        NUMERIC,
-        LABEL,
-        (F.col("_label_rows") * F.col("_flow_rows")).alias(WEIGHT),
-    )
+    pairs = (F.col("label_rows") * F.col("flow_rows")).alias(WEIGHT)
+    return labels.join(flows, KEYS).select(*KEYS, *CATEGORIES, NUMERIC, LABEL, pairs)
+
+
+def training_frame(generation: DataFrame, investment: DataFrame) -> DataFrame:
+    return paired(label_points(generation), flow_points(investment))
 
 
-def scoring_frame(generation: DataFrame, investment: DataFrame) -> DataFrame:
+def scoring_frame(labels: DataFrame, investment: DataFrame) -> DataFrame:
     """Each investment row with every technology its country generated with in that year.
 
     Every pair with these features gets the same prediction, so the frame has one row for all of
-    them, their number in ``pairs`` and their mean label. It grows with the investment rows
-    times the number of technologies, not with the pairs.
+    them, their number in ``pairs`` and their mean label, from the reduced ``labels``. It grows
+    with the investment rows times the number of technologies, not with the pairs.
     """
-    labels = (
-        generation.filter(F.col(LABEL).isNotNull())
-        .groupBy(*KEYS, "technology")
-        .agg(F.avg(LABEL).alias(LABEL), F.count(F.lit(1)).alias(WEIGHT))
+    rows = F.sum("label_rows")
+    means = labels.groupBy(*KEYS, "technology").agg(
+        (F.sum(F.col(LABEL) * F.col("label_rows")) / rows).alias(LABEL),
+        rows.cast("bigint").alias(WEIGHT),
     )
     flows = investment.filter(F.col(NUMERIC).isNotNull()).select(*KEYS, "region", NUMERIC)
-    return flows.join(labels, KEYS).select(*KEYS, *CATEGORIES, NUMERIC, LABEL, WEIGHT)
+    return flows.join(means, KEYS).select(*KEYS, *CATEGORIES, NUMERIC, LABEL, WEIGHT)
 
 
 def in_training(keys: Sequence[str] = KEYS, fraction: float = 0.7, seed: str = "") -> Column:
@@ -86,7 +93,7 @@ def in_training(keys: Sequence[str] = KEYS, fraction: float = 0.7, seed: str = "
     """
     digest = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(key).cast("string") for key in keys]))
     bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1000
-    return bucket < int(fraction * 1000)
+    return bucket < round(fraction * 1000)
 
 
 def random_split(

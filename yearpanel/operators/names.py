@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearpanel.functions.coerce import named
+from yearpanel.functions.coerce import named, quoted
 from yearpanel.functions.names import canonical
 
 
@@ -45,5 +45,6 @@ def unmatched(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     """
     mine = distinct_values(left, column).alias("mine")
     theirs = distinct_values(right, column).alias("theirs")
-    same = mine[column].eqNullSafe(theirs[column])
+    name = quoted(column)
+    same = F.col(f"mine.{name}").eqNullSafe(F.col(f"theirs.{name}"))
     return mine.join(theirs, same, "left_anti")

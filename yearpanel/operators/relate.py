@@ -26,7 +26,7 @@ def lagged(
 ) -> DataFrame:
     """Pair each cause with the effect ``lag`` years later, for all lags in one plan.
 
-    Both panels hold totals by country and year. Each cause row is repeated once per lag under
+    Both panels hold totals by country and year, under different value names. Each cause row is repeated once per lag under
     the year it is compared with, which leaves one equality join whatever the number of lags. It
     differs from a window ``lag`` where years are missing: no row is paired with the wrong year.
     """

@@ -309,7 +309,7 @@ QUERIES: dict[str, Query] = {
             panels.generation(spark, sf, ["country", "value"], subtotal=SUM),
             panels.investment(spark, sf),
         ),
-        3,
+        5,
         "renewable_generated",
         "investment_amount",
     ),

@@ -408,8 +408,8 @@ SELECT technology, year, round(sum(value), 3) AS renewable_generated
 FROM generation GROUP BY ALL""",
     "country_generation_investment": f"""WITH {GENERATION}, {INVESTMENT}
 SELECT country, g.renewable_generated, i.investment_amount
-FROM (SELECT country, round(sum(value), 3) AS renewable_generated FROM generation GROUP BY 1) g
-JOIN (SELECT country, round(sum(amount), 3) AS investment_amount FROM investment GROUP BY 1) i
+FROM (SELECT country, round(sum(value), 5) AS renewable_generated FROM generation GROUP BY 1) g
+JOIN (SELECT country, round(sum(amount), 5) AS investment_amount FROM investment GROUP BY 1) i
 USING (country)""",
     "top10_emitters": f"""WITH {EMISSIONS}
 SELECT country, round(sum(total), 2) AS total FROM emissions GROUP BY country

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,21 +140,19 @@ def investment_generation_lag_correlation(panel: DataFrame) -> DataFrame:
 
 
 def fit_investment_impact(
-    generation: DataFrame,
-    investment: DataFrame,
+    frame: DataFrame,
     categories: Sequence[str] = model.CATEGORIES,
     fraction: float = 0.7,
     handle_invalid: str = "error",
-):
-    """The fitted pipeline and the held-out weighted frame.
+) -> tuple[PipelineModel, DataFrame]:
+    """The fitted pipeline and the held-out part of a weighted frame.
 
-    The reduced frame is small but stands on two whole panels, and fitting reads it several
-    times. It is therefore written once to the shared folder.
+    The frame is small but stands on two whole panels, and fitting reads it several times. It is
+    therefore written once to the shared folder.
     """
-    frame = model.training_frame(generation, investment)
-    frame = materialise(frame.withColumn("training", model.in_training(fraction=fraction)), "ml")
-    training = frame.filter("training").drop("training")
-    held_out = frame.filter("not training").drop("training")
+    sides = materialise(frame.withColumn("training", model.in_training(fraction=fraction)), "ml")
+    training = sides.filter("training").drop("training")
+    held_out = sides.filter("not training").drop("training")
     return model.impact_pipeline(categories, handle_invalid).fit(training), held_out
 
 
@@ -164,15 +163,17 @@ def investment_impact_rmse(
     digits: int | None = None,
     handle_invalid: str = "error",
 ) -> DataFrame:
-    fitted, held_out = fit_investment_impact(
-        generation, investment, categories, handle_invalid=handle_invalid
-    )
+    frame = model.training_frame(generation, investment)
+    fitted, held_out = fit_investment_impact(frame, categories, handle_invalid=handle_invalid)
     return model.rmse(model.predictions(fitted, held_out), digits)
 
 
 def investment_impact_predictions(generation: DataFrame, investment: DataFrame) -> DataFrame:
-    """Prediction for every held-out investment row and technology."""
-    fitted, _ = fit_investment_impact(generation, investment)
-    return model.predictions(
-        fitted, model.scoring_frame(generation, investment).filter(~model.in_training())
-    )
+    """Prediction for every held-out investment row and technology.
+
+    Fit and scoring share the reduced labels, so the generation panel is read once.
+    """
+    labels = materialise(model.label_points(generation), "labels")
+    fitted, _ = fit_investment_impact(model.paired(labels, model.flow_points(investment)))
+    held_out = investment.filter(~model.in_training())
+    return model.predictions(fitted, model.scoring_frame(labels, held_out))
