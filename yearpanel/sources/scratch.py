@@ -2,31 +2,23 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="yearpanel-")
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder that the session names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine: on a
-    cluster the executors would not see it, so there it is an error.
+    A session without that setting uses a folder below its warehouse, which is shared storage on
+    a cluster as well.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        base = _local_folder()
+        base = f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
