@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearpanel.llm import bpe
+from yearpanel.llm import bpe, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,36 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document packed, one row per piece."""
+    return packing.piece_digests(packing.packed(table(spark, sf, "documents")))
+
+
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every document encoded and decoded."""
     return bpe.token_digests(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op7_bpe": op7_bpe}
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    docs = table(spark, sf, "documents")
+    field = quality.fitted(docs, table(spark, sf, "labels"))
+    return quality.judged(docs.select("doc_id", "text"), field).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "op4_packing": op4_packing,
+    "op7_bpe": op7_bpe,
+    "op10_quality": op10_quality,
+}
 
 ORACLES: dict[str, str] = {}
