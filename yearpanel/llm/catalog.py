@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearpanel.llm import bpe, packing, quality
+from yearpanel.llm import bpe, packing, quality, warc
+from yearpanel.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(warc.planned(table(spark, sf, "pages")), folder)
+    return warc.read_archives(spark, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Every document packed, one row per piece."""
     return packing.piece_digests(packing.packed(table(spark, sf, "documents")))
@@ -42,6 +52,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_warc": op3_warc,
     "op4_packing": op4_packing,
     "op7_bpe": op7_bpe,
     "op10_quality": op10_quality,
