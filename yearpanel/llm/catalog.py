@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from yearpanel.llm import bpe, packing, quality, warc
+from yearpanel.llm import bpe, line_dedup, packing, quality, substring_dedup, twins, warc
 from yearpanel.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the units that an earlier one has."""
+    return substring_dedup.digests(substring_dedup.deduplicated(table(spark, sf, "documents")))
+
+
 def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Every page written to archives and read back."""
     folder = scratch_path(spark, "warc")
@@ -35,6 +40,11 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the lines that are within one edit of an earlier one."""
+    return line_dedup.digests(line_dedup.deduplicated(table(spark, sf, "documents")))
+
+
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Base counts and verdict of every document."""
     docs = table(spark, sf, "documents")
@@ -52,10 +62,12 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
     "op7_bpe": op7_bpe,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(twins.ORACLES)
