@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yearpanel.llm import bpe, line_dedup, packing, quality, substring_dedup, twins, warc
+from yearpanel.llm import bpe, line_dedup, packing, quality, sharding, substring_dedup, twins, warc
 from yearpanel.sources.scratch import scratch_path
 
+OLD_SHARDS, SHARDS = 32, 40
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -35,6 +38,14 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.piece_digests(packing.packed(table(spark, sf, "documents")))
 
 
+def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents kept by source in 32 shards, rewritten as 40 shards of equal row counts."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    source = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    old = F.pmod(F.crc32(source), F.lit(OLD_SHARDS))
+    return sharding.shard_digests(sharding.resharded(docs, old, SHARDS))
+
+
 def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every document encoded and decoded."""
     return bpe.token_digests(table(spark, sf, "documents"))
@@ -65,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
+    "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
