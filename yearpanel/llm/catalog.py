@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearpanel.llm import bpe, line_dedup, packing, quality, sharding, substring_dedup, twins, warc
+from yearpanel.llm import ann, bpe, line_dedup, packing, quality, sharding, substring_dedup, twins, warc
 from yearpanel.sources.scratch import scratch_path
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -24,6 +24,11 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.deduplicated(table(spark, sf, "documents")))
 
 
+def op2_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest vectors of every twentieth one."""
+    return ann.search(table(spark, sf, "embeddings"))
+
+
 def op3_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Every page written to archives and read back."""
     folder = scratch_path(spark, "warc")
@@ -74,6 +79,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_neighbours": op2_neighbours,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
     "op6_sharding": op6_sharding,
