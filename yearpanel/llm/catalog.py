@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearpanel.llm import ann, bpe, line_dedup, packing, quality, sharding, substring_dedup, twins, warc
+from yearpanel.llm import ann, bpe, line_dedup, minhash, packing, quality, sharding, substring_dedup, twins, warc
 from yearpanel.sources.scratch import scratch_path
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -56,6 +56,11 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf, "documents"))
 
 
+def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its component of near-duplicates."""
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without the lines that are within one edit of an earlier one."""
     return line_dedup.digests(line_dedup.deduplicated(table(spark, sf, "documents")))
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
+    "op8_minhash": op8_minhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
 }
