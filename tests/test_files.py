@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 
 from yearpanel import jobs
 from yearpanel.sources import files
-from yearpanel.sources.scratch import materialise, scratch_path
+from yearpanel.sources.scratch import deleted_afterwards, materialise, scratch_path
 
 
 @pytest.fixture
@@ -40,12 +40,6 @@ def test_single_file_is_sorted_and_whole(spark, report, tmp_path):
     assert lines == sorted(lines)
 
 
-def test_a_result_too_large_for_one_file_is_written_whole(spark, report, tmp_path):
-    path = str(tmp_path / "out")
-    files.write_csv(report, path, single_file=True, order_by=["lag"], single_file_rows=99)
-    assert spark.read.csv(path).count() == 100
-
-
 def test_one_folder_per_lag(spark, report, tmp_path):
     path = str(tmp_path / "out")
     files.write_by_lag(report, path)
@@ -125,6 +119,31 @@ def test_generation_study_uses_its_own_years(spark, raw_files):
     assert lags == [(lag,) for lag in range(6)]
 
 
+@pytest.mark.parametrize("study", list(jobs.STUDY_INPUTS))
+def test_a_job_runs_to_its_end_and_leaves_no_scratch_table(spark, raw_files, tmp_path, study):
+    base = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = sorted(base.iterdir())
+    arguments = [study, "--out", str(tmp_path / "out"), "--single-file", "--years", "2006-2017"]
+    arguments += ["--countries", "italy,czech republic", "--technology", "Wind", "--lags", "0,2"]
+    for name in jobs.STUDY_INPUTS[study]:
+        arguments += [f"--{name}", raw_files[name]]
+    jobs.main([*arguments, "--seed", "4"])
+    assert sorted(base.iterdir()) == before
+    reports = [p for p in (tmp_path / "out").iterdir() if p.name not in jobs.TABLES + jobs.LAG_PANELS]
+    assert reports and all(len(parts(p)) == 1 for p in reports)
+    jobs.main([*arguments, "--mode", "overwrite"])
+    for p in (tmp_path / "out").glob("*_lags"):
+        assert sorted(x.name for x in p.glob("lag=*")) == ["lag=0", "lag=2"]
+
+
+def test_scratch_tables_go_after_an_error(spark, report):
+    with pytest.raises(ValueError), deleted_afterwards(spark):
+        path = Path(materialise(report, "x").inputFiles()[0].removeprefix("file://")).parent
+        assert path.exists()
+        raise ValueError
+    assert not path.exists()
+
+
 def test_missing_inputs_are_named(capsys, tmp_path):
     with pytest.raises(SystemExit):
         jobs.main(["emissions", "--emissions", "x", "--out", str(tmp_path)])

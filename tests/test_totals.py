@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -8,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from yearpanel.functions.stats import half_up
+from yearpanel.functions.stats import exact_sum
 from yearpanel.operators import totals, trend
 from yearpanel.plans import reports
 
@@ -37,9 +38,29 @@ def test_rounding_does_not_depend_on_the_order_of_addition(spark):
     assert found == {1000001.01}
 
 
-def test_half_up_keeps_values_outside_the_decimal_range(spark):
-    df = spark.createDataFrame([(1e300,), (-2.345,), (None,)], "v double")
-    assert rows(df.select(half_up(F.col("v"), 2).alias("v"))) == [(None,), (-2.35,), (1e300,)]
+def test_sums_are_rounded_once(spark):
+    df = emissions(spark, ("a", 1, 2.0049999996), ("b", 1, 0.123456789), ("c", 1, 1e300))
+    assert rows(totals.totals(df, ["country"], "total", digits=2)) == [
+        ("a", 2.0),
+        ("b", 0.12),
+        ("c", 1e300),
+    ]
+    assert rows(totals.totals(df, ["country"], "total", digits=8))[1] == ("b", 0.12345679)
+
+
+def test_sums_are_bit_equal_on_any_partitioning(spark):
+    rng = random.Random(3)
+    values = [(round(rng.uniform(-1e6, 1e9), 5),) for _ in range(20_000)]
+    df = spark.createDataFrame(values, "v double")
+    found = {df.repartition(n).agg(exact_sum(F.col("v"))).first()[0] for n in (1, 3, 16)}
+    assert found == {float(sum(Decimal(str(v)) for (v,) in values))}
+
+
+def test_sums_of_special_figures(spark):
+    df = emissions(spark, ("a", 1, None), ("b", 1, float("nan")), ("c", 1, float("inf")), ("d", 1, 0.1))
+    found = dict(rows(df.groupBy("country").agg(exact_sum(F.col("total")).alias("t"))))
+    assert found["a"] is None and found["b"] != found["b"]
+    assert (found["c"], found["d"]) == (float("inf"), 0.1)
 
 
 def test_rankings(spark):

@@ -45,13 +45,23 @@ def number_in_text(name: str) -> Column:
 def to_year(df: DataFrame, name: str) -> Column:
     """Integer year of a column; ``'2001.7'`` gives 2001 and text that is no number gives null.
 
-    An integer column is returned as it is, so that a year range still reaches the scan.
+    An integer column is returned as it is.
     """
-    if isinstance(df.schema[name].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
         return named(name)
+    if isinstance(kind, T.LongType):
+        return named(name).try_cast("int")
     return to_double(name).try_cast("int")
 
 
+def in_years(df: DataFrame, name: str, years: tuple[int, int]) -> Column:
+    """True for years of a range, ends included. On whole numbers the range reaches the scan."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return named(name).between(*years)
+    return to_year(df, name).between(*years)
+
+
 def blank(df: DataFrame, name: str) -> Column:
     """True for null and, in text columns, for the empty string."""
     missing = named(name).isNull()

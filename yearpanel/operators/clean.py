@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearpanel.functions.coerce import named, to_double, to_year
+from yearpanel.functions.coerce import in_years, named, to_double, to_year
 from yearpanel.functions.names import (
     EMISSIONS_ALIASES,
     GENERATION_ALIASES,
@@ -24,6 +24,9 @@ from yearpanel.functions.units import GWH_DIVISORS, normalised
 REPORT_YEARS = (2000, 2023)
 GENERATION_TREND_YEARS = (2006, 2017)
 
+#: Names up to which a frame of countries is read as a list.
+LISTED_COUNTRIES = 1000
+
 # Headers of the raw files.
 EMISSIONS_COLUMNS = ["Year", "Country", "Total", "Per Capita"]
 GENERATION_COLUMNS = [
@@ -53,7 +56,7 @@ def clean_emissions(
     A row with a missing cell among the four goes; a figure that is no number stays as null.
     """
     return (
-        raw.filter(to_year(raw, "Year").between(*years))
+        raw.filter(in_years(raw, "Year", years))
         .select(*[named(name) for name in EMISSIONS_COLUMNS])
         .na.drop()
         .select(
@@ -78,7 +81,7 @@ def clean_generation(
     trimmed = trimmed_headers(raw)
     texts = [name for name in GENERATION_COLUMNS if name != "Values"]
     return (
-        trimmed.filter(to_year(trimmed, "Years").between(*years))
+        trimmed.filter(in_years(trimmed, "Years", years))
         .na.drop(subset=texts)
         .select(
             canonical(named("IRENA Menu Label"), aliases).alias("country"),
@@ -107,7 +110,7 @@ def clean_investment(
     ``countries`` narrows to a list of common names, or to those in the first column of a frame
     (a semi join). ``keep_raw`` keeps all raw columns and appends the typed ones.
     """
-    kept = raw.na.drop().filter(to_year(raw, "Year").between(*years))
+    kept = raw.na.drop().filter(in_years(raw, "Year", years))
     if technology is not None:
         kept = kept.filter(named("Technology") == technology)
     country = canonical(named("Country/Area"), aliases)
@@ -129,8 +132,15 @@ def clean_investment(
 def in_countries(
     panel: DataFrame, countries: Sequence[str] | DataFrame, key: str = "country"
 ) -> DataFrame:
-    """Rows of the given countries; a frame of any size is matched with a semi join."""
+    """Rows of the given countries, a list or the first column of a frame.
+
+    The frame is deduplicated first. As many names as there may be countries become a filter next
+    to the scan; a longer list is matched with a semi join. The rows are the same.
+    """
     if isinstance(countries, DataFrame):
         wanted = countries.select(named(countries.columns[0]).alias(key)).distinct()
-        return panel.join(wanted, key, "left_semi")
+        found = wanted.limit(LISTED_COUNTRIES + 1).collect()
+        if len(found) > LISTED_COUNTRIES:
+            return panel.join(wanted, key, "left_semi")
+        countries = [name for (name,) in found if name is not None]
     return panel.filter(named(key).isin(list(countries)))

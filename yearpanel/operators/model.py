@@ -15,9 +15,9 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEYS = ["country", "year"]
@@ -27,20 +27,27 @@ NUMERIC = "amount"
 WEIGHT = "pairs"
 
 
-def two_points(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
+def two_points(
+    df: DataFrame, keys: Sequence[str], value: str, weight: str, rows: str | None = None
+) -> DataFrame:
     """Two rows per group that keep its count, sum and sum of squares of ``value``.
 
-    Rows without a value are left out. One shuffle, combined on the map side.
+    ``rows`` names the column with the number of rows that a row stands for, if it was reduced
+    before. Rows without a value are left out. One shuffle, combined on the map side.
     """
-    mean, deviation = F.col("_mean"), F.col("_deviation")
+    mean, deviation, v = F.col("_mean"), F.col("_deviation"), F.col(value)
+    if rows is None:
+        moments = [F.count(F.lit(1)), F.avg(value), F.stddev_pop(value)]
+    else:
+        n = F.sum(rows)
+        average = F.sum(v * F.col(rows)) / n
+        spread = F.sum(v * v * F.col(rows)) / n - average * average
+        moments = [n, average, F.sqrt(F.greatest(spread, F.lit(0.0)))]
+    count, average, spread = moments
     return (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.avg(value).alias("_mean"),
-            F.stddev_pop(value).alias("_deviation"),
-        )
+        .agg(count.alias("_rows"), average.alias("_mean"), spread.alias("_deviation"))
         .select(
             *keys,
             F.explode(F.array(mean - deviation, mean + deviation)).alias(value),
@@ -49,9 +56,18 @@ def two_points(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> D
     )
 
 
+def supplier_points(items: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Generation rows reduced by finer keys; ``rows`` is the number that a row stands for."""
+    return two_points(items, keys, LABEL, "rows")
+
+
 def label_points(generation: DataFrame) -> DataFrame:
-    """The generation side, reduced: country, year, technology, value, label_rows."""
-    return two_points(generation, [*KEYS, "technology"], LABEL, "label_rows")
+    """The generation side, reduced: country, year, technology, value, label_rows.
+
+    A ``rows`` column tells how many rows a row stands for.
+    """
+    rows = "rows" if "rows" in generation.columns else None
+    return two_points(generation, [*KEYS, "technology"], LABEL, "label_rows", rows)
 
 
 def flow_points(investment: DataFrame) -> DataFrame:
@@ -92,8 +108,7 @@ def in_training(keys: Sequence[str] = KEYS, fraction: float = 0.7, seed: str = "
     all pairs of a country and year are on the same side.
     """
     digest = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(key).cast("string") for key in keys]))
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 1000
-    return bucket < round(fraction * 1000)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < fraction * 2**32
 
 
 def random_split(
@@ -103,20 +118,39 @@ def random_split(
     return investment.randomSplit([fraction, 1 - fraction], seed)
 
 
+def labels_by_pairs(frame: DataFrame, category: str) -> list[str]:
+    """The labels of a category, those of most pairs first and ties in the alphabet."""
+    counted = frame.groupBy(category).agg(F.sum(WEIGHT).alias("n"))
+    return [row[0] for row in counted.orderBy(F.desc("n"), category).collect()]
+
+
 def impact_pipeline(
-    categories: Sequence[str] = CATEGORIES, handle_invalid: str = "error"
+    categories: Sequence[str] = CATEGORIES,
+    handle_invalid: str = "error",
+    labels: Sequence[Sequence[str]] | None = None,
 ) -> Pipeline:
     """Index and encode the categories, assemble the features, regress with pair weights.
 
     ``handle_invalid`` says what a category unseen in training does: ``error`` or ``skip``.
+    ``labels`` gives the order of each category's labels, of which the last one is left out. By
+    default labels are ordered by the rows of the weighted frame.
     """
     indexes = [f"{name}_index" for name in categories]
     vectors = [f"{name}_vector" for name in categories]
-    return Pipeline(
-        stages=[
+    if labels is None:
+        indexers = [
             StringIndexer(
                 inputCols=list(categories), outputCols=indexes, handleInvalid=handle_invalid
-            ),
+            )
+        ]
+    else:
+        indexers = [
+            StringIndexerModel.from_labels(own, name, index, handle_invalid)
+            for own, name, index in zip(labels, categories, indexes, strict=True)
+        ]
+    return Pipeline(
+        stages=[
+            *indexers,
             OneHotEncoder(inputCols=indexes, outputCols=vectors),
             VectorAssembler(inputCols=[NUMERIC, *vectors], outputCol="features"),
             LinearRegression(featuresCol="features", labelCol=LABEL, weightCol=WEIGHT),
@@ -124,6 +158,17 @@ def impact_pipeline(
     )
 
 
+def coefficients(model: PipelineModel) -> DataFrame:
+    """feature and coefficient of a pipeline fitted with given labels, without the last of each."""
+    *indexers, _, _, regression = model.stages
+    names = ["intercept", NUMERIC]
+    for indexer in indexers:
+        names += [f"{indexer.getInputCol()}={label}" for label in indexer.labels[:-1]]
+    values = [regression.intercept, *regression.coefficients.toArray().tolist()]
+    rows = list(zip(names, values, strict=True))
+    return SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
+
+
 def predictions(model: PipelineModel, frame: DataFrame) -> DataFrame:
     """The frame with a ``prediction`` column; lazy."""
     return model.transform(frame).select(*frame.columns, "prediction")

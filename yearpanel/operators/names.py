@@ -18,11 +18,12 @@ def harmonise(
 
     A mapping becomes a literal inside the projection. A frame (alias, canonical) of any size is
     left-joined: Spark broadcasts it if it is below the session's threshold, and otherwise
-    shuffles, where adaptive execution splits a hot name.
+    shuffles, where adaptive execution splits a hot name. Its aliases are lower-cased like the
+    names; of several common names for one alias the first in the alphabet counts.
     """
     if not isinstance(aliases, DataFrame):
         return df.withColumn(column, canonical(named(column), aliases))
-    table = aliases.groupBy(F.col("alias").alias("_alias")).agg(
+    table = aliases.groupBy(F.lower("alias").alias("_alias")).agg(
         F.min("canonical").alias("_canonical")
     )
     lowered = F.lower(named(column))

@@ -65,6 +65,8 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
             total = F.col(f"d{i}") + F.coalesce(F.col(f"n{i}"), F.lit(False)).cast("bigint")
             rows.append(F.struct(F.lit(name).alias("column"), total.alias("distinct_values")))
         return _one_row_per_column(df.agg(*aggregates), [], rows)
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], "column string, distinct_values bigint")
     branches = [
         df.select(quoted(name))
         .distinct()
@@ -75,30 +77,37 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     return reduce(DataFrame.unionAll, branches)
 
 
-def summary(df: DataFrame, by: Sequence[str] = (), columns_per_pass: int = 4) -> DataFrame:
+SUMMARY = [
+    T.StructField("column", T.StringType()),
+    T.StructField("count", T.LongType()),
+    *[T.StructField(name, T.DoubleType()) for name in ("mean", "stddev", "min", "max")],
+    *[T.StructField(name, T.StringType()) for name in ("min_text", "max_text")],
+]
+
+
+def summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of numeric and text columns, per group.
 
     Text columns get the mean and deviation of their cells that are numbers, and their smallest
-    and largest text in ``min_text`` and ``max_text``; other columns use ``min`` and ``max``.
-    All aggregates combine on the map side. A wide table is taken ``columns_per_pass`` columns at
-    a time, in one job, because generated code for too many aggregates is not compiled by the JVM.
+    and largest text in ``min_text`` and ``max_text``. Other columns use ``min`` and ``max``, and
+    whole numbers and decimals also the text, as a double cannot hold all their digits.
+    One scan with one aggregate, which combines on the map side. A table without such a column
+    gives no row.
     """
     profiled = [
         field.name
         for field in df.schema.fields
         if field.name not in by and isinstance(field.dataType, (T.NumericType, T.StringType))
     ]
-    passes = [
-        _summary_of(df, by, profiled[start : start + columns_per_pass])
-        for start in range(0, len(profiled), columns_per_pass)
-    ]
-    return reduce(DataFrame.unionAll, passes)
-
-
-def _summary_of(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    if not profiled:
+        keys = df.select(*[named(key) for key in by]).schema
+        return df.sparkSession.createDataFrame([], T.StructType([*keys, *SUMMARY]))
     aggregates, rows = [], []
-    for i, name in enumerate(columns):
+    for i, name in enumerate(profiled):
         text = is_text(df, name)
+        exact = text or not isinstance(df.schema[name].dataType, T.FractionalType) or isinstance(
+            df.schema[name].dataType, T.DecimalType
+        )
         number = number_in_text(name) if text else named(name)
         aggregates += [
             F.count(named(name)).alias(f"count{i}"),
@@ -116,8 +125,8 @@ def _summary_of(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Dat
                 F.col(f"stddev{i}").alias("stddev"),
                 (none if text else low).cast("double").alias("min"),
                 (none if text else high).cast("double").alias("max"),
-                (low if text else none).cast("string").alias("min_text"),
-                (high if text else none).cast("string").alias("max_text"),
+                (low if exact else none).cast("string").alias("min_text"),
+                (high if exact else none).cast("string").alias("max_text"),
             )
         )
     wide = df.groupBy(*[named(key) for key in by]).agg(*aggregates)

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearpanel.functions.stats import half_up
+from yearpanel.functions.stats import exact_sum
 
 
 def totals(
@@ -20,12 +20,12 @@ def totals(
     value: str,
     name: str | None = None,
     digits: int | None = None,
-    how: Callable[[Column], Column] = F.sum,
+    how: Callable[[Column], Column] = exact_sum,
 ) -> DataFrame:
     """``value`` summed (or combined by ``how``) per group, rounded if ``digits`` is given."""
     result = how(F.col(value))
     if digits is not None:
-        result = half_up(result, digits)
+        result = F.round(result, digits)
     return panel.groupBy(*keys).agg(result.alias(name or value))
 
 

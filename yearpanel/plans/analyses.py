@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from yearpanel.operators import names, profile
@@ -22,9 +24,11 @@ def emissions_study(emissions: DataFrame, generation: DataFrame) -> dict[str, Da
     }
 
 
-def investment_emissions_study(investment: DataFrame, emissions: DataFrame) -> dict[str, DataFrame]:
+def investment_emissions_study(
+    investment: DataFrame, emissions: DataFrame, lags: Sequence[int] = range(6)
+) -> dict[str, DataFrame]:
     """How many years until an investment shows in the emissions."""
-    panel = reports.investment_emissions_lags(investment, emissions)
+    panel = reports.investment_emissions_lags(investment, emissions, lags)
     return {
         "unmatched_countries": names.unmatched(emissions, investment, "country"),
         "investment_country_year": reports.investment_country_year(investment),
@@ -36,10 +40,16 @@ def investment_emissions_study(investment: DataFrame, emissions: DataFrame) -> d
 
 
 def investment_generation_study(
-    investment: DataFrame, generation: DataFrame
+    investment: DataFrame,
+    generation: DataFrame,
+    lags: Sequence[int] = range(6),
+    seed: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Generation by region, type, technology and country, and what investment does to it."""
-    panel = reports.investment_generation_lags(investment, generation)
+    """Generation by region, type, technology and country, and what investment does to it.
+
+    With a ``seed`` the impact model splits investment rows at random.
+    """
+    panel = reports.investment_generation_lags(investment, generation, lags)
     return {
         "generation_country_year": reports.generation_country_year(generation),
         "investment_country_year": reports.investment_country_year(investment),
@@ -48,7 +58,9 @@ def investment_generation_study(
         "country_generation_investment": reports.country_generation_investment(
             generation, investment
         ),
-        "investment_impact_rmse": reports.investment_impact_rmse(generation, investment),
+        "investment_impact_rmse": reports.investment_impact_rmse(
+            generation, investment, seed=seed
+        ),
         "top_largest_records": reports.top_largest_records(generation),
         "investment_generation_lags": panel,
         "investment_generation_lag_correlation": reports.investment_generation_lag_correlation(
@@ -62,7 +74,7 @@ def table_profile(raw: DataFrame, rows: int = 25, approx: bool = False) -> dict[
     """Schema, first rows, summary, blanks and distinct values of a columnar table."""
     return {
         "schema": profile.schema_rows(raw),
-        "sample": profile.sample(raw, rows),
+        "sample": profile.sample(raw, rows, raw.columns),
         "summary": profile.summary(raw),
         "blank_counts": profile.blank_counts(raw),
         "distinct_counts": profile.distinct_counts(raw, approx),

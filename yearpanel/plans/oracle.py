@@ -6,10 +6,17 @@ per lag, and the model queries work on every pair of rows and solve the normal e
 
 from __future__ import annotations
 
+from yearpanel.functions.names import DEVELOPED_COUNTRIES
 
-def half_up(total: str, digits: int = 2) -> str:
-    """Rounded as a decimal, so that a sum on the edge goes up whatever its last bits."""
-    return f"CAST(round(CAST({total} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
+
+def exact(column: str) -> str:
+    """A sum that does not depend on the order of addition."""
+    return f"CAST(sum(CAST({column} AS DECIMAL(38,6))) AS DOUBLE)"
+
+
+def rounded(column: str, digits: int = 2) -> str:
+    """The same, rounded."""
+    return f"CAST(round(sum(CAST({column} AS DECIMAL(38,6))), {digits}) AS DOUBLE)"
 
 
 # Typed panels
@@ -166,23 +173,21 @@ DISTINCT = (
 )
 
 LINE_TEXT = ["l_returnflag", "l_linestatus"]
-LINE_NUMBERS = [
-    "l_orderkey",
-    "l_partkey",
-    "l_suppkey",
-    "l_linenumber",
-    "l_quantity",
-    "l_extendedprice",
-    "l_discount",
-    "l_tax",
-]
-LINE_COLUMNS = [*LINE_NUMBERS, *LINE_TEXT, "l_shipdate"]
+LINE_WHOLE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINE_COLUMNS = [*LINE_WHOLE, *LINE_NUMBERS, *LINE_TEXT, "l_shipdate"]
 LINE_NUMBER_SUMMARY = (
     "SELECT '{name}' AS \"column\", count({column}) AS count, round(avg({column}), 3) AS mean, "
     "round(stddev_samp({column}), 3) AS stddev, CAST(min({column}) AS DOUBLE) AS min, "
     "CAST(max({column}) AS DOUBLE) AS max, CAST(NULL AS VARCHAR) AS min_text, "
     "CAST(NULL AS VARCHAR) AS max_text FROM {source}"
 )
+# Whole numbers also give their smallest and largest value as text.
+NO_TEXT = "CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text"
+WHOLE_TEXT = (
+    "CAST(min({column}) AS VARCHAR) AS min_text, CAST(max({column}) AS VARCHAR) AS max_text"
+)
+LINE_WHOLE_SUMMARY = LINE_NUMBER_SUMMARY.replace(NO_TEXT, WHOLE_TEXT)
 LINE_TEXT_SUMMARY = (
     "SELECT '{name}' AS \"column\", count({column}) AS count, CAST(NULL AS DOUBLE) AS mean, "
     "CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, "
@@ -193,11 +198,13 @@ LINE_NULLS = "SELECT '{name}' AS \"column\", count(*) FILTER ({column} IS NULL)
 # Relations
 
 EMISSION_TOTALS = f"""emission_totals AS (
-  SELECT country, year, {half_up("sum(total)")} AS total_emission FROM emissions GROUP BY ALL)"""
-GENERATION_TOTALS = """generation_totals AS (
-  SELECT country, year, sum(value) AS renewable_generated FROM generation GROUP BY ALL)"""
-INVESTMENT_TOTALS = """investment_totals AS (
-  SELECT country, year, sum(amount) AS investment_amount FROM {source} GROUP BY ALL)"""
+  SELECT country, year, {rounded("total")} AS total_emission FROM emissions GROUP BY ALL)"""
+GENERATION_TOTALS = f"""generation_totals AS (
+  SELECT country, year, {exact("value")} AS renewable_generated FROM generation GROUP BY ALL)"""
+ROUNDED_GENERATION_TOTALS = f"""generation_totals AS (
+  SELECT country, year, {rounded("value")} AS renewable_generated FROM generation GROUP BY ALL)"""
+INVESTMENT_TOTALS = f"""investment_totals AS (
+  SELECT country, year, {exact("amount")} AS investment_amount FROM {{source}} GROUP BY ALL)"""
 
 
 def one_join_per_lag(effect: str, effect_year: str, measure: str) -> str:
@@ -244,13 +251,15 @@ LAG_TEXT_SUMMARY = (
     "CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, "
     "min({column}) AS min_text, max({column}) AS max_text FROM {source} GROUP BY lag"
 )
-LAG_NUMBERS = ["investment_year", "emissions_year", "investment_amount", "total_emission"]
+LAG_YEAR_SUMMARY = LAG_NUMBER_SUMMARY.replace(NO_TEXT, WHOLE_TEXT)
+LAG_YEARS = ["investment_year", "emissions_year"]
+LAG_NUMBERS = ["investment_amount", "total_emission"]
 
 # Model: all pairs of a generation and an investment row of one country and year
 
 IN_TRAINING = (
     "CAST('0x' || substr(md5(concat_ws('|', '', country, CAST(year AS VARCHAR))), 1, 8) AS BIGINT)"
-    " % 1000 < 700"
+    " < 0.7 * 4294967296"
 )
 PAIRS = """pairs AS (
   SELECT g.country, g.year, g.technology, i.region, i.amount, g.value
@@ -266,7 +275,7 @@ def two_points(source: str, keys: str, value: str) -> str:
 
 
 # Ordinary least squares: moments of the training pairs per cell, the normal equations over
-# intercept, amount and all but one label of each category, and their solution by elimination.
+# intercept, amount and all but the rarest label of each category, and their solution by elimination.
 NORMAL_EQUATIONS = """cells AS (
   SELECT technology, {region} AS region, count(*) AS n, sum(amount) AS x, sum(amount * amount) AS xx,
          sum(value) AS y, sum(amount * value) AS xy
@@ -274,8 +283,8 @@ NORMAL_EQUATIONS = """cells AS (
 parameters AS (
   SELECT row_number() OVER (ORDER BY kind, label) AS i, kind, label FROM (
     SELECT 0 AS kind, '' AS label UNION ALL SELECT 1, ''
-    UNION ALL (SELECT DISTINCT 2, technology FROM cells ORDER BY technology OFFSET 1)
-    UNION ALL (SELECT DISTINCT 3, region FROM cells ORDER BY region OFFSET 1))),
+    UNION ALL (SELECT 2, technology FROM cells GROUP BY 2 ORDER BY sum(n), 2 DESC OFFSET 1)
+    UNION ALL (SELECT 3, region FROM cells GROUP BY 2 ORDER BY sum(n), 2 DESC OFFSET 1))),
 features AS (
   SELECT c.*, p.i, CAST(kind = 1 AS INT) AS b,
          CAST(kind = 0 OR (kind = 2 AND label = technology) OR (kind = 3 AND label = region) AS INT)
@@ -322,6 +331,11 @@ SELECT round(sqrt(avg((value - prediction) ** 2)), 6) AS rmse, count(*) AS pairs
 FROM (SELECT * FROM pairs WHERE NOT ({IN_TRAINING})) JOIN scores USING (technology, region, amount)"""
 
 
+COEFFICIENTS = f"""{least_squares()}
+SELECT CASE kind WHEN 0 THEN 'intercept' WHEN 1 THEN 'amount' WHEN 2 THEN 'technology=' || label
+                 ELSE 'region=' || label END AS feature, round(coefficient, 5) AS coefficient
+FROM solution"""
+
 PREDICTIONS = f"""{least_squares()},
 labels AS (
   SELECT country, year, technology, sum(value) AS sum_value, count(*) AS pairs
@@ -337,11 +351,14 @@ IN_LIST = "country IN ('nation_1', 'nation_3', 'nation_4', 'nation_9', 'nation_1
 IN_TABLE = """country IN (SELECT lower(n_name) FROM supplier
   JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 9000)"""
 
+DEVELOPED = ", ".join(f"'{name}'" for name in DEVELOPED_COUNTRIES[:12])
+NATION = "CAST(substr(country, 8) AS INT)"
+
 ORACLES: dict[str, str] = {
     "csv_roundtrip": f"WITH {CLEAN_EMISSIONS} SELECT * FROM emissions",
     "csv_header_roundtrip": f"WITH {RAW_INVESTMENT} SELECT * FROM raw_investment",
     "csv_single_file_report": f"""WITH {EMISSIONS}
-SELECT year, {half_up("sum(total)")} AS total FROM emissions GROUP BY year""",
+SELECT year, {rounded("total")} AS total FROM emissions GROUP BY year""",
     "csv_lag_folders": f"WITH {GENERATION_LAGS} {ROUNDED_GENERATION_LAGS}",
     **raw_profiles(
         "_emissions", "raw_emissions", RAW_EMISSIONS, ["Year", "Country", "Total", "Per Capita"]
@@ -366,11 +383,16 @@ SELECT year, {half_up("sum(total)")} AS total FROM emissions GROUP BY year""",
         RAW_INVESTMENT,
         ["Country/Area", "Year", "Amount (2020 USD million)", "Technology", "Region", "Status"],
     ),
-    "profile_summary_lineitem": unpivoted("lineitem", LINE_NUMBERS, LINE_NUMBER_SUMMARY)
+    "profile_summary_lineitem": unpivoted("lineitem", LINE_WHOLE, LINE_WHOLE_SUMMARY)
+    + " UNION ALL "
+    + unpivoted("lineitem", LINE_NUMBERS, LINE_NUMBER_SUMMARY)
     + " UNION ALL "
     + unpivoted("lineitem", LINE_TEXT, LINE_TEXT_SUMMARY),
     "profile_nulls_lineitem": unpivoted("lineitem", LINE_COLUMNS, LINE_NULLS),
     "profile_distinct_lineitem": unpivoted("lineitem", LINE_COLUMNS, DISTINCT),
+    "profile_distinct_approx_lineitem": unpivoted(
+        "lineitem", LINE_COLUMNS, f"{DISTINCT}, true AS within_15_percent"
+    ),
     "clean_emissions": f"WITH {CLEAN_EMISSIONS} SELECT * FROM emissions",
     "clean_emissions_count": f"WITH {CLEAN_EMISSIONS} SELECT count(*) AS rows FROM emissions",
     "clean_generation": f"WITH {CLEAN_GENERATION} SELECT * FROM generation",
@@ -380,8 +402,11 @@ SELECT year, {half_up("sum(total)")} AS total FROM emissions GROUP BY year""",
     "investment_filtered_country": f"{FILTERED} {IN_LIST}",
     "investment_filtered_technology": f"{FILTERED} technology = '1-URGENT'",
     "investment_filtered_country_table": f"{FILTERED} {IN_TABLE}",
+    "investment_filtered_developed": f"""WITH {CLEAN_INVESTMENT}
+SELECT [{DEVELOPED}][{NATION} + 1] AS country, year, technology, region, amount
+FROM investment WHERE {NATION} < 12""",
     "unit_normalise": f"""WITH {GENERATION}
-SELECT unit, count(*) AS rows, round(sum(value), 3) AS value FROM generation GROUP BY unit""",
+SELECT unit, count(*) AS rows, {rounded("value", 3)} AS value FROM generation GROUP BY unit""",
     "harmonise_country": f"""WITH {RAW_EMISSIONS}
 SELECT "Country" AS raw_name, count(*) AS rows, {as_country('"Country"')} AS country
 FROM raw_emissions GROUP BY "Country" """,
@@ -391,46 +416,47 @@ SELECT {as_country('"Country"')} AS country, count(*) AS rows FROM raw_emissions
     "country_mismatch": f"""WITH {RAW_EMISSIONS}, {CLEAN_INVESTMENT}
 SELECT lower("Country") AS country FROM raw_emissions EXCEPT SELECT country FROM investment""",
     "emissions_by_year": f"""WITH {EMISSIONS}
-SELECT year, {half_up("sum(total)")} AS total FROM emissions GROUP BY year""",
+SELECT year, {rounded("total")} AS total FROM emissions GROUP BY year""",
     "emissions_country_year": f"WITH {EMISSIONS}, {EMISSION_TOTALS} SELECT * FROM emission_totals",
     "generation_country_year": f"""WITH {GENERATION}
-SELECT country, year, {half_up("sum(value)")} AS renewable_generated FROM generation GROUP BY ALL""",
+SELECT country, year, {rounded("value")} AS renewable_generated FROM generation GROUP BY ALL""",
     "generation_country_year_unrounded": f"""WITH {GENERATION}
-SELECT country, year, round(sum(value), 3) AS renewable_generated FROM generation GROUP BY ALL""",
+SELECT country, year, {rounded("value", 3)} AS renewable_generated FROM generation GROUP BY ALL""",
     "investment_country_year": f"""WITH {INVESTMENT}
-SELECT country, year, round(sum(amount), 5) AS investment_amount FROM investment GROUP BY ALL""",
+SELECT country, year, {rounded("amount", 5)} AS investment_amount FROM investment GROUP BY ALL""",
     "generation_by_region_year": f"""WITH {GENERATION}
-SELECT region, year, round(sum(value), 3) AS renewable_generated FROM generation GROUP BY ALL""",
+SELECT region, year, {rounded("value", 3)} AS renewable_generated FROM generation GROUP BY ALL""",
     "generation_by_type": f"""WITH {GENERATION}
-SELECT type, round(sum(value), 3) AS renewable_generated FROM generation GROUP BY ALL""",
+SELECT type, {rounded("value", 3)} AS renewable_generated FROM generation GROUP BY ALL""",
     "generation_by_technology_year": f"""WITH {GENERATION}
-SELECT technology, year, round(sum(value), 3) AS renewable_generated
+SELECT technology, year, {rounded("value", 3)} AS renewable_generated
 FROM generation GROUP BY ALL""",
     "country_generation_investment": f"""WITH {GENERATION}, {INVESTMENT}
 SELECT country, g.renewable_generated, i.investment_amount
-FROM (SELECT country, round(sum(value), 5) AS renewable_generated FROM generation GROUP BY 1) g
-JOIN (SELECT country, round(sum(amount), 5) AS investment_amount FROM investment GROUP BY 1) i
+FROM (SELECT country, {rounded("value", 5)} AS renewable_generated FROM generation GROUP BY 1) g
+JOIN (SELECT country, {rounded("amount", 5)} AS investment_amount FROM investment GROUP BY 1) i
 USING (country)""",
     "top10_emitters": f"""WITH {EMISSIONS}
-SELECT country, round(sum(total), 2) AS total FROM emissions GROUP BY country
+SELECT country, {rounded("total", 2)} AS total FROM emissions GROUP BY country
 ORDER BY total DESC NULLS LAST, country LIMIT 10""",
     "bottom10_emitters": f"""WITH {EMISSIONS}
-SELECT country, round(sum(total), 2) AS total FROM emissions GROUP BY country
+SELECT country, {rounded("total", 2)} AS total FROM emissions GROUP BY country
 ORDER BY total NULLS FIRST, country LIMIT 10""",
     "top10_max_generation": f"""WITH {GENERATION}
 SELECT country, max(value) AS max_generation FROM generation GROUP BY country
 ORDER BY max_generation DESC NULLS LAST, country LIMIT 10""",
-    "co2_generation_panel": f"""WITH {EMISSIONS}, {GENERATION}, {EMISSION_TOTALS}, {GENERATION_TOTALS}
-SELECT country, year, total_emission, {half_up("renewable_generated")} AS renewable_generated
+    "co2_generation_panel": f"""WITH {EMISSIONS}, {GENERATION}, {EMISSION_TOTALS}, {ROUNDED_GENERATION_TOTALS}
+SELECT country, year, total_emission, renewable_generated
 FROM emission_totals JOIN generation_totals USING (country, year)""",
-    "corr_co2_generation": f"""WITH {EMISSIONS}, {GENERATION}, {EMISSION_TOTALS}, {GENERATION_TOTALS}
-SELECT round(corr(coalesce(total_emission, 0), coalesce({half_up("renewable_generated")}, 0)), 6)
+    "corr_co2_generation": f"""WITH {EMISSIONS}, {GENERATION}, {EMISSION_TOTALS}, {ROUNDED_GENERATION_TOTALS}
+SELECT round(corr(coalesce(total_emission, 0), coalesce(renewable_generated, 0)), 6)
   AS correlation
 FROM emission_totals JOIN generation_totals USING (country, year)""",
     "lag_panel_emissions": f"""WITH {EMISSION_LAGS}
 SELECT lag, country, investment_year, emissions_year,
        round(investment_amount, 4) AS investment_amount, total_emission FROM lagged""",
     "lag_summary_emissions": f"""WITH {EMISSION_LAGS}
+{unpivoted("lagged", LAG_YEARS, LAG_YEAR_SUMMARY)} UNION ALL
 {unpivoted("lagged", LAG_NUMBERS, LAG_NUMBER_SUMMARY)} UNION ALL
 {unpivoted("lagged", ["country"], LAG_TEXT_SUMMARY)}""",
     "lag_corr_emissions": f"""WITH {EMISSION_LAGS}
@@ -439,27 +465,27 @@ FROM lagged GROUP BY lag""",
     "lag_panel_generation": f"WITH {GENERATION_LAGS} {ROUNDED_GENERATION_LAGS}",
     "lag_corr_generation": f"WITH {GENERATION_LAGS} {GENERATION_LAG_CORRELATION}",
     "raw_top10_emitters": f"""WITH {CLEAN_EMISSIONS}
-SELECT country, round(sum(total), 2) AS total FROM emissions GROUP BY country
+SELECT country, {rounded("total", 2)} AS total FROM emissions GROUP BY country
 ORDER BY total DESC NULLS LAST, country LIMIT 10""",
     "raw_bottom10_emitters": f"""WITH {CLEAN_EMISSIONS}
-SELECT country, round(sum(total), 2) AS total FROM emissions GROUP BY country
+SELECT country, {rounded("total", 2)} AS total FROM emissions GROUP BY country
 ORDER BY total NULLS FIRST, country LIMIT 10""",
     "raw_emissions_by_year": f"""WITH {CLEAN_EMISSIONS}
-SELECT year, {half_up("sum(total)")} AS total FROM emissions GROUP BY year""",
+SELECT year, {rounded("total")} AS total FROM emissions GROUP BY year""",
     "raw_generation_by_technology_year": f"""WITH {CLEAN_GENERATION}
-SELECT technology, year, round(sum(value), 3) AS renewable_generated
+SELECT technology, year, {rounded("value", 3)} AS renewable_generated
 FROM generation GROUP BY ALL""",
     "raw_lag_corr_generation": f"""WITH {CLEAN_GENERATION}, {CLEAN_INVESTMENT},
 {GENERATION_LAG_TAIL} {GENERATION_LAG_CORRELATION}""",
     "trend_slopes": f"""WITH {EMISSIONS}
 SELECT country, round(coalesce(regr_slope(total, year), 0), 3) AS slope
-FROM (SELECT country, year, sum(total) AS total FROM emissions
-      WHERE year BETWEEN 1995 AND 2000 GROUP BY ALL) GROUP BY country""",
+FROM (SELECT country, year, {exact("total")} AS total FROM emissions GROUP BY ALL)
+GROUP BY country""",
     "trend_top10": f"""WITH {EMISSIONS}
 SELECT country, round(slope, 3) AS slope
 FROM (SELECT country, regr_slope(total, year) AS slope
-      FROM (SELECT country, year, sum(total) AS total FROM emissions
-            WHERE year BETWEEN 1995 AND 2000 GROUP BY ALL) GROUP BY country)
+      FROM (SELECT country, year, {exact("total")} AS total FROM emissions GROUP BY ALL)
+      GROUP BY country)
 WHERE slope > 0 ORDER BY slope DESC, country LIMIT 10""",
     "ml_training_frame": f"""WITH {GENERATION}, {INVESTMENT},
 labels AS ({two_points("generation", "country, year, technology", "value")}),
@@ -475,5 +501,6 @@ SELECT technology, region, count(*) AS pairs, round(avg(amount), 5) AS mean_amou
 FROM pairs GROUP BY ALL""",
     "ml_within_rmse": held_out_rmse(region="''"),
     "ml_impact_rmse": held_out_rmse(),
+    "ml_coefficients": COEFFICIENTS,
     "ml_predictions": PREDICTIONS,
 }

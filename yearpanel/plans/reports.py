@@ -153,7 +153,14 @@ def fit_investment_impact(
     sides = materialise(frame.withColumn("training", model.in_training(fraction=fraction)), "ml")
     training = sides.filter("training").drop("training")
     held_out = sides.filter("not training").drop("training")
-    return model.impact_pipeline(categories, handle_invalid).fit(training), held_out
+    return _fitted(training, categories, handle_invalid), held_out
+
+
+def _fitted(
+    training: DataFrame, categories: Sequence[str], handle_invalid: str
+) -> PipelineModel:
+    labels = [model.labels_by_pairs(training, name) for name in categories]
+    return model.impact_pipeline(categories, handle_invalid, labels).fit(training)
 
 
 def investment_impact_rmse(
@@ -162,7 +169,18 @@ def investment_impact_rmse(
     categories: Sequence[str] = model.CATEGORIES,
     digits: int | None = None,
     handle_invalid: str = "error",
+    seed: int | None = None,
 ) -> DataFrame:
+    """RMSE over the held-out pairs. The split is by country and year, or with a ``seed`` by
+    investment row at random; an investment takes all its pairs along."""
+    if seed is not None:
+        labels = materialise(model.label_points(generation), "labels")
+        training, held_out = (
+            materialise(model.paired(labels, model.flow_points(part)), "ml")
+            for part in model.random_split(investment, seed=seed)
+        )
+        fitted = _fitted(training, categories, handle_invalid)
+        return model.rmse(model.predictions(fitted, held_out), digits)
     frame = model.training_frame(generation, investment)
     fitted, held_out = fit_investment_impact(frame, categories, handle_invalid=handle_invalid)
     return model.rmse(model.predictions(fitted, held_out), digits)

@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 
 from yearpanel.sources.scratch import materialise
 
-log = logging.getLogger(__name__)
-
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def read_table(spark: SparkSession, path: str, format: str = "csv") -> DataFrame:
     """A raw table. A CSV file has a header row and keeps every column as text."""
@@ -29,25 +23,17 @@ def write_csv(
     partition_by: list[str] | None = None,
     single_file: bool = False,
     order_by: list[str] | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> None:
     """Write ``df`` as CSV, by default without a header and failing if the path exists.
 
-    ``single_file`` is for reports. The result is computed in parallel into the shared scratch
-    folder and counted there; up to ``single_file_rows`` rows one task then copies it into one
-    file, in ``order_by`` order. A larger result is written whole, as range-sorted part files.
+    ``single_file`` is for reports, whose size the caller knows to be small: the result is
+    computed in parallel into the shared scratch folder, and one task copies it into one file, in
+    ``order_by`` order. It always is one file, whatever its size.
     """
     if single_file:
-        df = materialise(df, "report")
-        rows = df.count()
-        if rows <= single_file_rows:
-            df = df.repartition(1)
-            if order_by:
-                df = df.sortWithinPartitions(*order_by)
-        else:
-            log.warning("%s rows are too many for one file, writing part files to %s", rows, path)
-            if order_by:
-                df = df.orderBy(*order_by)
+        df = materialise(df, "report").repartition(1)
+        if order_by:
+            df = df.sortWithinPartitions(*order_by)
     writer = df.write.mode(mode).option("header", header)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

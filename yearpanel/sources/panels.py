@@ -12,12 +12,10 @@ row per task. There are too few orders per customer and year for that to pay.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from yearpanel.functions.units import normalised
 
@@ -25,15 +23,8 @@ GENERATION = ["country", "year", "technology", "type", "region", "unit", "value"
 SUPPLY_INVESTMENT = ["country", "year", "technology", "region", "amount"]
 
 
-@functools.cache
-def _schema(spark: SparkSession, path: str) -> T.StructType:
-    """Read from a file footer once per session, as several queries use the same tables."""
-    return spark.read.parquet(path).schema
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _in_years(df: DataFrame, date: str, years: tuple[int, int] | None) -> DataFrame:
@@ -98,8 +89,13 @@ def _line_items(
     measure: Column,
     years: tuple[int, int] | None,
     subtotal: Callable[[Column], Column] | None,
+    reduce: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
-    """Line items with the requested dimensions and a measure named by the last column."""
+    """Line items with the requested dimensions and a measure named by the last column.
+
+    Where both parts and suppliers are needed, ``reduce`` combines the rows of a supplier between
+    the two joins. Columns that it adds stay.
+    """
     wanted, value = set(columns), columns[-1]
     by_nation, by_part = bool(wanted & {"country", "region"}), "technology" in wanted
     keys = [
@@ -118,19 +114,24 @@ def _line_items(
     items = items.select(*keys, value)
     if subtotal is not None and by_nation != by_part:
         items = items.groupBy(*keys).agg(subtotal(F.col(value)).alias(value))
-    if by_nation:
-        supplier = table(spark, sf_dir, "supplier")
-        items = items.join(supplier, items.l_suppkey == supplier.s_suppkey)
+    added = []
     if by_part:
         part = table(spark, sf_dir, "part")
         items = items.join(part, items.l_partkey == part.p_partkey)
+    if reduce is not None and by_nation and by_part:
+        kept = [*[key for key in keys if key != "l_partkey"], "p_type"]
+        items = reduce(items.select(*kept, value), kept)
+        added = [name for name in items.columns if name not in {*kept, value}]
+    if by_nation:
+        supplier = table(spark, sf_dir, "supplier")
+        items = items.join(supplier, items.l_suppkey == supplier.s_suppkey)
     # The names come last, so that the large joins shuffle keys and not texts.
     if by_nation:
         items = _with_nation(spark, sf_dir, items, "s_nationkey")
     if "region" in wanted:
         items = _with_region(spark, sf_dir, items)
     names = {"country": "n_name", "region": "r_name", "technology": "p_type"}
-    return items.select(*[F.col(names.get(name, name)).alias(name) for name in columns])
+    return items.select(*[F.col(names.get(name, name)).alias(name) for name in columns], *added)
 
 
 def _unit(flag: Column) -> Column:
@@ -143,10 +144,11 @@ def generation(
     columns: Sequence[str] = GENERATION,
     years: tuple[int, int] | None = None,
     subtotal: Callable[[Column], Column] | None = None,
+    reduce: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """The requested generation columns, ``value`` last and in the GWh scale."""
     measure = normalised(_unit(F.col("l_returnflag")), F.col("l_quantity"))
-    return _line_items(spark, sf_dir, columns, measure, years, subtotal)
+    return _line_items(spark, sf_dir, columns, measure, years, subtotal, reduce)
 
 
 def supply_investment(

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
+_kept: list[list[str]] = []
+
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder that the session names in ``spark.checkpoint.dir``.
@@ -19,7 +23,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
         base = f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _kept:
+        _kept[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def deleted_afterwards(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch tables made inside when it ends, also by an error."""
+    _kept.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(hadoop, _kept.pop()):
+            path.getFileSystem(conf).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
