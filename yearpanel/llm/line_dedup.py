@@ -9,9 +9,11 @@ one edit of each other, so each is joined with the earliest one only: a key cost
 however many lines share it. The edit distance of every joined pair is verified.
 
 Only lines that can have a partner emit variants: one edit leaves the first or the second half of
-a line as it is, so a line whose halves no other line has is passed over. A key hashes the block
-around its position and takes chained hashes of the blocks before and behind it, so that a line
-costs time in proportion to its length.
+a line as it is, so a line whose halves no other line has is passed over. Of the others, one edit
+leaves all but one of 16 segments as they are, so variants are emitted at the positions of those
+segments only outside of which another line is the same. A key hashes the block around its
+position and takes chained hashes of the blocks before and behind it, so that a line costs time in
+proportion to its length.
 
 All of it is DataFrame operations.
 """
@@ -28,6 +30,8 @@ from yearpanel.sources.scratch import materialise
 MIN_CHARS = 20
 #: Blocks of the chained hashes have 32 characters.
 BLOCK_BITS = 5
+#: Segments that positions are narrowed to.
+SEGMENTS = 16
 
 PLACE = ["doc_id", "text_key", "line_no"]
 DIGEST = ["high", "low"]
@@ -79,6 +83,35 @@ def candidates(different: DataFrame, lines: DataFrame) -> DataFrame:
     return lines.join(small(places), PLACE, "left_semi").select(*PLACE, "line").dropDuplicates(PLACE)
 
 
+def _share(length: Column, k: Column) -> Column:
+    return F.floor(length * k / SEGMENTS).cast("int")
+
+
+def segments(near: DataFrame) -> DataFrame:
+    """place, line, m, low, high: positions in which a line may differ from another one by an edit.
+
+    ``m`` is the length of the shorter of the two, the line's own or one less. Both lines have the
+    same characters before ``low`` and the same ones behind ``high``, counted from the end.
+    """
+    n = F.char_length("line")
+
+    def segment(m: Column, k: Column) -> Column:
+        low, high = _share(m, k), _share(m, k + 1)
+        head = F.substring(F.col("line"), F.lit(1), low)
+        tail = F.right(F.col("line"), m - high)
+        key = F.xxhash64(m, k, head, tail)
+        return F.struct(m.alias("m"), low.alias("low"), high.alias("high"), key.alias("key"))
+
+    def every(m: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(SEGMENTS - 1)), lambda k: segment(m, k))
+
+    both = F.concat(every(n), every(n - 1))
+    own = near.select(*PLACE, F.inline(both))
+    shared = own.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    found = own.join(small(materialise(shared, "line-segments")), "key", "left_semi")
+    return found.drop("key").join(near, PLACE)
+
+
 def _chain(blocks: str) -> Column:
     """Hashes of the first 0, 1, 2, ... blocks."""
     start = F.lit(42).cast("long")
@@ -98,6 +131,8 @@ def variants(lines: DataFrame) -> DataFrame:
 
     A variant is known by its length, its position, the whole blocks before the position counted
     from the start, the whole blocks behind it counted from the end, and the characters between.
+    ``lines`` are those of ``segments``: the shorter of two lines leaves out a character, for a
+    substitution, or nothing; the longer one leaves out a character.
     """
     n = F.char_length("line")
     tile = F.lit(f"(?s).{{1,{1 << BLOCK_BITS}}}")
@@ -117,18 +152,22 @@ def variants(lines: DataFrame) -> DataFrame:
     tiled = lines.select(
         *PLACE,
         "line",
+        "m",
+        F.sequence("low", "high").alias("positions"),
         F.regexp_extract_all("line", tile, F.lit(0)).alias("forward"),
         F.regexp_extract_all(F.reverse("line"), tile, F.lit(0)).alias("backward"),
     ).withColumns({"forward_hash": _chain("forward"), "backward_hash": _chain("backward")})
-    without = F.transform(F.sequence(F.lit(0), n - 1), lambda p: key(p, n - 1))
-    whole = F.transform(F.sequence(F.lit(0), n), lambda p: key(p, n))
-    return tiled.select(*PLACE, F.explode(F.concat(without, whole)).alias("key"))
+    inner = F.filter("positions", lambda p: p < n)
+    without = F.transform(inner, lambda p: key(p, n - 1))
+    whole = F.when(n == F.col("m"), F.transform("positions", lambda p: key(p, n)))
+    keys = F.concat(without, F.coalesce(whole, F.array().cast("array<bigint>")))
+    return tiled.select(*PLACE, F.explode(keys).alias("key")).distinct()
 
 
 def linked(near: DataFrame) -> DataFrame:
     """The places of ``candidates`` that have an earlier line within one edit."""
     place = F.struct(*PLACE)
-    keys = materialise(variants(near), "line-variants")
+    keys = materialise(variants(segments(near)), "line-variants")
     heads = (
         keys.groupBy("key")
         .agg(F.min(place).alias("head"), F.max(place).alias("last"))
