@@ -26,7 +26,7 @@ from yearpanel.sources.scratch import materialise, scratch_path
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 16
 #: Rows of a cell, the unit that one task numbers.
-CELL_ROWS = 50_000
+CELL_ROWS = 5_000
 
 BLOCK = ["_old", "_class"]
 CELL = [*BLOCK, "_cell"]
