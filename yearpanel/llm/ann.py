@@ -31,11 +31,13 @@ K = 20
 #: Bounds of the sample for the tree: vectors, and numbers in them.
 SAMPLE_VECTORS, SAMPLE_NUMBERS = 20_000, 4_000_000
 #: Children of a node, and sample vectors of a leaf at most.
-BRANCHES, LEAF_SAMPLE = 8, 24
+BRANCHES, LEAF_SAMPLE = 8, 64
 #: Queries that visits are calibrated on, and the share of exact neighbours they must find.
 CALIBRATION, TARGET = 128, 0.97
 #: Vectors and queries of a cell on average.
 CELL_VECTORS, CELL_QUERIES = 4096, 2048
+#: Queries that are scored at once.
+QUERY_BLOCK = 256
 
 
 @dataclass
@@ -162,6 +164,30 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+def _block(
+    q: np.ndarray, query: np.ndarray, x: np.ndarray, ids: np.ndarray, open_to: np.ndarray, k: int
+) -> pd.DataFrame:
+    """The ``k`` best of the vectors that each query is open to.
+
+    A matrix product finds who may be among them, with room for its rounding; these get the exact
+    score, by which they are ranked.
+    """
+    rough = np.where(open_to, q @ x.T, -np.inf)
+    if len(ids) > k:
+        least = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k, None]
+        room = 1e-9 * (1 + np.abs(q).sum(1, keepdims=True) * np.abs(x).max())
+        open_to = open_to & (rough >= np.where(np.isfinite(least), least - room, -np.inf))
+    row, col = np.nonzero(open_to)
+    score = np.zeros(len(row))
+    for d in range(q.shape[1]):
+        score += q[row, d] * x[col, d]
+    order = np.lexsort((ids[col], -score, row))
+    row, col, score = row[order], col[order], score[order]
+    first = np.searchsorted(row, row)  # where the row's run starts
+    top = np.arange(len(row)) - first < k
+    return pd.DataFrame({"query_id": query[row[top]], "vec_id": ids[col[top]], "score": score[top]})
+
+
 @dataclass
 class Index:
     tree: Tree
@@ -303,27 +329,17 @@ def search(
     )
 
     def score(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []})]
         if len(asking) and len(there):
-            q, x = _matrix(asking["vector"]), _matrix(there["embedding"])
-            query, ids, leaf = (c.to_numpy() for c in (asking["query_id"], there["vec_id"], there["leaf"]))
-            by: dict[int, list[int]] = {}
-            for at, own in enumerate(asking["leaves"]):
-                for number in own:
-                    by.setdefault(number, []).append(at)
-            best_of: dict[int, list[tuple]] = {}
-            for number, all_asking in by.items():
-                own = np.flatnonzero(leaf == number)
-                for start in range(0, len(all_asking) if len(own) else 0, 256):
-                    some = all_asking[start : start + 256]
-                    scores = products(q[some], x[own])
-                    for at, row in zip(some, scores):
-                        top = best(row, ids[own], k + 1)
-                        best_of.setdefault(at, []).extend(zip((-row[top]).tolist(), ids[own][top].tolist()))
-            for at, pairs in best_of.items():
-                kept = heapq.nsmallest(k, (p for p in pairs if p[1] != query[at]))
-                found += [(query[at], number, -value) for value, number in kept]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            x, ids = _matrix(there["embedding"]), there["vec_id"].to_numpy()
+            numbers, leaf = np.unique(there["leaf"].to_numpy(), return_inverse=True)
+            for start in range(0, len(asking), QUERY_BLOCK):
+                some = asking.iloc[start : start + QUERY_BLOCK]
+                visited = np.stack([np.isin(numbers, own) for own in some["leaves"]])
+                query = some["query_id"].to_numpy()
+                open_to = visited[:, leaf] & (ids != query[:, None])
+                found.append(_block(_matrix(some["vector"]), query, x, ids, open_to, k))
+        return pd.concat(found)
 
     key = ["subtree", "part", "query_part"]
     near = (
