@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearpanel.llm import ann, bpe, line_dedup, minhash, packing, quality, sharding, substring_dedup, twins, warc
+from yearpanel.llm import ann, bpe, line_dedup, minhash, packing, quality, sharding, substring_dedup, suffix_dedup, twins, warc
 from yearpanel.sources.scratch import scratch_path
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -43,6 +43,11 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.piece_digests(packing.packed(table(spark, sf, "documents")))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the bytes of strings that a smaller one has."""
+    return suffix_dedup.digests(suffix_dedup.deduplicated(table(spark, sf, "documents")))
+
+
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """Documents kept by source in 32 shards, rewritten as 40 shards of equal row counts."""
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op2_neighbours": op2_neighbours,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
     "op8_minhash": op8_minhash,
