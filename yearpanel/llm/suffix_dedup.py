@@ -39,17 +39,17 @@ FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], dtype=np.uint64)
 def _rolling(data: np.ndarray, length: int, factor: np.uint64) -> np.ndarray:
     """A hash of every stretch of ``length`` bytes, put together from powers of two."""
     parts, size, level = [], 1, data.astype(np.uint64) + np.uint64(1)
-    power = factor
+    power = int(factor)
     n = len(data) - length + 1
     if n < 1:
         return np.zeros(0, dtype=np.uint64)
     out, at = np.zeros(n, dtype=np.uint64), 0
     while size <= length:
         if length & size:
-            parts.append((size, level, power))
+            parts.append((size, level, np.uint64(power)))
         if 2 * size <= length:
-            level = level[:-size] * power + level[size:]
-            power = power * power
+            level = level[:-size] * np.uint64(power) + level[size:]
+            power = power * power & (1 << 64) - 1
         size *= 2
     for size, level, power in reversed(parts):
         out = out * power + level[at : at + n]
@@ -62,6 +62,31 @@ def _mixed(code: np.ndarray) -> np.ndarray:
     return code ^ code >> np.uint64(29)
 
 
+def _frames(pieces: Iterator[dict], rows: int = 200_000) -> Iterator[pd.DataFrame]:
+    """Frames of many short pieces, each a dictionary of arrays and single values."""
+    held, n = [], 0
+
+    def joined() -> pd.DataFrame:
+        sizes = [max(np.size(v) if np.ndim(v) else 0 for v in piece.values()) for piece in held]
+        return pd.DataFrame(
+            {
+                name: np.concatenate(
+                    [p[name] if np.ndim(p[name]) else np.full(k, p[name]) for p, k in zip(held, sizes)]
+                )
+                for name in held[0]
+            }
+        )
+
+    for piece in pieces:
+        held.append(piece)
+        n += max(np.size(v) if np.ndim(v) else 0 for v in piece.values())
+        if n >= rows:
+            yield joined()
+            held, n = [], 0
+    if held:
+        yield joined()
+
+
 def grams(data: np.ndarray) -> np.ndarray:
     return _mixed(_rolling(data, GRAM, FACTORS[0]))
 
@@ -92,14 +117,13 @@ def strings(docs: DataFrame) -> DataFrame:
 def stretches(found: DataFrame, width: int) -> DataFrame:
     """sid, source, doc_id, start, text: parts of strings that may repeat, each a new string."""
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for batch in batches:
             for sid, text in zip(batch["sid"], batch["text"]):
                 own = anchors(np.frombuffer(text, dtype=np.uint8), width)
-                if len(own):
-                    yield pd.DataFrame({"source": sid, "anchor": own.view(np.int64)})
+                yield {"source": sid, "anchor": own.view(np.int64)}
 
-    marks = materialise(found.select("sid", "text").mapInPandas(mark, "source long, anchor long"), "anchors")
+    marks = materialise(found.select("sid", "text").mapInPandas(lambda b: _frames(mark(b)), "source long, anchor long"), "anchors")
     shared = marks.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     repeated = (
         marks.join(small(materialise(shared, "shared-anchors")), "anchor", "left_semi")
@@ -161,7 +185,7 @@ def _named(level: DataFrame, sampled: bool) -> DataFrame:
     """sid, at, rank: names in sorted order. Of triples at sampled positions, whose strings of
     positions 1 and 2 modulo 3 get the ids 2 sid and 2 sid + 1; or of pairs at all positions."""
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for batch in batches:
             for sid, symbols in zip(batch["sid"], batch["symbols"]):
                 s = np.asarray(symbols, dtype=np.int64)
@@ -169,11 +193,10 @@ def _named(level: DataFrame, sampled: bool) -> DataFrame:
                 if sampled:
                     for k in (1, 2):
                         own = np.arange(k, len(s), 3)
-                        yield pd.DataFrame(
-                            {"a": s[own], "b": one[own], "c": two[own], "sid": 2 * sid + k - 1, "at": own // 3}
-                        )
+                        named = {"a": s[own], "b": one[own], "c": two[own]}
+                        yield named | {"sid": 2 * sid + k - 1, "at": own // 3}
                 else:
-                    yield pd.DataFrame({"a": s, "b": one, "c": 0, "sid": sid, "at": np.arange(len(s))})
+                    yield {"a": s, "b": one, "c": 0, "sid": sid, "at": np.arange(len(s))}
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = 0
@@ -181,7 +204,7 @@ def _named(level: DataFrame, sampled: bool) -> DataFrame:
             yield batch.assign(part=_part(), k=np.arange(at, at + len(batch)))
             at += len(batch)
 
-    rows = materialise(level.mapInPandas(keys, "a long, b long, c long, sid long, at long"), "keys")
+    rows = materialise(level.mapInPandas(lambda b: _frames(keys(b)), "a long, b long, c long, sid long, at long"), "keys")
     key = ["a", "b", "c"]
     ordered = rows.select(*key).distinct().repartitionByRange(*key).sortWithinPartitions(*key)
     names = _placed(ordered.mapInPandas(number, "a long, b long, c long, part int, k long"), "a b c")
@@ -217,7 +240,7 @@ def _merge_rows(level: DataFrame, cover: DataFrame, extra: str = "") -> DataFram
     right = side.filter("side = 1").select("sid", F.col("symbols").alias("second"))
     top = bool(extra)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
         for batch in batches:
             for sid, own, first, second, doc_id in batch.itertuples(index=False):
                 if top:
@@ -235,20 +258,18 @@ def _merge_rows(level: DataFrame, cover: DataFrame, extra: str = "") -> DataFram
                     quads = [_shifted(s, k) for k in range(8)]
                     p = quads[0] << 27 | quads[1] << 18 | quads[2] << 9 | quads[3]
                     q = quads[4] << 27 | quads[5] << 18 | quads[6] << 9 | quads[7]
-                out = pd.DataFrame(
-                    {
-                        "p": p,
-                        "q": q,
-                        "kind": np.arange(n) % 3,
-                        "s": s,
-                        "t": _shifted(s, 1),
-                        "r0": rank[:n],
-                        "r1": rank[1 : n + 1],
-                        "r2": rank[2 : n + 2],
-                        "sid": sid,
-                        "at": np.arange(n),
-                    }
-                )
+                out = {
+                    "p": p,
+                    "q": q,
+                    "kind": np.arange(n) % 3,
+                    "s": s,
+                    "t": _shifted(s, 1),
+                    "r0": rank[:n],
+                    "r1": rank[1 : n + 1],
+                    "r2": rank[2 : n + 2],
+                    "sid": sid,
+                    "at": np.arange(n),
+                }
                 if top:
                     window = [_rolling(data, WIDTH, f).view(np.int64) for f in FACTORS]
                     for name, codes in zip(("h", "i"), window):
@@ -259,7 +280,9 @@ def _merge_rows(level: DataFrame, cover: DataFrame, extra: str = "") -> DataFram
 
     joined = level.join(left, "sid", "left").join(right, "sid", "left")
     own, doc = ("text", F.col("doc_id")) if top else ("symbols", F.lit(0).cast("long"))
-    rows = joined.select("sid", own, "first", "second", doc.alias("doc_id")).mapInPandas(run, MERGE + extra)
+    rows = joined.select("sid", own, "first", "second", doc.alias("doc_id")).mapInPandas(
+        lambda batches: _frames(run(batches)), MERGE + extra
+    )
     return rows.repartitionByRange("p", "q")
 
 
