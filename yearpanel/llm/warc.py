@@ -188,7 +188,7 @@ def write_archives(plan: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BY
 
         for content, n in archive(made(), archive_bytes):
             name = f"{uuid.uuid4().hex}.warc.zst"
-            with files.open_output_stream(posixpath.join(base, name)) as out:
+            with files.open_output_stream(posixpath.join(base, name), compression=None) as out:
                 out.write(content)
             yield pd.DataFrame({"archive": [name], "records": [n], "bytes": [len(content)]})
 
@@ -313,7 +313,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
         files, base = _open(folder)
         for batch in batches:
             for name, records in zip(batch["archive"], batch["records"]):
-                with files.open_input_stream(posixpath.join(base, name)) as source:
+                with files.open_input_stream(posixpath.join(base, name), compression=None) as source:
                     data = source.read()
                 n = 0
                 held: list[tuple] = []
