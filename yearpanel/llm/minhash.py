@@ -8,11 +8,12 @@ has are dropped before pairs are formed; that loses nothing.
 
 Documents with the same set of shingles are one class. In every table all members are first paired
 with one pivot only, the document that is in most company; each document is verified against the
-pivot it meets most often, on the full sets. Verified links give components. Members of a table
-that still are in different components are then compared with each other, in blocks of signatures,
-and all pairs that may be similar enough are verified. So links inside what is connected already
-are never listed, and no others are lost but to the chance that two documents meet in no table,
-which is 1e-5 at a similarity of 0.8 and falls steeply above.
+pivot it meets most often, on the full sets. Verified links give components. Documents that share
+a table and still are in different components are then compared with each other, in blocks: first
+by signature, to find who has a partner that may be similar enough, then on the full sets. A block
+gives only the links that connect components, so that neither links inside what is connected nor
+pairs that fail are listed. No link is lost but to the chance that two documents meet in no table
+or in too few minhashes, which is 1e-5 at a similarity of 0.8 and falls steeply above.
 """
 
 from __future__ import annotations
@@ -181,17 +182,19 @@ def pivot_pairs(members: DataFrame) -> DataFrame:
     )
 
 
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and text of the documents in ``ids``, one row for each."""
+    named = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    chosen = named.join(small(materialise(ids, "text-ids")), "doc_id", "left_semi")
+    return materialise(chosen.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of doc_ids whose full sets are similar enough."""
     pairs = materialise(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = materialise(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .join(small(materialise(ids, "pair-ids")), "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min("text").alias("text")),
-        "pair-texts",
-    )
+    texts = texts_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = functools.lru_cache(maxsize=64)(shingles)
@@ -222,58 +225,134 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rest
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """a and b: members of a table in different components whose signatures are alike enough."""
-    labelled = members.select("key", "id").join(labels, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("label")
-    )
-    labelled = materialise(labelled, "labelled-members")
-    mixed = (
-        labelled.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-        .filter("least < most")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    )
+def _dealt(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` (key, id, ...) repeated for the cells of their bucket.
+
+    A cell is a pair of parts of a bucket; a member goes to the cells of its part with any part.
+    Buckets of up to BLOCK members are one cell.
+    """
     part = F.pmod(F.xxhash64("id"), "parts").cast("int")
-    # A cell is a pair of parts: each member goes to the cells of its part with any part.
     cells = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
         lambda k: F.least("part", k) * F.col("parts") + F.greatest("part", k),
     )
-    dealt = (
-        labelled.join(small(materialise(mixed, "mixed-tables")), "key")
-        .withColumn("part", part)
-        .select("key", "id", "label", F.explode(cells).alias("cell"))
-        .join(classes.select("id", "n_shingles", "signature"), "id")
+    joined = rows.join(sizes, "key").withColumn("part", part).withColumn("cell", F.explode(cells))
+    return joined.drop("part", "parts")
+
+
+def _by_cell(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "cell").sortWithinPartitions("key", "cell")
+
+
+def meeting(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, cell, id, label: where documents of different components meet that may be similar.
+
+    Buckets are the hashes of the first collection. A pair is looked at in the first bucket it
+    shares, and counts if it also shares a hash of the second collection, which means a table, if
+    its sizes allow the similarity and if enough of its minhashes agree. A document is named once
+    for each cell in which it has such a partner, however many partners it has.
+    """
+    labelled = members.select("key", "id").join(labels, "id", "left")
+    labelled = materialise(
+        labelled.select("key", "id", F.coalesce("component", "id").alias("label")), "labelled-members"
+    )
+    mixed = (
+        labelled.groupBy("key")
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        .filter("least < most")
+        .select("key")
+    )
+    open_ids = labelled.join(small(materialise(mixed, "mixed-tables")), "key", "left_semi")
+    open_ids = materialise(open_ids.select("id", "label").distinct(), "open-members")
+    own = classes.join(small(open_ids), "id").select("id", "label", "n_shingles", "halves", "signature")
+    firsts = own.select("*", F.explode(F.slice("halves", 1, HALVES)).alias("key"))
+    sizes = materialise(
+        firsts.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+        .filter("least < most")
+        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")),
+        "open-buckets",
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: list[tuple] = []
         for group in _groups(batches):
-            ids, label = group["id"].to_numpy(), group["label"].to_numpy()
-            if len(ids) < 2 or (label == label[0]).all():
+            label = group["label"].to_numpy()
+            if len(label) < 2 or (label == label[0]).all():
                 continue
-            size, own = group["n_shingles"].to_numpy(), np.stack(group["signature"].to_numpy())
-            for k in range(len(ids) - 1):
+            size, key = group["n_shingles"].to_numpy(), group["key"].iloc[0]
+            half, own = np.stack(group["halves"].to_numpy()), np.stack(group["signature"].to_numpy())
+            at = int(np.flatnonzero(half[0, :HALVES] == key)[0])
+            found = np.zeros(len(label), dtype=bool)
+            for k in range(len(label) - 1):
                 low, high = np.minimum(size[k], size[k + 1 :]), np.maximum(size[k], size[k + 1 :])
                 near = (label[k] != label[k + 1 :]) & (100 * low >= PERCENT * high)
-                at = np.flatnonzero(near) + k + 1
-                at = at[(own[at] == own[k]).sum(1) >= MIN_EQUAL]
-                found += [(min(ids[k], ids[j]), max(ids[k], ids[j])) for j in at]
-            if len(found) > 50_000:
-                yield pd.DataFrame(sorted(set(found)), columns=["a", "b"])
-                found = []
-        if found:
-            yield pd.DataFrame(sorted(set(found)), columns=["a", "b"])
-
-    return (
-        dealt.repartition("key", "cell")
-        .sortWithinPartitions("key", "cell")
-        .mapInPandas(run, "a long, b long")
-        .distinct()
+                other = np.flatnonzero(near) + k + 1
+                equal = half[other] == half[k]
+                other = other[~equal[:, :at].any(1) & equal[:, HALVES:].any(1)]
+                other = other[(own[other] == own[k]).sum(1) >= MIN_EQUAL]
+                found[other] = True
+                found[k] |= len(other) > 0
+            if found.any():
+                yield group.loc[found, ["key", "cell", "id", "label"]]
+
+    return _by_cell(_dealt(firsts, small(sizes))).mapInPandas(
+        run, "key long, cell int, id long, label long"
     )
 
 
+def spanning_links(sets: list[np.ndarray], label: np.ndarray) -> list[tuple[int, int]]:
+    """Links between similar sets that connect different labels, as few as connect the same ones."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    every, place = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(n), size)
+    shared = np.bincount(place, minlength=len(every)) > 1
+    row, place = row[shared[place]], (np.cumsum(shared) - 1)[place[shared[place]]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    both = np.zeros((n, n), dtype=np.float32)
+    for start in range(0, int(shared.sum()), 4096):
+        low, high = np.searchsorted(place, (start, start + 4096))
+        part = np.zeros((n, 4096), dtype=np.float32)
+        part[row[low:high], place[low:high] - start] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    similar = 100 * both >= PERCENT * (size[:, None] + size - both)
+    a, b = np.nonzero(np.triu(similar & (label[:, None] != label), 1))
+    parent = {int(x): int(x) for x in label}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for x, y in zip(a.tolist(), b.tolist()):
+        p, q = root(int(label[x])), root(int(label[y]))
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            links.append((x, y))
+    return links
+
+
+def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """a and b: links between the components, found on full sets where documents meet."""
+    met = materialise(meeting(members, labels, classes), "meetings")
+    texts = texts_of(met.select(F.col("id").alias("doc_id")).distinct(), docs)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(batches):
+            ids = group["id"].to_numpy()
+            sets = [shingles(text or "") for text in group["text"]]
+            links = spanning_links(sets, group["label"].to_numpy())
+            if links:
+                yield pd.DataFrame([(ids[x], ids[y]) for x, y in links], columns=["a", "b"])
+
+    rows = met.join(texts.withColumnRenamed("doc_id", "id"), "id")
+    return _by_cell(rows).mapInPandas(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row per row with a doc_id.
 
@@ -294,8 +373,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = materialise(company(tables(classes)), "members")
     links = materialise(verified(pivot_pairs(members), docs), "pivot-links")
     labels = materialise(components(links), "labels")
-    crossed = verified(cross_pairs(members, labels, classes), docs)
-    crossed = materialise(crossed, "cross-links")
+    crossed = materialise(cross_links(members, labels, classes, docs), "cross-links")
     if not crossed.isEmpty():
         labels = materialise(components(links.unionByName(crossed)), "labels")
     joined = (
