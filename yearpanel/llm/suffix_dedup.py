@@ -33,6 +33,8 @@ from yearpanel.sources.scratch import materialise
 
 WIDTH = 50
 GRAM = 16
+#: Suffixes of a range that one task sorts, on average.
+RANGE_ROWS = 250_000
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -283,7 +285,9 @@ def _merge_rows(level: DataFrame, cover: DataFrame, extra: str = "") -> DataFram
     rows = joined.select("sid", own, "first", "second", doc.alias("doc_id")).mapInPandas(
         lambda batches: _frames(run(batches)), MERGE + extra
     )
-    return rows.repartitionByRange("p", "q")
+    length = F.octet_length("text") if top else F.size("symbols")
+    total = level.agg(F.sum(length)).first()[0] or 0
+    return rows.repartitionByRange(1 + total // RANGE_ROWS, "p", "q")
 
 
 def _earlier(mine: list[np.ndarray], theirs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
