@@ -414,10 +414,10 @@ QUERIES: dict[str, Query] = {
     ),
     # Trend
     "trend_slopes": lambda spark, sf: rounded(
-        slopes(panels.emissions(spark, sf), "total"), 3, "slope"
+        slopes(panels.emissions(spark, sf), "total"), 4, "slope"
     ),
     "trend_top10": lambda spark, sf: rounded(
-        reports.fastest_growing_emitters(panels.emissions(spark, sf)), 3, "slope"
+        reports.fastest_growing_emitters(panels.emissions(spark, sf)), 4, "slope"
     ),
     # Model
     "ml_training_frame": lambda spark, sf: rounded(

@@ -478,11 +478,11 @@ FROM generation GROUP BY ALL""",
     "raw_lag_corr_generation": f"""WITH {CLEAN_GENERATION}, {CLEAN_INVESTMENT},
 {GENERATION_LAG_TAIL} {GENERATION_LAG_CORRELATION}""",
     "trend_slopes": f"""WITH {EMISSIONS}
-SELECT country, round(coalesce(regr_slope(total, year), 0), 3) AS slope
+SELECT country, round(coalesce(regr_slope(total, year), 0), 4) AS slope
 FROM (SELECT country, year, {exact("total")} AS total FROM emissions GROUP BY ALL)
 GROUP BY country""",
     "trend_top10": f"""WITH {EMISSIONS}
-SELECT country, round(slope, 3) AS slope
+SELECT country, round(slope, 4) AS slope
 FROM (SELECT country, regr_slope(total, year) AS slope
       FROM (SELECT country, year, {exact("total")} AS total FROM emissions GROUP BY ALL)
       GROUP BY country)
