@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from yearpanel.operators import model
 from yearpanel.plans import reports
 from yearpanel.sources import panels
 
@@ -70,3 +71,22 @@ def test_a_hot_supplier_arrives_combined(spark, skewed, small_cluster):
     other, other_plan = executed(reports.generation_country_year(plain, digits=2))
     assert mine == other
     assert "skew=true" in other_plan and "skew=true" not in mine_plan
+
+
+def test_a_hot_part_is_split_and_a_hot_supplier_arrives_reduced(spark, skewed, small_cluster):
+    columns = ["country", "year", "technology", "value"]
+    reduced = panels.generation(spark, skewed, columns, reduce=model.supplier_points)
+    mine, plan = executed(model.label_points(reduced))
+    assert "skew=true" in plan
+    other, _ = executed(model.label_points(panels.generation(spark, skewed, columns)))
+    assert len(mine) == len(other) > 1000
+    for a, b in zip(mine, other):
+        assert a[:3] == b[:3] and a[4] == b[4]
+        assert a[3] == pytest.approx(b[3], rel=1e-9)
+
+
+def test_hot_keys_of_the_raw_panel_are_split(spark, skewed, small_cluster):
+    raw = panels.raw_generation(spark, skewed).groupBy("Type", "Unit").agg(F.count("*").alias("n"))
+    found, plan = executed(raw)
+    assert "skew=true" in plan
+    assert sum(row[2] for row in found) == panels.table(spark, skewed, "lineitem").count()
