@@ -67,8 +67,12 @@ def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document without the lines that are within one edit of an earlier one."""
-    return line_dedup.digests(line_dedup.deduplicated(table(spark, sf, "documents")))
+    """Every document without the lines that are within one edit of an earlier one.
+
+    As in the SQL twin, short lines take no part here; they do by default, and in the pipeline.
+    """
+    docs = table(spark, sf, "documents")
+    return line_dedup.digests(line_dedup.deduplicated(docs, short_repeats=False))
 
 
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,6 +15,8 @@ segments only outside of which another line is the same. A key hashes the block
 position and takes chained hashes of the blocks before and behind it, so that a line costs time in
 proportion to its length.
 
+Exact repeats are grouped by digest, whatever the length of the line.
+
 All of it is DataFrame operations.
 """
 
@@ -26,8 +28,11 @@ from pyspark.sql import functions as F
 from yearpanel.llm.common import keyed_texts, small
 from yearpanel.sources.scratch import materialise
 
-#: Lines with fewer characters (outer blanks aside) are left alone: they repeat by chance.
+#: Lines with fewer characters (outer blanks aside) are within one edit of others by chance: they go
+#: as exact repeats only.
 MIN_CHARS = 20
+#: A line that has more than white space.
+NOT_BLANK = r"(?U)\S"
 #: Blocks of the chained hashes have 32 characters.
 BLOCK_BITS = 5
 #: Segments that positions are narrowed to.
@@ -37,15 +42,17 @@ PLACE = ["doc_id", "text_key", "line_no"]
 DIGEST = ["high", "low"]
 
 
-def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, text_key, line_no (from 0), line, high, low: the lines that take part.
+def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS, short_repeats: bool = True) -> DataFrame:
+    """doc_id, text_key, line_no (from 0), line, long, high, low: the lines that take part.
 
-    The digest of 128 bits stands for the line.
+    ``long`` lines are compared by edits, others, which have more than white space, as a whole; the
+    others take no part without ``short_repeats``. The digest of 128 bits stands for the line.
     """
     lines = keyed_texts(docs).select("doc_id", "text_key", F.posexplode(F.split("text", "\n", -1)))
     return (
         lines.toDF(*PLACE, "line")
-        .filter(F.char_length(F.trim("line")) >= min_chars)
+        .withColumn("long", F.char_length(F.trim("line")) >= min_chars)
+        .filter(F.col("long") | F.col("line").rlike(NOT_BLANK) if short_repeats else F.col("long"))
         .withColumn("high", F.xxhash64("line"))
         .withColumn("low", F.xxhash64(F.lit("low"), "line"))
     )
@@ -67,8 +74,11 @@ def _halves() -> list[Column]:
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """high, low, n, place columns of the earliest occurrence and halves of every different line."""
-    halves = F.array(*_halves()).alias("halves")
+    """high, low, n, place columns of the earliest occurrence and halves of every different line.
+
+    A line that is not long has no halves.
+    """
+    halves = F.when(F.col("long"), F.array(*_halves())).alias("halves")
     own = lines.select(*DIGEST, F.struct(*PLACE, halves).alias("own"))
     grouped = own.groupBy(*DIGEST).agg(F.min("own").alias("own"), F.count("*").alias("n"))
     return grouped.select(*DIGEST, "n", "own.*")
@@ -190,14 +200,14 @@ def linked(near: DataFrame) -> DataFrame:
     )
 
 
-def removals(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def removals(docs: DataFrame, min_chars: int = MIN_CHARS, short_repeats: bool = True) -> DataFrame:
     """doc_id, text_key, gone: the numbers of a document's lines that go. Only where there are any.
 
-    A line goes if a line at an earlier place is equal to it or within one edit, whether or not
-    that one goes itself. Places are ordered by doc_id, then text_key, then line; rows that repeat
+    A line goes if a line at an earlier place is equal to it or, for lines of ``min_chars`` and
+    more, within one edit, whether or not that one goes itself. Blank lines stay. Places are ordered by doc_id, then text_key, then line; rows that repeat
     whole share their places and keep what they have.
     """
-    lines = lines_of(docs, min_chars)
+    lines = lines_of(docs, min_chars, short_repeats)
     different = materialise(distinct_lines(lines), "lines")
     near = materialise(candidates(different, lines), "line-texts")
     late = linked(near).withColumn("late", F.lit(True))
@@ -215,13 +225,15 @@ def removals(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, min_chars: int = MIN_CHARS, short_repeats: bool = True
+) -> DataFrame:
     """doc_id, text_key, kept_text, n_lines, n_removed, one row per row with a doc_id.
 
     A null or empty text is one empty line, which stays. Rows without a doc_id have no place and
     are left out. Texts without a line to remove stay as they are, line breaks included.
     """
-    gone = materialise(removals(docs, min_chars), "line-removals")
+    gone = materialise(removals(docs, min_chars, short_repeats), "line-removals")
     split = F.split("text", "\n", -1)
     kept = F.filter(split, lambda _, k: ~F.array_contains("gone", k))
     return (
