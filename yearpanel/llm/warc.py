@@ -330,7 +330,9 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
                     raise InvalidArchive(f"{name} has {n} records, not {records}")
 
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder.rstrip('/')}/manifest")
-    return manifest.repartition(F.col("archive")).mapInPandas(run, RECORDS)
+    # A stated number is not coalesced, however few bytes the manifest has.
+    parts = max(1, manifest.count())
+    return manifest.repartition(parts, F.col("archive")).mapInPandas(run, RECORDS)
 
 
 def _rows(held: list[tuple]) -> pd.DataFrame:
