@@ -55,9 +55,14 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id."""
-    gone = minhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(small(materialise(gone, "near-duplicates")), "doc_id", "left_anti").select(
+    """One document of each group of near-duplicates, the one with the smallest doc_id.
+
+    Rows that share a doc_id go or stay by their own texts.
+    """
+    gone = minhash.judged(docs).filter("not kept")
+    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct()
+    own = (F.col("doc_id").cast("long") == F.col("_doc")) & (_text_key() == F.col("_key"))
+    return docs.join(small(materialise(gone, "near-duplicates")), own, "left_anti").select(
         *docs.columns
     )
 

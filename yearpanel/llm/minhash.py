@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yearpanel.llm.common import small
+from yearpanel.llm.common import keyed_texts, small
 from yearpanel.llm.components import components
 from yearpanel.sources.scratch import materialise
 
@@ -44,7 +44,7 @@ BLOCK = 1024
 REMEMBERED = 500_000
 
 SIGNATURE = (
-    "doc_id long, n_shingles long, high long, low long, halves array<long>, signature array<int>"
+    "doc_id long, text_key long, n_shingles long, high long, low long, halves array<long>, signature array<int>"
 )
 
 _words: dict[bytes, int] = {}
@@ -95,7 +95,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, high, low, halves, signature of every row with a doc_id.
+    """doc_id, text_key, n_shingles, high, low, halves, signature of every row with a doc_id.
 
     high and low are a digest of the set; they, the halves and the signature are null for a text
     without words.
@@ -125,14 +125,11 @@ def signatures(docs: DataFrame) -> DataFrame:
                 )
             names = ["n_shingles", "high", "low", "halves", "signature"]
             result = pd.DataFrame(out, columns=names).astype({"high": "Int64", "low": "Int64"})
+            result.insert(0, "text_key", batch["text_key"].to_numpy())
             result.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield result
 
-    return (
-        docs.filter("doc_id is not null")
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .mapInPandas(run, SIGNATURE)
-    )
+    return keyed_texts(docs).mapInPandas(run, SIGNATURE)
 
 
 def tables(classes: DataFrame) -> DataFrame:
@@ -182,19 +179,18 @@ def pivot_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id and text of the documents in ``ids``, one row for each."""
-    named = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
-    chosen = named.join(small(materialise(ids, "text-ids")), "doc_id", "left_semi")
-    return materialise(chosen.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+def texts_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """id and text of the classes in ``ids``, one row for each: the text of the class's own row."""
+    places = classes.select("id", "doc_id", "text_key").join(ids, "id", "left_semi")
+    chosen = keyed_texts(docs).join(small(materialise(places, "text-ids")), ["doc_id", "text_key"])
+    return materialise(chosen.groupBy("id").agg(F.min("text").alias("text")), "texts")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose full sets are similar enough."""
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough."""
     pairs = materialise(pairs, "pairs")
-    texts = texts_of(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), docs)
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = texts_of(ids, classes, docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = functools.lru_cache(maxsize=64)(shingles)
@@ -205,8 +201,8 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             ]
             yield batch.loc[good, ["a", "b"]]
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
+    left = texts.select(F.col("id").alias("a"), F.col("text").alias("a_text"))
+    right = texts.select(F.col("id").alias("b"), F.col("text").alias("b_text"))
     return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
 
 
@@ -339,7 +335,7 @@ def spanning_links(sets: list[np.ndarray], label: np.ndarray) -> list[tuple[int,
 def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """a and b: links between the components, found on full sets where documents meet."""
     met = materialise(meeting(members, labels, classes), "meetings")
-    texts = texts_of(met.select(F.col("id").alias("doc_id")).distinct(), docs)
+    texts = texts_of(met.select("id").distinct(), classes, docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _groups(batches):
@@ -349,12 +345,17 @@ def cross_links(members: DataFrame, labels: DataFrame, classes: DataFrame, docs:
             if links:
                 yield pd.DataFrame([(ids[x], ids[y]) for x, y in links], columns=["a", "b"])
 
-    rows = met.join(texts.withColumnRenamed("doc_id", "id"), "id")
+    rows = met.join(texts, "id")
     return _by_cell(rows).mapInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, one row per row with a doc_id.
+    """doc_id, n_shingles, component_id, kept: ``judged`` without the text_key."""
+    return judged(docs).drop("text_key")
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, kept, one row per row with a doc_id.
 
     Documents with at least 80 % of their shingles of four words in common are linked;
     component_id is the smallest doc_id reachable, and kept says that it is the document's own. A
@@ -362,33 +363,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     share a doc_id get equal results if their texts are equal; else each goes by its own text.
     """
     own = materialise(signatures(docs), "signatures")
-    content = F.struct("doc_id", "n_shingles", "halves", "signature")
+    content = F.struct("doc_id", "text_key", "n_shingles", "halves", "signature")
+    # A doc_id may have several texts, so classes have numbers of their own.
     classes = materialise(
         own.filter("n_shingles > 0")
         .groupBy("high", "low")
         .agg(F.min(content).alias("c"), F.count("*").alias("n"))
-        .select("high", "low", "n", F.col("c.doc_id").alias("id"), "c.n_shingles", "c.halves", "c.signature"),
+        .select("high", "low", "n", "c.*", F.monotonically_increasing_id().alias("id")),
         "classes",
     )
     members = materialise(company(tables(classes)), "members")
-    links = materialise(verified(pivot_pairs(members), docs), "pivot-links")
+    links = materialise(verified(pivot_pairs(members), classes, docs), "pivot-links")
     labels = materialise(components(links), "labels")
     crossed = materialise(cross_links(members, labels, classes, docs), "cross-links")
     if not crossed.isEmpty():
         labels = materialise(components(links.unionByName(crossed)), "labels")
+    named = materialise(classes.select("id", "doc_id").join(labels, "id"), "labelled-classes")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = named.join(small(materialise(least, "components")), "component").select("id", "least")
     joined = (
-        classes.select("high", "low", "n", "id")
-        .join(labels, "id", "left")
-        .withColumn("component", F.coalesce("component", "id"))
-        .filter("n > 1 or component != id")
+        classes.select("high", "low", "n", "id", "doc_id")
+        .join(least, "id", "left")
+        .withColumn("component", F.coalesce("least", "doc_id"))
+        .filter("n > 1 or component != doc_id")
         .select("high", "low", "component")
     )
     component = F.coalesce("component", "doc_id")
     return (
-        own.select("doc_id", "n_shingles", "high", "low")
+        own.select("doc_id", "text_key", "n_shingles", "high", "low")
         .join(small(materialise(joined, "joined-classes")), ["high", "low"], "left")
         .select(
             "doc_id",
+            "text_key",
             "n_shingles",
             component.alias("component_id"),
             (component == F.col("doc_id")).alias("kept"),
