@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
-def line_features(text: bytes, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """A row of features for each line with a word, and the words of each.
 
     Shares of symbols, capitals, digits and marks among the characters that are no white space,
@@ -110,8 +111,6 @@ def line_features(text: bytes, most: int | None = None) -> tuple[np.ndarray, np.
         out.append((1.0, *share, variety, line in seen, np.log1p(len(words)), end))
         counts.append(len(words))
         seen.add(line)
-        if most and len(out) == most:
-            break
     return np.array(out, dtype=float).reshape(-1, N_FEATURES), np.array(counts, dtype=np.int64)
 
 
@@ -229,10 +228,24 @@ def _marginals(scores, transition, start, there) -> tuple[np.ndarray, np.ndarray
     return node, (edge * there[:, 1:, None, None]).sum((0, 1))
 
 
+def line_run(features: np.ndarray, lines: int, doc_id: int) -> np.ndarray:
+    """At most ``lines`` neighbouring lines of a document, drawn by a hash of its id.
+
+    A run may begin before the first line or end behind the last one, and what it has of the
+    document is taken, so that every line of a long document has the same chance.
+    """
+    n = len(features)
+    if n <= lines:
+        return features
+    drawn = xxhash.xxh3_64_intdigest(f"lines {doc_id}".encode())
+    start = drawn % (n + lines - 1) - (lines - 1)
+    return features[max(start, 0) : start + lines]
+
+
 def sampled_features(
     docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_DOCS, lines: int = SAMPLE_LINES
 ) -> tuple[list[np.ndarray], list[bool]]:
-    """Line features of at most ``per_label`` documents of each label, ``lines`` of each.
+    """Line features of at most ``per_label`` documents of each label, a run of ``lines`` of each.
 
     The sample is the same in every run: the labelled ids with the smallest hashes. Only its
     numbers reach the driver, no text.
@@ -249,7 +262,8 @@ def sampled_features(
                 if doc_id in seen:
                     continue
                 seen.add(doc_id)
-                own, _ = line_features((text or "").encode(), lines)
+                own, _ = line_features((text or "").encode())
+                own = line_run(own, lines, doc_id)
                 yield pd.DataFrame(
                     {"doc_id": [doc_id], "quality": [quality], "own": [own.ravel().tolist()]}
                 )
