@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearpanel.llm import ann, bpe, line_dedup, minhash, packing, quality, sharding, substring_dedup, suffix_dedup, twins, warc
+from yearpanel.llm import (
+    ann,
+    bpe,
+    conversations,
+    filter_audit,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+    twins,
+    warc,
+)
 from yearpanel.sources.scratch import scratch_path
 
 OLD_SHARDS, SHARDS = 32, 40
@@ -91,6 +106,23 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation."""
+    return conversations.repaired(table(spark, sf, "conversations"))
+
+
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What each filter removes at each step of every order, by source."""
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op13_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """How many words of each document the mix of sources takes."""
+    return mixing.mixed(table(spark, sf, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_neighbours": op2_neighbours,
@@ -102,6 +134,9 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality": op10_quality,
+    "op11_conversations": op11_conversations,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLES: dict[str, str] = dict(twins.ORACLES)

@@ -94,4 +94,103 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
 FROM judged GROUP BY doc_id
 """
 
-ORACLES = {"op1_substring_dedup": SUBSTRING, "op9_line_dedup": LINES}
+# Every order and step is looked at for every cell of documents with the same failures.
+FILTERS = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), judged AS (
+    SELECT doc_id, part, [len(words) < 50,
+        100 * len(list_distinct(words)) < 65 * len(words),
+        100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+        regexp_matches(text, '[#$%&*|]'),
+        coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, FALSE)] AS fails
+    FROM docs
+), known AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM judged LEFT JOIN known USING (doc_id) GROUP BY part, fails
+), letters AS (
+    SELECT unnest(string_split('ABCDE', '')) AS l
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), steps AS (
+    SELECT filter_order, CAST(s AS INTEGER) AS step,
+           list_transform(string_split(filter_order[1:s], ''), lambda x: instr('ABCDE', x)) AS upto,
+           instr('ABCDE', filter_order[s:s]) AS own
+    FROM orders, range(1, 6) r(s)
+), counted AS (
+    SELECT part, filter_order, step, own,
+        sum(n) FILTER (NOT list_bool_or([fails[k] FOR k IN upto])) AS kept,
+        sum(n) FILTER (fails[own] AND len([k FOR k IN upto IF fails[k]]) = 1) AS removed,
+        sum(n) FILTER (fails[own] AND len([k FOR k IN upto IF fails[k]]) > 1) AS redundant,
+        sum(n) FILTER (fails[own] AND len([f FOR f IN fails IF f]) = 1) AS unique_fails,
+        sum(good) FILTER (fails[own] AND len([k FOR k IN upto IF fails[k]]) = 1) AS good_lost,
+        sum(toxic) FILTER (fails[own] AND len([k FOR k IN upto IF fails[k]]) = 1) AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step,
+    CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+    CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+    CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+    CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
+# Sources in the order in which their targets stop growing: the first one whose share of the rest
+# stays below its bound ends the list of those that stop.
+MIXING = r"""
+WITH sizes AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS digest
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+    FROM sizes GROUP BY source
+), sorted AS (
+    SELECT *, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS k,
+           CAST(sum(source_size) OVER () AS BIGINT) AS total, sum(weight) OVER () AS weights
+    FROM sources
+), before AS (
+    SELECT *, CAST(total - 3 * (sum(source_size) OVER upto - source_size) AS BIGINT) AS words_left,
+           CAST(weights - (sum(weight) OVER upto - weight) AS BIGINT) AS weight_left
+    FROM sorted WINDOW upto AS (ORDER BY k)
+), ending AS (
+    SELECT * FROM before
+    WHERE CAST(words_left * weight AS DOUBLE) / weight_left <= 3 * source_size ORDER BY k LIMIT 1
+), targets AS (
+    SELECT b.source, b.source_size,
+           CASE WHEN e.k IS NULL OR b.k < e.k THEN CAST(3 * b.source_size AS DOUBLE)
+                ELSE CAST(e.words_left * b.weight AS DOUBLE) / e.weight_left END AS target,
+           CAST(CAST('0x' || left(md5('mix:' || coalesce(b.source, '')), 13) AS BIGINT) AS DOUBLE)
+               / 4503599627370496.0 AS start
+    FROM before b LEFT JOIN ending e ON TRUE
+), rates AS (
+    SELECT *, CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS rate FROM targets
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY source NULLS LAST, size, digest, doc_id NULLS FIRST) - 1 AS k
+    FROM sizes
+), drawn AS (
+    SELECT p.doc_id, CAST(p.size AS BIGINT) AS size, r.source_size, r.target, r.rate,
+           r.start + p.k * (r.rate - floor(r.rate)) AS spot
+    FROM placed p JOIN rates r ON p.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (floor(rate) + CASE WHEN spot - floor(spot) < rate - floor(rate) THEN 1 ELSE 0 END)
+            AS BIGINT) AS taken
+FROM drawn
+"""
+
+ORACLES = {
+    "op1_substring_dedup": SUBSTRING,
+    "op9_line_dedup": LINES,
+    "op12_filter_audit": FILTERS,
+    "op13_mixing": MIXING,
+}
