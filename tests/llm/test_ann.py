@@ -33,10 +33,10 @@ def vectors(spark):
 
 
 def brute(vectors, every, k):
-    good = {}
+    good, size = {}, len(vectors.first().embedding)
     for r in vectors.collect():
         x = r.embedding
-        if r.vec_id is not None and x and len(x) == 8 and None not in x and np.isfinite(x).all() and any(x):
+        if r.vec_id is not None and x and len(x) == size and None not in x and np.isfinite(x).all() and any(x):
             good[r.vec_id] = np.array(x, dtype=float)
     ids = np.array(sorted(good))
     x = np.stack([good[i] for i in ids])
@@ -87,11 +87,50 @@ def test_leaves_come_in_the_order_of_the_queue():
     tree = ann.build_tree(x, float(np.sqrt((x * x).sum(1).max())))
     assert len(tree.leaf_ids) > 20
     assert set(tree.leaf_of(x)) <= set(tree.leaf_ids.tolist())
-    (order,) = tree.leaves(x[:1])
+    ((order, reach),) = tree.leaves(x[:1])
     assert sorted(order) == sorted(tree.leaf_ids.tolist())
-    assert tree.leaves(x[:1], 7) == [order[:7]]
+    assert reach == sorted(reach) and reach[0] == 0
+    ((few, _),) = tree.leaves(x[:1], lambda own, _: len(own) >= 7)
+    assert few == order[:7]
+    ((near, _),) = tree.leaves(x[:1], lambda _, farther: farther > reach[20])
+    assert near[:21] == order[:21] and len(near) < len(order)
 
 
 def test_alike_vectors_are_one_leaf():
     tree = ann.build_tree(np.ones((500, 4)), 2.0)
     assert tree.leaf_ids.tolist() == [0] and set(tree.leaf_of(np.ones((3, 4)))) == {0}
+
+
+def recalls(vectors, every=20, k=20):
+    """Share of the exact neighbours that each query finds, by their scores."""
+    truth = brute(vectors, every, k)
+    found = {}
+    for r in ann.search(vectors, every, k).collect():
+        found.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert all(len(found[q]) == len(truth[q]) for q in truth)
+    least = {q: own[-1][1] for q, own in truth.items()}
+    return [sum(s >= least[q] for _, s in found[q]) / len(truth[q]) for q in truth]
+
+
+def test_every_query_gets_its_rows_among_many_copies(spark):
+    """20 vectors 300 times each, and 100 alone: a lone one's leaf may hold no other vector."""
+    rng = np.random.default_rng(5)
+    few, lone = rng.normal(size=(20, 8)), 3 * rng.normal(size=(100, 8))
+    x = np.concatenate([np.repeat(few, 300, axis=0), lone])
+    rows = [(k, row.tolist(), 1, None, "") for k, row in enumerate(x)]
+    found = recalls(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    assert min(found) > 0 and np.mean(found) >= 0.9
+
+
+def test_the_worst_query_among_clusters(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 8))
+    x = np.repeat(centres, 101, axis=0) + 0.15 * rng.normal(size=(6060, 8))
+    rows = [(k, row.tolist(), 1, None, "") for k, row in enumerate(x)]
+    found = recalls(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    assert min(found) > 0 and np.mean(found) >= 0.9
+
+
+def test_recall_on_a_whole_table(spark):
+    found = recalls(spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet"))
+    assert min(found) > 0 and np.mean(found) >= 0.9

@@ -3,7 +3,8 @@
 The tree is built on a bounded sample, every vector is filed under a leaf. A query takes nodes
 from a priority queue, nearest centre first, so that it meets the leaves best bin first. How many
 leaves queries visit is calibrated: for some queries the exact neighbours are found by a scan, and
-visits widen until the leaves visited hold the wanted share of them.
+visits widen until the leaves visited hold the wanted share of them. A query goes farther by itself
+while its leaves hold too few vectors, and while the next node is about as near as its first leaf.
 
 For the tree, vectors get one more component that makes all of them equally long. The largest
 inner product is then the smallest distance. Scores are those of the original vectors.
@@ -15,7 +16,7 @@ queries that visit it. Cells have a bounded size however many vectors a leaf hol
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,6 +35,8 @@ SAMPLE_VECTORS, SAMPLE_NUMBERS = 20_000, 4_000_000
 BRANCHES, LEAF_SAMPLE = 8, 64
 #: Queries that visits are calibrated on, and the share of exact neighbours they must find.
 CALIBRATION, TARGET = 128, 0.97
+#: The share that each of these queries must find.
+FLOOR = 0.5
 #: Vectors and queries of a cell on average.
 CELL_VECTORS, CELL_QUERIES = 4096, 2048
 #: Queries that are scored at once.
@@ -74,19 +77,33 @@ class Tree:
             moving = moving[[bool(self.children[n]) for n in at[moving]]]
         return at
 
-    def leaves(self, queries: np.ndarray, most: int | None = None) -> list[list[int]]:
-        """For each query the leaves in the order of its priority queue, up to ``most``."""
+    def leaves(
+        self, queries: np.ndarray, enough: Callable[[list[int], float], bool] | None = None
+    ) -> list[tuple[list[int], list[float]]]:
+        """For each query the leaves in the order of its priority queue, and how far it has gone.
+
+        How far is the largest distance that left the queue up to a leaf, less that of the first
+        leaf. ``enough`` is asked with the leaves so far and how far the next node would go; without
+        it all leaves are given.
+        """
         far = _distances(self.longer(queries, query=True), self.centres)
         found = []
         for row in far.tolist():
-            heap, order = [(row[0], 0)], []
-            while heap and (most is None or len(order) < most):
-                _, node = heapq.heappop(heap)
+            heap, order, reach = [(row[0], 0)], [], []
+            first = farthest = -np.inf
+            while heap:
+                if enough and order and enough(order, max(heap[0][0] - first, 0.0)):
+                    break
+                distance, node = heapq.heappop(heap)
+                farthest = max(farthest, distance) if order else distance
                 if not self.children[node]:
+                    if not order:
+                        first = distance
                     order.append(node)
+                    reach.append(max(farthest - first, 0.0))
                 for child in self.children[node]:
                     heapq.heappush(heap, (row[child], child))
-            found.append(order)
+            found.append((order, reach))
         return found
 
 
@@ -250,30 +267,53 @@ def _ranked(near: DataFrame, k: int) -> DataFrame:
     return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def calibrated_visits(index: Index, queries: DataFrame, k: int, target: float) -> int:
-    """The fewest leaves that hold the wanted share of the exact neighbours of some queries."""
+@dataclass
+class Bound:
+    """A query goes on until it has seen ``visits`` leaves, as many vectors as it needs, and the
+    next node is farther than ``reach`` behind its first leaf."""
+
+    visits: int
+    reach: float
+    sizes: dict[int, int]  # vectors by leaf
+
+    def enough(self, k: int) -> Callable[[list[int], float], bool]:
+        def done(order: list[int], next_reach: float) -> bool:
+            if len(order) < self.visits or next_reach <= self.reach:
+                return False
+            return sum(self.sizes.get(leaf, 0) for leaf in order) > k  # one may be the query
+
+        return done
+
+
+def calibrated(index: Index, queries: DataFrame, k: int, target: float, floor: float) -> Bound:
+    """The fewest leaves that hold the wanted share of the exact neighbours of some queries, and
+    the reach in which each of these finds ``floor`` of its own."""
+    # A row for each leaf, and leaves are made of a bounded sample.
+    sizes = {r.leaf: r["count"] for r in index.filed.groupBy("leaf").count().collect()}
     few = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION)
     few = few.select("vec_id", "embedding").toPandas()
-    if not len(few):
-        return 1
-    truth = exact(index, few, k)
+    truth = exact(index, few, k) if len(few) else few
     if not len(truth):
-        return 1
-    orders = index.tree.leaves(_matrix(few["embedding"]))
-    rank = {
-        (query, leaf): at + 1
-        for query, order in zip(few["vec_id"], orders)
-        for at, leaf in enumerate(order)
-    }
-    needed = sorted(rank[pair] for pair in zip(truth["query_id"], truth["leaf"]))
-    return int(needed[int(np.ceil(target * len(needed))) - 1])
+        return Bound(1, 0.0, sizes)
+    ranks, reaches = [], [0.0]
+    walks = dict(zip(few["vec_id"], index.tree.leaves(_matrix(few["embedding"]))))
+    for query, own in truth.groupby("query_id"):
+        order, reach = walks[query]
+        place = {leaf: at for at, leaf in enumerate(order)}
+        needed = sorted(place[leaf] for leaf in own["leaf"])
+        ranks += needed
+        reaches.append(reach[needed[int(np.ceil(floor * len(needed))) - 1]])
+    ranks.sort()
+    visits = ranks[int(np.ceil(target * len(ranks))) - 1] + 1
+    return Bound(visits, max(reaches), sizes)
 
 
 def search(
-    vectors: DataFrame, every: int = 20, k: int = K, target: float = TARGET
+    vectors: DataFrame, every: int = 20, k: int = K, target: float = TARGET, floor: float = FLOOR
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest found for the ids divisible by ``every``.
 
+    Every query gets ``k`` rows, or all other vectors if there are fewer.
     A vector is never its own neighbour. Ties go to the smaller vec_id. See ``usable`` for the
     rows that take no part; without a usable vector the result is empty.
     """
@@ -284,15 +324,15 @@ def search(
         return spark.createDataFrame([], schema)
     tree = index.tree
     queries = index.filed.filter(F.col("vec_id") % every == 0)
-    visits = calibrated_visits(index, queries, k, target)
+    enough = calibrated(index, queries, k, target, floor).enough(k)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            orders = tree.leaves(_matrix(batch["embedding"]), visits)
+            walks = tree.leaves(_matrix(batch["embedding"]), enough)
             rows = []
-            for query, vector, order in zip(batch["vec_id"], batch["embedding"], orders):
+            for query, vector, (order, _) in zip(batch["vec_id"], batch["embedding"], walks):
                 by: dict[int, list[int]] = {}
                 for leaf in order:
                     by.setdefault(int(tree.subtree[leaf]), []).append(leaf)
