@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import posixpath
 import re
 import struct
@@ -128,45 +129,51 @@ def record(page_id, url, payload: bytes, sha1: str, refers_to, refers_url) -> by
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def trained(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary, or none where the samples are too few or too short for one."""
+def trained(samples: list[bytes], most: int) -> zstandard.ZstdCompressionDict | None:
+    """A dictionary of an eighth of an archive at most, or none where the samples or that are too
+    little for one."""
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=256, d=8)
-    except zstandard.ZstdError:
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, most // 8), samples, k=256, d=8)
+    except (zstandard.ZstdError, ValueError):
         return None
 
 
 def archive(records: Iterator[bytes], most: int = ARCHIVE_BYTES) -> Iterator[tuple[bytes, int]]:
-    """Archives and their numbers of records."""
+    """Archives and their numbers of records. An archive ends with the record that fills it.
+
+    Archives that a sample fills by itself share its dictionary.
+    """
+    records = iter(records)
+    while held := _sample(records):
+        dictionary = trained(held, most)
+        pack = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
+        head = b""
+        if dictionary:
+            raw = dictionary.as_bytes()
+            head = struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw
+        out, n, left = bytearray(head), 0, len(held)
+        for item in itertools.chain(held, records):
+            out += pack.compress(item)
+            n, left = n + 1, left - 1
+            if len(out) >= most:
+                yield bytes(out), n
+                out, n = bytearray(head), 0
+                if left <= 0:
+                    break
+        if n:
+            yield bytes(out), n
+
+
+def _sample(records: Iterator[bytes]) -> list[bytes]:
     held: list[bytes] = []
     size = 0
-    for item in records:
+    while len(held) < SAMPLE_RECORDS and size < SAMPLE_BYTES:
+        item = next(records, None)
+        if item is None:
+            break
         held.append(item)
         size += len(item)
-        if len(held) < SAMPLE_RECORDS and size < SAMPLE_BYTES:
-            continue
-        yield _filled(held, records, most)
-        held, size = [], 0
-    if held:
-        yield _filled(held, records, most)
-
-
-def _filled(held: list[bytes], records: Iterator[bytes], most: int) -> tuple[bytes, int]:
-    dictionary = trained(held)
-    pack = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_checksum=True)
-    out, n = bytearray(), 0
-    if dictionary:
-        raw = dictionary.as_bytes()
-        out += struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw
-    for item in held:
-        out += pack.compress(item)
-        n += 1
-    for item in records if len(out) < most else ():
-        out += pack.compress(item)
-        n += 1
-        if len(out) >= most:
-            break
-    return bytes(out), n
+    return held
 
 
 def write_archives(plan: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
