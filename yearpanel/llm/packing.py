@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
+import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +69,21 @@ def tokenizer(path: str) -> Callable[[str], np.ndarray]:
     own = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
-    return lambda text: np.array(own.encode(text, allowed_special="all"), dtype="<u4")
+
+    def ids(text: str) -> np.ndarray:
+        try:
+            found = own.encode(text, allowed_special="all")
+        except ValueError:  # its pattern gives up on runs of a million blanks
+            found = file_tokenizer(path).encode(text, add_special_tokens=False).ids
+        return np.array(found, dtype="<u4")
+
+    return ids
+
+
+@functools.lru_cache(maxsize=2)
+def file_tokenizer(path: str) -> tokenizers.Tokenizer:
+    """The library that the file is written for."""
+    return tokenizers.Tokenizer.from_file(path)
 
 
 def best_fill(counts: dict[int, int], capacity: int) -> tuple[int, list[tuple[int, int]]]:
@@ -102,7 +117,7 @@ def best_fill(counts: dict[int, int], capacity: int) -> tuple[int, list[tuple[in
 
 
 class Packer:
-    """Turns documents into pieces of windows. ``first_id`` and ``stride`` number the windows."""
+    """Turns documents into pieces of windows, which are numbered from ``first_id``."""
 
     def __init__(self, capacity: int, pool: int, first_id: int):
         self.capacity, self.pool, self.next_id = capacity, pool, first_id
@@ -208,10 +223,9 @@ def packed(
     their own pieces; a null doc_id stays null. Other columns are dropped. Every window but those
     at the end of a task is full, and the latter are powers of two. An empty table gives no row.
     """
-    path = path or public_tokenizers.path(VOCABULARY)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        ids_of = tokenizer(path)
+        ids_of = tokenizer(path or public_tokenizers.path(VOCABULARY))
         last = np.array([end], dtype="<u4")
         context = TaskContext.get()
         packer = Packer(capacity, pool, (context.partitionId() if context else 0) << 40)
