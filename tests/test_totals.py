@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from conftest import rows
@@ -56,6 +58,32 @@ def test_sums_are_bit_equal_on_any_partitioning(spark):
     assert found == {float(sum(Decimal(str(v)) for (v,) in values))}
 
 
+def test_sums_of_large_and_fine_figures_are_bit_equal_on_any_partitioning(spark):
+    """Cents on 1e12, figures with all their digits, and both signs: near the exact sum."""
+    rng = random.Random(4)
+    kinds = {
+        "cents": [1e12 + 0.01 * rng.randrange(100) for _ in range(5000)],
+        "digits": [rng.uniform(-1e9, 1e9) for _ in range(5000)],
+        "small": [rng.uniform(0, 1e-3) for _ in range(5000)],
+        "large": [rng.choice((-1, 1)) * rng.uniform(1, 2) * 10.0 ** rng.randrange(25) for _ in range(5000)],
+        "cancelling": [x for k in range(2000) for x in (1e15 + k + 0.125, -1e15 - k)],
+    }
+    df = spark.createDataFrame([(k, v) for k, vs in kinds.items() for v in vs], "k string, v double")
+    sums = [
+        dict(rows(df.repartition(n).groupBy("k").agg(exact_sum(F.col("v")).alias("s")))) for n in (1, 3, 16)
+    ]
+    assert sums[0] == sums[1] == sums[2]
+    for kind, values in kinds.items():
+        exact = float(sum(map(Fraction, values)))
+        assert abs(sums[0][kind] - exact) <= math.ulp(exact), kind
+
+
+def test_limbs_hold_negative_whole_numbers(spark):
+    values = [-0.000001, -4294967295.999999, 4294967295.999999, -(2.0**31), 68719.476736]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == float(sum(Decimal(str(v)) for v in values))
+
+
 def test_sums_of_special_figures(spark):
     df = emissions(spark, ("a", 1, None), ("b", 1, float("nan")), ("c", 1, float("inf")), ("d", 1, 0.1))
     found = dict(rows(df.groupBy("country").agg(exact_sum(F.col("total")).alias("t"))))

@@ -95,6 +95,23 @@ def csv_single_file_report(spark, sf):
     return spark.read.schema(report.schema).csv(path)
 
 
+def csv_cleaned_in_place(spark, sf):
+    """Raw emissions as a CSV file, cleaned onto itself and read back."""
+    path = scratch_path(spark, "csv")
+    files.write_csv(panels.raw_emissions(spark, sf), path, header=True)
+    panel = clean.clean_emissions(files.read_table(spark, path), FULL_YEARS, panels.RAW_ALIASES)
+    files.write_csv(panel, path, mode="overwrite")
+    return spark.read.schema(panel.schema).csv(path)
+
+
+def csv_joined_panel(spark, sf):
+    """A cleaned panel, as large as its table, in one CSV file with a header, read back."""
+    path = scratch_path(spark, "csv")
+    panel = cleaned_emissions(spark, sf)
+    files.write_csv(panel, path, header=True, single_file=True, order_by=["country", "year"])
+    return spark.read.schema(panel.schema).option("header", True).csv(path)
+
+
 def csv_lag_folders(spark, sf):
     """The lagged panel as one CSV folder per lag, read back with the lag from the folder."""
     path = scratch_path(spark, "csv")
@@ -147,6 +164,32 @@ def distinct_estimates(spark, sf):
     )
 
 
+def merged_sketches(spark, sf):
+    """Distinct values of line items, exact and as estimated from sketches kept by ship month.
+
+    The sketches are written, read back and united; the line items are not read for that.
+    """
+    items = line_items(spark, sf)
+    exact = profile.distinct_counts(items)
+    monthly = items.withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    kept = materialise(profile.distinct_sketches(monthly, ["month"]), "sketches")
+    estimate = profile.sketched_counts(kept).withColumnRenamed("distinct_values", "estimate")
+    near = F.abs(F.col("estimate") - F.col("distinct_values")) <= 0.15 * F.col("distinct_values")
+    return exact.join(estimate, "column").select(
+        "column", "distinct_values", near.alias("within_15_percent")
+    )
+
+
+def large_sums(spark, sf):
+    """Sums of figures of 1e12 and more, whose cents a double cannot add exactly."""
+    items = line_items(spark, sf)
+    figure = F.col("l_extendedprice") + F.lit(1e12)
+    sums = items.groupBy("l_suppkey").agg(
+        exact_sum(figure).alias("large"), exact_sum(figure - F.lit(1e12)).alias("rests")
+    )
+    return rounded(sums, 6, "rests")
+
+
 # Names
 
 
@@ -261,6 +304,8 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_header_roundtrip": csv_header_roundtrip,
     "csv_single_file_report": csv_single_file_report,
+    "csv_cleaned_in_place": csv_cleaned_in_place,
+    "csv_joined_panel": csv_joined_panel,
     "csv_lag_folders": csv_lag_folders,
     # Profile
     **profiles("", panels.raw_investment),
@@ -272,6 +317,8 @@ QUERIES: dict[str, Query] = {
     "profile_nulls_lineitem": lambda spark, sf: profile.blank_counts(line_items(spark, sf)),
     "profile_distinct_lineitem": lambda spark, sf: profile.distinct_counts(line_items(spark, sf)),
     "profile_distinct_approx_lineitem": distinct_estimates,
+    "profile_distinct_merged_lineitem": merged_sketches,
+    "exact_large_sums": large_sums,
     # Cleaning
     "clean_emissions": cleaned_emissions,
     "clean_emissions_count": lambda spark, sf: cleaned_emissions(spark, sf).agg(

@@ -359,6 +359,8 @@ ORACLES: dict[str, str] = {
     "csv_header_roundtrip": f"WITH {RAW_INVESTMENT} SELECT * FROM raw_investment",
     "csv_single_file_report": f"""WITH {EMISSIONS}
 SELECT year, {rounded("total")} AS total FROM emissions GROUP BY year""",
+    "csv_cleaned_in_place": f"WITH {CLEAN_EMISSIONS} SELECT * FROM emissions",
+    "csv_joined_panel": f"WITH {CLEAN_EMISSIONS} SELECT * FROM emissions",
     "csv_lag_folders": f"WITH {GENERATION_LAGS} {ROUNDED_GENERATION_LAGS}",
     **raw_profiles(
         "_emissions", "raw_emissions", RAW_EMISSIONS, ["Year", "Country", "Total", "Per Capita"]
@@ -393,6 +395,14 @@ SELECT year, {rounded("total")} AS total FROM emissions GROUP BY year""",
     "profile_distinct_approx_lineitem": unpivoted(
         "lineitem", LINE_COLUMNS, f"{DISTINCT}, true AS within_15_percent"
     ),
+    "profile_distinct_merged_lineitem": unpivoted(
+        "lineitem", LINE_COLUMNS, f"{DISTINCT}, true AS within_15_percent"
+    ),
+    # Doubles from 2 ** 39 to 2 ** 40 are whole multiples of 2 ** -13.
+    "exact_large_sums": """SELECT l_suppkey,
+    CAST(sum(CAST((l_extendedprice + 1e12) * 8192 AS HUGEINT)) AS DOUBLE) / 8192 AS large,
+    round(CAST(sum(CAST((l_extendedprice + 1e12 - 1e12) * 8192 AS HUGEINT)) AS DOUBLE) / 8192, 6) AS rests
+FROM lineitem GROUP BY l_suppkey""",
     "clean_emissions": f"WITH {CLEAN_EMISSIONS} SELECT * FROM emissions",
     "clean_emissions_count": f"WITH {CLEAN_EMISSIONS} SELECT count(*) AS rows FROM emissions",
     "clean_generation": f"WITH {CLEAN_GENERATION} SELECT * FROM generation",
