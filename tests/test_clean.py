@@ -155,3 +155,21 @@ def test_raw_columns_can_be_kept(investment):
 def test_cleaning_does_not_shuffle(investment, emissions_csv):
     for panel in (clean.clean_investment(investment), clean.clean_emissions(emissions_csv)):
         assert "Exchange" not in panel._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_table_of_countries_is_looked_up_when_an_action_runs(spark, tmp_path):
+    names = [f"land {k}" for k in range(3000)] + [None, "Ünï"]
+    panel = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "country string, k int")
+    wanted = spark.createDataFrame([(n,) for n in names[::3] + [None, "elsewhere"]], "name string")
+    path = str(tmp_path / "wanted")
+    wanted.write.parquet(path)
+    spark.sparkContext.setJobGroup("lookup", "")
+    found = clean.in_countries(panel, spark.read.schema("name string").parquet(path))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    expected = sorted(n for n in names[::3] if n)
+    assert sorted(n for (n, _) in found.collect()) == expected
+    many = clean.in_countries(panel, wanted, listed=False)
+    assert sorted(n for (n, _) in many.collect()) == expected
+    assert clean.in_countries(panel, wanted.limit(0)).count() == 0
+    main = found._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Exchange" not in main and "Join" not in main

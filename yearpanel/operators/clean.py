@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yearpanel.functions.coerce import in_years, named, to_double, to_year
@@ -24,8 +24,8 @@ from yearpanel.functions.units import GWH_DIVISORS, normalised
 REPORT_YEARS = (2000, 2023)
 GENERATION_TREND_YEARS = (2006, 2017)
 
-#: Names up to which a frame of countries is read as a list.
-LISTED_COUNTRIES = 1000
+#: Buckets of the lookup that a frame of countries becomes.
+COUNTRY_BUCKETS = 1024
 
 # Headers of the raw files.
 EMISSIONS_COLUMNS = ["Year", "Country", "Total", "Per Capita"]
@@ -108,7 +108,7 @@ def clean_investment(
 
     A row with a missing cell in any raw column goes; an amount that is no number stays as null.
     ``countries`` narrows to a list of common names, or to those in the first column of a frame
-    (a semi join). ``keep_raw`` keeps all raw columns and appends the typed ones.
+    (see ``in_countries``). ``keep_raw`` keeps all raw columns and appends the typed ones.
     """
     kept = raw.na.drop().filter(in_years(raw, "Year", years))
     if technology is not None:
@@ -130,17 +130,33 @@ def clean_investment(
 
 
 def in_countries(
-    panel: DataFrame, countries: Sequence[str] | DataFrame, key: str = "country"
+    panel: DataFrame,
+    countries: Sequence[str] | DataFrame,
+    key: str = "country",
+    listed: bool = True,
 ) -> DataFrame:
-    """Rows of the given countries, a list or the first column of a frame.
+    """Rows of the given countries, a list or the first column of a frame. Null is no country.
 
-    The frame is deduplicated first. As many names as there may be countries become a filter next
-    to the scan; a longer list is matched with a semi join. The rows are the same.
+    A frame becomes a filter that Spark fills in when an action runs: its names, dealt into
+    buckets by hash, are one value of a scalar subquery, and a row looks into one bucket. Nothing
+    runs before the action and the panel does not shuffle. The names have to fit into one row, as
+    those of all countries do; without ``listed`` a frame of any length is matched by a semi join.
     """
-    if isinstance(countries, DataFrame):
-        wanted = countries.select(named(countries.columns[0]).alias(key)).distinct()
-        found = wanted.limit(LISTED_COUNTRIES + 1).collect()
-        if len(found) > LISTED_COUNTRIES:
-            return panel.join(wanted, key, "left_semi")
-        countries = [name for (name,) in found if name is not None]
-    return panel.filter(named(key).isin(list(countries)))
+    if not isinstance(countries, DataFrame):
+        return panel.filter(named(key).isin(list(countries)))
+    wanted = countries.select(named(countries.columns[0]).alias("listed")).filter("listed is not null")
+    if not listed:
+        return panel.join(wanted.withColumnRenamed("listed", key), key, "left_semi")
+
+    def bucket(name: Column) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(COUNTRY_BUCKETS)).cast("int")
+
+    held = wanted.groupBy(bucket(F.col("listed")).alias("bucket")).agg(
+        F.collect_set("listed").alias("listed")
+    )
+    every = panel.sparkSession.range(COUNTRY_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    buckets = every.join(held, "bucket", "left").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "listed"))).alias("buckets")
+    )
+    lookup = buckets.select(F.transform("buckets", lambda b: b["listed"])).scalar()
+    return panel.filter(F.array_contains(F.get(lookup, bucket(named(key))), named(key)))
