@@ -5,8 +5,10 @@ from pathlib import Path
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from yearpanel import jobs
+from yearpanel.operators import clean
 from yearpanel.sources import files
 from yearpanel.sources.scratch import deleted_afterwards, materialise, scratch_path
 
@@ -40,6 +42,47 @@ def test_single_file_is_sorted_and_whole(spark, report, tmp_path):
     assert lines == sorted(lines)
 
 
+def test_a_joined_file_has_the_bytes_of_one_task(spark, tmp_path):
+    """Header, quotes, line breaks and nulls as Spark writes them, over many ranges."""
+    texts = F.expr("element_at(array('plain', 'with, comma', 'a \"quote\"', 'two\\nlines', null, ''), 1 + cast(id % 6 as int))")
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("number"), texts.alias("some, text"))
+    for header in (False, True):
+        path, one = (str(tmp_path / f"{kind}-{header}") for kind in ("joined", "one"))
+        files.write_csv(df, path, header=header, single_file=True, order_by=["number"])
+        df.repartition(1).sortWithinPartitions("number").write.option("header", header).csv(one)
+        (joined,), (alone,) = parts(path), parts(one)
+        assert joined.read_bytes() == alone.read_bytes()
+        with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+            files.write_csv(df, path, single_file=True)
+    files.write_csv(df.limit(0), path, mode="overwrite", header=True, single_file=True)
+    assert parts(path)[0].read_text() == 'number,"some, text"\n'
+
+
+def test_a_file_is_cleaned_onto_itself(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    lines = [(str(1998 + k % 5), f"Land {k % 3}", str(k) if k % 4 else "n/a", "1") for k in range(200)]
+    raw = spark.createDataFrame(lines, ["Year", "Country", "Total", "Per Capita"]).repartition(4)
+    files.write_csv(raw, path, header=True)
+    expected = rows(clean.clean_emissions(raw))
+    panel = clean.clean_emissions(files.read_table(spark, path))
+    files.write_csv(panel, path, mode="overwrite", header=True)
+    again = spark.read.schema(panel.schema).option("header", True).csv(path)
+    assert rows(again) == expected and 0 < len(expected) < 200
+    files.write_csv(again, path, mode="overwrite", single_file=True, order_by=["year"])
+    assert len(parts(path)) == 1 and rows(spark.read.schema(panel.schema).csv(path)) == expected
+    assert [p.name for p in tmp_path.iterdir()] == ["raw"]
+
+
+def test_an_overwrite_that_fails_leaves_the_old_files(spark, report, tmp_path):
+    path = str(tmp_path / "out")
+    files.write_csv(report, path)
+    broken = files.read_table(spark, path).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="no"):
+        files.write_csv(broken, path, mode="overwrite")
+    assert spark.read.csv(path).count() == 100
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
 def test_one_folder_per_lag(spark, report, tmp_path):
     path = str(tmp_path / "out")
     files.write_by_lag(report, path)
