@@ -109,3 +109,32 @@ def test_number_form_agrees_with_the_cast(spark):
     wrong = df.filter(~cast.eqNullSafe(number_in_text("v")))
     assert rows(wrong) == []
     assert df.filter(F.col("v").rlike(NUMBER_TEXT)).count() == len(NUMBERS)
+
+
+def test_sketches_of_new_files_are_added_to_the_kept_ones(spark):
+    """Counts from sketches per file, before and after a file comes in, without the first files."""
+
+    def day(k, n):
+        return spark.range(n).selectExpr(
+            f"{k} as file", f"id + {k * n // 2} as number", "cast(id % 50 as string) as text",
+            "if(id % 10 = 0, null, id % 7 / 2.0) as share", "id % 2 = 0 as flag",
+        )
+
+    n = 4000
+    first = profile.distinct_sketches(day(0, n).union(day(1, n)), ["file"])
+    assert first.columns == ["file", "column", "sketch", "blanks"] and first.count() == 8
+    exact = {"text": 50, "share": 8, "flag": 2}
+    for kept, numbers in ((first, 1.5 * n), (first.union(profile.distinct_sketches(day(2, n), ["file"])), 2 * n)):
+        found = dict(rows(profile.sketched_counts(kept)))
+        assert found.pop("number") == pytest.approx(numbers, rel=0.08)
+        assert found == exact
+    by_file = rows(profile.sketched_counts(first, ["file"]).filter("column = 'text'"))
+    assert by_file == [(0, "text", 50), (1, "text", 50)]
+
+
+def test_sketches_of_nothing(spark):
+    empty = spark.createDataFrame([], "a int, b string")
+    assert rows(profile.sketched_counts(profile.distinct_sketches(empty))) == [("a", 0), ("b", 0)]
+    assert profile.distinct_sketches(empty, ["a", "b"]).count() == 0
+    nulls = spark.createDataFrame([(None, None)], "a int, b string")
+    assert rows(profile.sketched_counts(profile.distinct_sketches(nulls))) == [("a", 1), ("b", 1)]

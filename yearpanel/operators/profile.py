@@ -77,6 +77,51 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     return reduce(DataFrame.unionAll, branches)
 
 
+#: Sketches of 2 ** 12 registers: estimates have a standard deviation of 1.6 %.
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Keys, column, sketch and blanks: mergeable sketches of the distinct values of each column.
+
+    One row per group and column, as with ``by=["file"]`` for a table of files. Kept as a table,
+    they are the profile of data that need not be read again: sketches of new files are added to
+    it, those of deleted files taken out. ``blanks`` are the null cells. One scan, and a sketch of
+    bounded size per task, group and column is shuffled.
+    """
+    profiled = [name for name in df.columns if name not in by]
+    if not profiled:
+        keys = [T.StructField(key, df.schema[key].dataType) for key in by]
+        kept = [("column", T.StringType()), ("sketch", T.BinaryType()), ("blanks", T.LongType())]
+        fields = [*keys, *[T.StructField(*pair) for pair in kept]]
+        return df.sparkSession.createDataFrame([], T.StructType(fields))
+    aggregates, rows = [], []
+    for i, name in enumerate(profiled):
+        kind = df.schema[name].dataType
+        whole = isinstance(kind, (T.IntegerType, T.LongType, T.StringType, T.BinaryType))
+        value = named(name) if whole else named(name).cast("string")
+        aggregates.append(F.hll_sketch_agg(value, SKETCH_BITS).alias(f"s{i}"))
+        aggregates.append(F.count_if(named(name).isNull()).alias(f"n{i}"))
+        rows.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.col(f"s{i}").alias("sketch"),
+                F.col(f"n{i}").alias("blanks"),
+            )
+        )
+    return _one_row_per_column(df.groupBy(*[named(key) for key in by]).agg(*aggregates), by, rows)
+
+
+def sketched_counts(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Keys, column, distinct_values (estimated, a null counting as one value), from the union of
+    ``distinct_sketches`` over all groups but ``by``. No table is read but that of the sketches."""
+    union = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    null = F.when(F.sum("blanks") > 0, 1).otherwise(0)
+    return sketches.groupBy(*[named(key) for key in by], "column").agg(
+        (F.coalesce(union, F.lit(0)) + null).cast("bigint").alias("distinct_values")
+    )
+
+
 SUMMARY = [
     T.StructField("column", T.StringType()),
     T.StructField("count", T.LongType()),
