@@ -37,6 +37,13 @@ def test_the_contract_without_the_corpus_operators(copy):
     assert loaded(copy).stdout.split() == [str(len(QUERIES))] * 2
 
 
+def test_the_contract_with_the_pipeline_left_behind(copy):
+    shutil.copy(ROOT / "corpus_pipeline.py", copy)
+    assert loaded(copy).stdout.split() == [str(len(QUERIES))] * 2
+    (copy / "yearpanel" / "llm" / "__pycache__").mkdir(parents=True)
+    assert loaded(copy).stdout.split() == [str(len(QUERIES))] * 2
+
+
 def test_an_error_in_the_corpus_operators_is_not_hidden(copy):
     (copy / "yearpanel" / "llm").mkdir()
     (copy / "yearpanel" / "llm" / "__init__.py").touch()
