@@ -36,10 +36,19 @@ def deleted_afterwards(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in map(hadoop, _kept.pop()):
-            path.getFileSystem(conf).delete(path, True)
+        for path in _kept.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``materialise`` gave and that nothing reads any more."""
+    for frame in frames:
+        _delete(frame.sparkSession, frame.scratch)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -50,4 +59,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.scratch = path
+    return written
