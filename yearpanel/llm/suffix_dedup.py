@@ -12,27 +12,33 @@ document than the smallest of the run starts a string to remove.
 Names and orders are made by Spark's range partitioning: every task sorts one range, and the sizes
 of the ranges, one number for each task, turn places within a range into global ones.
 
-Two reductions that lose nothing come first. Equal texts are one string. And of every window of
-``width`` bytes the 16-byte gram with the smallest hash is an anchor, which equal windows share:
-only the stretches around anchors that two strings have take part.
+Three reductions that lose nothing come first. Equal texts are one string. Strings are cut into
+pieces where their content says so, each with the bytes that strings starting in it need, and equal
+pieces are one piece of the smallest document that has it: in every larger one all of it goes. And
+of every window of ``width`` bytes the 16-byte gram with the smallest hash is an anchor, which equal
+windows share: only the stretches around anchors that two pieces have take part. So a passage that
+a third of all documents hold is sorted once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from yearpanel.llm.common import small
-from yearpanel.sources.scratch import materialise
+from yearpanel.sources.scratch import discard, materialise
 
 WIDTH = 50
 GRAM = 16
+#: A string is cut at the smallest gram among this many before and behind it.
+CUT_REACH = 128
 #: Suffixes of a range that one task sorts, on average.
 RANGE_ROWS = 250_000
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -93,16 +99,20 @@ def grams(data: np.ndarray) -> np.ndarray:
     return _mixed(_rolling(data, GRAM, FACTORS[0]))
 
 
-def anchors(data: np.ndarray, width: int) -> np.ndarray:
-    """The smallest gram of every window of ``width`` bytes."""
-    least, size, need = grams(data), 1, width - GRAM + 1
-    if len(data) < width:
-        return np.zeros(0, dtype=np.uint64)
-    while 2 * size <= need:
-        least = np.minimum(least[:-size], least[size:])
+def _least(code: np.ndarray, length: int) -> np.ndarray:
+    """The smallest value of every stretch of ``length``."""
+    size = 1
+    while 2 * size <= length:
+        code = np.minimum(code[:-size], code[size:])
         size *= 2
-    rest = need - size
-    return np.unique(np.minimum(least[: len(least) - rest], least[rest:]))
+    rest = length - size
+    return np.minimum(code[: len(code) - rest], code[rest:]) if rest else code
+
+
+def anchors(code: np.ndarray, width: int) -> np.ndarray:
+    """The smallest gram of every window of ``width`` bytes, from the grams of a string."""
+    need = width - GRAM + 1
+    return np.unique(_least(code, need)) if len(code) >= need else code[:0]
 
 
 def strings(docs: DataFrame) -> DataFrame:
@@ -116,56 +126,140 @@ def strings(docs: DataFrame) -> DataFrame:
     return materialise(found.withColumn("sid", F.monotonically_increasing_id()), "strings")
 
 
-def stretches(found: DataFrame, width: int) -> DataFrame:
-    """sid, source, doc_id, start, text: parts of strings that may repeat, each a new string."""
+def cuts(data: np.ndarray, reach: int = CUT_REACH) -> np.ndarray:
+    """Where the pieces of a string start: at 0, and where a gram is smaller than all of ``reach``
+    before it and as small as all behind it. In a text that repeats with a period few are."""
+    code = grams(data)
+    high = np.full(reach, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = _least(np.concatenate([high, code, high]), reach)
+    before, behind = least[: len(code)], least[reach + 1 :][: len(code)]
+    return np.union1d([0], np.flatnonzero((code < before) & (code <= behind)))
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+
+def places(found: DataFrame, width: int) -> DataFrame:
+    """sid, doc_id, start, core, high, low: where the pieces of strings are, and their digests.
+
+    ``core`` strings of ``width`` bytes start in a piece; with the rest of the last one it is
+    ``core + width - 1`` bytes long.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for sid, text in zip(batch["sid"], batch["text"]):
-                own = anchors(np.frombuffer(text, dtype=np.uint8), width)
-                yield {"source": sid, "anchor": own.view(np.int64)}
+            rows = []
+            for sid, doc_id, text in zip(batch["sid"], batch["doc_id"], batch["text"]):
+                last = len(text) - width + 1  # starts of whole strings
+                if last < 1:
+                    continue
+                starts = cuts(np.frombuffer(text, dtype=np.uint8))
+                starts = [int(x) for x in starts if x < last] + [last]
+                for start, end in zip(starts, starts[1:]):
+                    value = xxhash.xxh3_128_intdigest(text[start : end + width - 1])
+                    halves = (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
+                    rows.append((sid, doc_id, start, end - start, *halves))
+            yield pd.DataFrame(rows, columns=["sid", "doc_id", "start", "core", "high", "low"])
+
+    schema = "sid long, doc_id long, start int, core int, high long, low long"
+    return materialise(found.select("sid", "doc_id", "text").mapInPandas(run, schema), "piece-places")
+
+
+def pieces(where: DataFrame) -> DataFrame:
+    """piece, high, low, n, first (doc_id, sid, start, core): every different piece and its first
+    place."""
+    place = F.struct("doc_id", "sid", "start", "core")
+    grouped = where.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    return materialise(grouped.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+
+
+def stretches(found: DataFrame, own: DataFrame, width: int) -> DataFrame:
+    """sid, piece, doc_id, start, text: parts of pieces that other pieces may hold too, each a new
+    string; ``start`` is counted in the piece."""
+    first = own.select("piece", "first.*")
+    firsts = first.groupBy("sid").agg(F.collect_list(F.struct("piece", "start", "core")).alias("pieces"))
+    held = found.select("sid", "doc_id", "text").join(firsts, "sid")
 
-    marks = materialise(found.select("sid", "text").mapInPandas(lambda b: _frames(mark(b)), "source long, anchor long"), "anchors")
-    shared = marks.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+        for batch in batches:
+            for sid, text, some in zip(batch["sid"], batch["text"], batch["pieces"]):
+                for part in some:
+                    start = int(part["start"])
+                    own = text[start : start + int(part["core"]) + width - 1]
+                    code = grams(np.frombuffer(own, dtype=np.uint8))
+                    values, at = np.unique(code, return_index=True)
+                    wanted = np.isin(values, anchors(code, width))
+                    yield {
+                        "piece": int(part["piece"]),
+                        "anchor": values[wanted].view(np.int64),
+                        "sid": sid,
+                        "at": start + at[wanted],
+                    }
+
+    marks = materialise(
+        held.select("sid", "text", "pieces").mapInPandas(
+            lambda b: _frames(mark(b)), "piece long, anchor long, sid long, at long"
+        ),
+        "anchors",
+    )
+    # A gram in the bytes that two neighbouring pieces share is the same gram.
+    place = F.struct("sid", "at")
+    shared = (
+        marks.groupBy("anchor")
+        .agg(F.min(place).alias("a"), F.max(place).alias("b"))
+        .filter("a < b")
+        .select("anchor")
+    )
+    shared = materialise(shared, "shared-anchors")
     repeated = (
-        marks.join(small(materialise(shared, "shared-anchors")), "anchor", "left_semi")
-        .groupBy("source")
+        marks.join(small(shared), "anchor", "left_semi")
+        .groupBy("piece")
         .agg(F.collect_set("anchor").alias("anchors"))
     )
+    marked = (
+        first.join(repeated, "piece")
+        .groupBy("sid")
+        .agg(F.collect_list(F.struct("piece", "start", "core", "anchors")).alias("pieces"))
+    )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for sid, doc_id, text, own in batch.itertuples(index=False):
-                data = np.frombuffer(text, dtype=np.uint8)
-                at = np.flatnonzero(np.isin(grams(data), np.asarray(own, dtype=np.int64).view(np.uint64)))
-                low = np.maximum(at - (width - GRAM), 0)
-                high = np.minimum(at + width, len(data))
-                new = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
-                for first, last in zip(new, np.r_[new[1:], len(at)] - 1):
-                    if high[last] - low[first] >= width:
-                        rows.append((sid, doc_id, int(low[first]), text[low[first] : high[last]]))
-            yield pd.DataFrame(rows, columns=["source", "doc_id", "start", "text"])
+            for doc_id, text, some in zip(batch["doc_id"], batch["text"], batch["pieces"]):
+                for part in some:
+                    start = int(part["start"])
+                    own = text[start : start + int(part["core"]) + width - 1]
+                    data = np.frombuffer(own, dtype=np.uint8)
+                    wanted = np.asarray(part["anchors"], dtype=np.int64).view(np.uint64)
+                    at = np.flatnonzero(np.isin(grams(data), wanted))
+                    low = np.maximum(at - (width - GRAM), 0)
+                    high = np.minimum(at + width, len(data))
+                    new = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
+                    for first, last in zip(new, np.r_[new[1:], len(at)] - 1):
+                        if high[last] - low[first] >= width:
+                            text_part = own[low[first] : high[last]]
+                            rows.append((int(part["piece"]), doc_id, int(low[first]), text_part))
+            yield pd.DataFrame(rows, columns=["piece", "doc_id", "start", "text"])
 
     parts = (
-        found.withColumnRenamed("sid", "source")
-        .join(repeated, "source")
-        .select("source", "doc_id", "text", "anchors")
-        .mapInPandas(cut, "source long, doc_id long, start long, text binary")
+        found.select("sid", "doc_id", "text")
+        .join(marked, "sid")
+        .select("doc_id", "text", "pieces")
+        .mapInPandas(cut, "piece long, doc_id long, start long, text binary")
     )
     # An order of 2 ** 33 tasks and rows leaves room for the doubling of ids in the recursion.
-    return materialise(parts.withColumn("sid", F.monotonically_increasing_id()), "stretches")
+    written = materialise(parts.withColumn("sid", F.monotonically_increasing_id()), "stretches")
+    discard(marks, shared)
+    return written
 
 
-def _placed(sorted_rows: DataFrame, columns: str) -> DataFrame:
+def _placed(sorted_rows: DataFrame, columns: str) -> tuple[DataFrame, DataFrame]:
     """Rows with ``part`` and ``k``, their range and the place in it, given a place beyond all
-    ranges before, from 1. One number for each range is gathered."""
+    ranges before, from 1; and the table that they are read from. One number for each range is
+    gathered."""
     rows = materialise(sorted_rows, "ordered")
     sizes = rows.groupBy("part").agg((F.max("k") + 1).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     placed = rows.join(F.broadcast(offsets), "part")  # a row for each range
-    return placed.select(*columns.split(), (F.col("offset") + F.col("k") + 1).alias("rank"))
+    return placed.select(*columns.split(), (F.col("offset") + F.col("k") + 1).alias("rank")), rows
 
 
 def _part() -> int:
@@ -183,8 +277,8 @@ def _shifted(symbols: np.ndarray, by: int) -> np.ndarray:
     return np.concatenate([symbols[by:], np.zeros(min(by, len(symbols)), dtype=np.int64)])
 
 
-def _named(level: DataFrame, sampled: bool) -> DataFrame:
-    """sid, at, rank: names in sorted order. Of triples at sampled positions, whose strings of
+def _named(level: DataFrame, sampled: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """sid, at, rank: names in sorted order, and the tables that they are read from. Of triples at sampled positions, whose strings of
     positions 1 and 2 modulo 3 get the ids 2 sid and 2 sid + 1; or of pairs at all positions."""
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
@@ -196,9 +290,9 @@ def _named(level: DataFrame, sampled: bool) -> DataFrame:
                     for k in (1, 2):
                         own = np.arange(k, len(s), 3)
                         named = {"a": s[own], "b": one[own], "c": two[own]}
-                        yield named | {"sid": 2 * sid + k - 1, "at": own // 3}
+                        yield named | {"sid": 2 * sid + k - 1, "at": (own // 3).astype(np.int32)}
                 else:
-                    yield {"a": s, "b": one, "c": 0, "sid": sid, "at": np.arange(len(s))}
+                    yield {"a": s, "b": one, "c": 0, "sid": sid, "at": np.arange(len(s), dtype=np.int32)}
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = 0
@@ -206,11 +300,11 @@ def _named(level: DataFrame, sampled: bool) -> DataFrame:
             yield batch.assign(part=_part(), k=np.arange(at, at + len(batch)))
             at += len(batch)
 
-    rows = materialise(level.mapInPandas(lambda b: _frames(keys(b)), "a long, b long, c long, sid long, at long"), "keys")
+    rows = materialise(level.mapInPandas(lambda b: _frames(keys(b)), "a long, b long, c long, sid long, at int"), "keys")
     key = ["a", "b", "c"]
     ordered = rows.select(*key).distinct().repartitionByRange(*key).sortWithinPartitions(*key)
-    names = _placed(ordered.mapInPandas(number, "a long, b long, c long, part int, k long"), "a b c")
-    return rows.join(names, key).select("sid", "at", "rank")
+    names, table = _placed(ordered.mapInPandas(number, "a long, b long, c long, part int, k long"), "a b c")
+    return rows.join(names, key).select("sid", "at", "rank"), [rows, table]
 
 
 def _packed_triples(level: DataFrame) -> DataFrame:
@@ -229,12 +323,27 @@ def _packed_triples(level: DataFrame) -> DataFrame:
     return level.select("sid", "text").mapInPandas(run, "sid long, symbols array<long>")
 
 
-MERGE = "p long, q long, kind int, s long, t long, r0 long, r1 long, r2 long, sid long, at long"
+#: Bits of a symbol of byte strings and of packed triples. Names are up to 63 bits long.
+BYTE, TRIPLE, NAME = 9, 27, 63
+
+MERGE = "p long, q long, u long, v long, sid long, at int"
+
 
+def _prefixes(s: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers of as many first symbols as fit; they sort as the strings do."""
+    n = NAME // bits
+    out = []
+    for first in (0, n):
+        value = np.zeros(len(s), dtype=np.int64)
+        for k in range(first, first + n):
+            value = value << bits | _shifted(s, k) if n > 1 else _shifted(s, k)
+        out.append(value)
+    return out[0], out[1]
 
-def _merge_rows(level: DataFrame, cover: DataFrame, extra: str = "") -> DataFrame:
-    """A row for every suffix, with what merging compares: two symbols, the ranks of the next
-    sampled suffixes, and a prefix (p, q) that ranges are cut by."""
+
+def _merge_rows(level: DataFrame, cover: DataFrame, bits: int, extra: str = "") -> DataFrame:
+    """A row for every suffix, with what merging compares: a prefix (p, q), which ranges are cut by
+    and which the first symbols are read from, and the ranks of the two next sampled suffixes."""
     side = cover.select(
         F.floor(F.col("sid") / 2).cast("long").alias("sid"), (F.col("sid") % 2).alias("side"), "symbols"
     )
@@ -255,22 +364,16 @@ def _merge_rows(level: DataFrame, cover: DataFrame, extra: str = "") -> DataFram
                 for k, ranks in ((1, first), (2, second)):
                     if ranks is not None and len(ranks):
                         rank[k:n:3] = np.asarray(ranks, dtype=np.int64)
-                p, q = s, _shifted(s, 1)
-                if top:
-                    quads = [_shifted(s, k) for k in range(8)]
-                    p = quads[0] << 27 | quads[1] << 18 | quads[2] << 9 | quads[3]
-                    q = quads[4] << 27 | quads[5] << 18 | quads[6] << 9 | quads[7]
+                p, q = _prefixes(s, bits)
+                kind = np.arange(n) % 3
+                now, one, two = rank[:n], rank[1 : n + 1], rank[2 : n + 2]
                 out = {
                     "p": p,
                     "q": q,
-                    "kind": np.arange(n) % 3,
-                    "s": s,
-                    "t": _shifted(s, 1),
-                    "r0": rank[:n],
-                    "r1": rank[1 : n + 1],
-                    "r2": rank[2 : n + 2],
+                    "u": np.where(kind == 0, one, now),
+                    "v": np.where(kind == 1, one, two),
                     "sid": sid,
-                    "at": np.arange(n),
+                    "at": np.arange(n, dtype=np.int32),
                 }
                 if top:
                     window = [_rolling(data, WIDTH, f).view(np.int64) for f in FACTORS]
@@ -300,6 +403,20 @@ def _earlier(mine: list[np.ndarray], theirs: list[np.ndarray]) -> tuple[np.ndarr
     return before[:n], before[n:]
 
 
+def unpacked(rows: pd.DataFrame, bits: int) -> pd.DataFrame:
+    """kind, the two first symbols and the ranks that each kind of suffix has, of packed rows."""
+    kind = rows["at"].to_numpy() % 3
+    p, q, u, v = (rows[c].to_numpy() for c in ("p", "q", "u", "v"))
+    n = NAME // bits
+    s, t = (p, q) if n == 1 else (p >> bits * (n - 1), p >> bits * (n - 2) & (1 << bits) - 1)
+    ranks = {
+        "r0": np.where(kind == 0, 0, u),
+        "r1": np.select([kind == 0, kind == 1], [u, v], 0),
+        "r2": np.where(kind == 1, 0, v),
+    }
+    return pd.DataFrame({"kind": kind, "s": s, "t": t} | ranks)
+
+
 def merged(rows: pd.DataFrame) -> np.ndarray:
     """The place of every suffix of a range, from three sorted kinds."""
     kinds = [rows[rows["kind"] == k] for k in range(3)]
@@ -325,37 +442,50 @@ def _all_rows(batches: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     return pd.concat(held, ignore_index=True) if held else None
 
 
-def _ordered(level: DataFrame, cover: DataFrame) -> DataFrame:
-    """sid, at, rank of all suffixes of a level from those of its cover."""
+def _ordered(level: DataFrame, cover: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """sid, at, rank of all suffixes of a level from those of its cover, and their table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = _all_rows(batches)
         if rows is not None:
-            yield pd.DataFrame({"sid": rows["sid"], "at": rows["at"], "part": _part(), "k": merged(rows)})
+            yield pd.DataFrame(
+                {"sid": rows["sid"], "at": rows["at"], "part": _part(), "k": merged(unpacked(rows, bits))}
+            )
 
-    found = _merge_rows(level, cover).mapInPandas(run, "sid long, at long, part int, k long")
+    found = _merge_rows(level, cover, bits).mapInPandas(run, "sid long, at int, part int, k long")
     return _placed(found, "sid at")
 
 
-def suffix_ranks(level: DataFrame, width: int) -> DataFrame:
-    """sid and symbols: the rank of every suffix by its first ``width`` symbols at least."""
+def suffix_ranks(
+    level: DataFrame, width: int, bits: int = NAME, read: Sequence[DataFrame] = ()
+) -> tuple[DataFrame, list[DataFrame]]:
+    """sid and symbols: the rank of every suffix by its first ``width`` symbols at least; and the
+    tables that they are read from.
+
+    ``read`` are the tables that ``level`` is read from; they go as soon as it is written.
+    """
     level = materialise(level, "level")
+    discard(*read)
     if width <= 2:
-        return _regrouped(_named(level, sampled=False))
-    reduced = _regrouped(_named(level, sampled=True))
-    cover = suffix_ranks(reduced, -(-width // 3))
-    return _regrouped(_ordered(level, cover))
+        named, tables = _named(level, sampled=False)
+        return _regrouped(named), [*tables, level]
+    named, tables = _named(level, sampled=True)
+    cover, tables = suffix_ranks(_regrouped(named), -(-width // 3), read=tables)
+    ordered, table = _ordered(level, cover, bits)
+    discard(*tables, level)
+    return _regrouped(ordered), [table]
 
 
 def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """source, at: where a string of ``width`` bytes starts that a smaller document also has."""
-    cover = suffix_ranks(_packed_triples(parts), -(-width // 3))
+    """piece, at: where a string of ``width`` bytes starts that a piece of a smaller document also
+    has."""
+    cover, tables = suffix_ranks(_packed_triples(parts), -(-width // 3), TRIPLE)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = _all_rows(batches)
         if rows is None:
             return
-        order = np.argsort(merged(rows))
+        order = np.argsort(merged(unpacked(rows, BYTE)))
         rows = rows.iloc[order]
         rows = rows[rows["whole"]]  # shorter suffixes equal no other one to the full width
         if len(rows) < 2:
@@ -367,9 +497,55 @@ def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
         yield rows.loc[late, ["sid", "at"]]
 
     extra = ", h long, i long, whole boolean, doc_id long"
-    found = _merge_rows(parts, cover, extra).mapInPandas(run, "sid long, at long")
-    own = parts.select("sid", "source", "start")
-    return found.join(own, "sid").select("source", (F.col("at") + F.col("start")).alias("at"))
+    found = _merge_rows(parts, cover, BYTE, extra).mapInPandas(run, "sid long, at int")
+    own = parts.select("sid", "piece", "start")
+    found = found.join(own, "sid").select("piece", (F.col("at") + F.col("start")).alias("at"))
+    written = materialise(found, "late-starts")
+    discard(*tables)
+    return written
+
+
+SPANS = "array<struct<start:int,length:int>>"
+
+
+def late_spans(found: DataFrame, width: int) -> DataFrame:
+    """sid, spans (start, length): where strings start in a text that a smaller document also has.
+
+    In every text but that of its smallest document all strings of a piece do.
+    """
+    where = places(found, width)
+    own = pieces(where)
+    late = repeats(stretches(found, own, width), width)
+
+    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            spans = []
+            for starts in batch["starts"]:
+                at = np.unique(np.asarray(starts, dtype=np.int64))
+                new = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+                size = np.diff(np.r_[new, len(at)])
+                spans.append([{"start": int(a), "length": int(n)} for a, n in zip(at[new], size)])
+            yield pd.DataFrame({"piece": batch["piece"], "late": spans})
+
+    late = (
+        late.groupBy("piece")
+        .agg(F.collect_set("at").alias("starts"))
+        .mapInPandas(joined, f"piece long, late {SPANS}")
+    )
+    first = own.select("piece", "high", "low", "n", F.col("first.doc_id").alias("smallest"))
+    wanted = first.join(late, "piece", "left").filter("n > 1 or late is not null")
+    whole = F.array(F.struct(F.col("start"), F.col("core").alias("length")))
+    inside = F.transform(
+        F.coalesce("late", F.array().cast(SPANS)),
+        lambda x: F.struct((x["start"] + F.col("start")).alias("start"), x["length"].alias("length")),
+    )
+    return (
+        where.join(wanted, ["high", "low"])
+        .select("sid", F.when(F.col("doc_id") > F.col("smallest"), whole).otherwise(inside).alias("some"))
+        .filter(F.size("some") > 0)
+        .groupBy("sid")
+        .agg(F.flatten(F.collect_list("some")).alias("starts"))
+    )
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -377,17 +553,17 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     A byte goes if a string of ``width`` bytes covers it that also starts in a document with a
     smaller doc_id. A null text has no bytes. Rows that share a doc_id are no smaller than each
-    other. Rows without a doc_id are left out.
+    other, and texts that repeat whole below one doc_id stay. Rows without a doc_id are left out.
+    Other columns are dropped. An empty table gives no row.
     """
     found = strings(docs)
-    late = repeats(stretches(found, width), width)
-    late = materialise(late.groupBy("source").agg(F.collect_set("at").alias("starts")), "late-starts")
+    late = materialise(late_spans(found, width), "late-spans")
     firsts = found.select("digest", "sid", F.col("doc_id").alias("first"))
     text: Column = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     own = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("digest")
     )
-    marks = firsts.join(late, firsts["sid"] == late["source"], "left").select("digest", "first", "starts")
+    marks = firsts.join(late, "sid", "left").select("digest", "first", "starts")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -403,9 +579,10 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     out.append((text, n, []))
                     continue
                 edges = np.zeros(n + 1, dtype=np.int64)
-                at = np.asarray(starts, dtype=np.int64)
-                edges[at] += 1
-                np.subtract.at(edges, at + width, 1)
+                at = np.array([x["start"] for x in starts], dtype=np.int64)
+                end = at + np.array([x["length"] for x in starts], dtype=np.int64) + width - 1
+                np.add.at(edges, at, 1)
+                np.subtract.at(edges, end, 1)
                 gone = np.cumsum(edges)[:n] > 0
                 change = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
                 spans = [
@@ -417,9 +594,7 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             result.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield result
 
-    return own.join(marks, "digest").mapInPandas(
-        run, "doc_id long, kept binary, n_bytes long, spans array<struct<start:int,length:int>>"
-    )
+    return own.join(marks, "digest").mapInPandas(run, f"doc_id long, kept binary, n_bytes long, spans {SPANS}")
 
 
 def digests(result: DataFrame) -> DataFrame:
