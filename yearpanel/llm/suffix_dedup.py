@@ -12,12 +12,13 @@ document than the smallest of the run starts a string to remove.
 Names and orders are made by Spark's range partitioning: every task sorts one range, and the sizes
 of the ranges, one number for each task, turn places within a range into global ones.
 
-Three reductions that lose nothing come first. Equal texts are one string. Strings are cut into
-pieces where their content says so, each with the bytes that strings starting in it need, and equal
-pieces are one piece of the smallest document that has it: in every larger one all of it goes. And
-of every window of ``width`` bytes the 16-byte gram with the smallest hash is an anchor, which equal
-windows share: only the stretches around anchors that two pieces have take part. So a passage that
-a third of all documents hold is sorted once.
+Three reductions that lose nothing come first. Equal texts are one string. Of every window of
+``width`` bytes the gram with the smallest hash is an anchor, which equal windows share: only the
+stretches around anchors that two strings have take part, first by anchors of 16 bytes, and of
+what these leave by anchors of 32. And stretches are cut into pieces where their content says so,
+each with the bytes that strings starting in it need. Equal pieces are one piece of the smallest
+document that has it: in every larger one all of it goes. So a passage that a third of all
+documents hold is sorted once.
 """
 
 from __future__ import annotations
@@ -36,7 +37,10 @@ from yearpanel.llm.common import small
 from yearpanel.sources.scratch import discard, materialise
 
 WIDTH = 50
-GRAM = 16
+#: Bytes of an anchor, at first and in what is left by these.
+GRAMS = (16, 32)
+#: Bytes that anchors are looked for in at once, and anchors up to which their table is broadcast.
+CHUNK, BROADCAST_ANCHORS = 2 << 20, 4_000_000
 #: A string is cut at the smallest gram among this many before and behind it.
 CUT_REACH = 128
 #: Suffixes of a range that one task sorts, on average.
@@ -95,112 +99,100 @@ def _frames(pieces: Iterator[dict], rows: int = 200_000) -> Iterator[pd.DataFram
         yield joined()
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    return _mixed(_rolling(data, GRAM, FACTORS[0]))
+def _least_at(code: np.ndarray, length: int) -> np.ndarray:
+    """Where the smallest value of every stretch of ``length`` is, the first one of equal ones."""
+    at, size = np.arange(len(code)), 1
 
+    def joined(by: int) -> None:
+        nonlocal code, at
+        later = code[by:] < code[:-by]
+        at = np.where(later, at[by:], at[:-by])
+        code = np.where(later, code[by:], code[:-by])
 
-def _least(code: np.ndarray, length: int) -> np.ndarray:
-    """The smallest value of every stretch of ``length``."""
-    size = 1
     while 2 * size <= length:
-        code = np.minimum(code[:-size], code[size:])
+        joined(size)
         size *= 2
-    rest = length - size
-    return np.minimum(code[: len(code) - rest], code[rest:]) if rest else code
-
-
-def anchors(code: np.ndarray, width: int) -> np.ndarray:
-    """The smallest gram of every window of ``width`` bytes, from the grams of a string."""
-    need = width - GRAM + 1
-    return np.unique(_least(code, need)) if len(code) >= need else code[:0]
+    if size < length:
+        joined(length - size)
+    return at
+
+
+def anchors(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, place in it and hash of the smallest gram of every window of ``width``
+    bytes. A gram that several windows have is given once, unless others come between."""
+    size = np.array([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    end = np.cumsum(size)
+    if len(data) < width:
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none.view(np.uint64)
+    row = np.repeat(np.arange(len(texts)), size)
+    code = _mixed(_rolling(data, gram, FACTORS[0]))
+    code[np.arange(gram, gram + len(code)) > end[row[: len(code)]]] = np.iinfo(np.uint64).max
+    at = _least_at(code, width - gram + 1)
+    inside = np.arange(width, width + len(at)) <= end[row[: len(at)]]
+    new = np.r_[True, (at[1:] != at[:-1]) | ~inside[:-1]]
+    at = at[inside & new]
+    return row[at], at - (end - size)[row[at]], code[at]
 
 
 def strings(docs: DataFrame) -> DataFrame:
-    """sid, doc_id, text (bytes), digest: every different text, with its smallest doc_id."""
+    """source, sid, doc_id, start (0), text (bytes), digest: texts of the smallest doc_id that has
+    them. Rows that repeat whole are several strings."""
     text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     own = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("digest")
     )
-    firsts = own.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    found = own.join(firsts, ["digest", "doc_id"]).dropDuplicates(["digest"])
-    return materialise(found.withColumn("sid", F.monotonically_increasing_id()), "strings")
-
-
-def cuts(data: np.ndarray, reach: int = CUT_REACH) -> np.ndarray:
-    """Where the pieces of a string start: at 0, and where a gram is smaller than all of ``reach``
-    before it and as small as all behind it. In a text that repeats with a period few are."""
-    code = grams(data)
-    high = np.full(reach, np.iinfo(np.uint64).max, dtype=np.uint64)
-    least = _least(np.concatenate([high, code, high]), reach)
-    before, behind = least[: len(code)], least[reach + 1 :][: len(code)]
-    return np.union1d([0], np.flatnonzero((code < before) & (code <= behind)))
-
-
-def places(found: DataFrame, width: int) -> DataFrame:
-    """sid, doc_id, start, core, high, low: where the pieces of strings are, and their digests.
-
-    ``core`` strings of ``width`` bytes start in a piece; with the rest of the last one it is
-    ``core + width - 1`` bytes long.
-    """
+    copies = (
+        own.groupBy("digest")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .filter("first < last")
+        .select("digest", "first")
+    )
+    found = own.join(small(materialise(copies, "copied-texts")), "digest", "left").filter(
+        F.col("first").isNull() | (F.col("first") == F.col("doc_id"))
+    )
+    sid = F.monotonically_increasing_id()
+    found = found.select("doc_id", "text", "digest", sid.alias("sid"))
+    written = materialise(found, "strings")
+    return written.withColumns({"source": F.col("sid"), "start": F.lit(0).cast("long")})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for sid, doc_id, text in zip(batch["sid"], batch["doc_id"], batch["text"]):
-                last = len(text) - width + 1  # starts of whole strings
-                if last < 1:
-                    continue
-                starts = cuts(np.frombuffer(text, dtype=np.uint8))
-                starts = [int(x) for x in starts if x < last] + [last]
-                for start, end in zip(starts, starts[1:]):
-                    value = xxhash.xxh3_128_intdigest(text[start : end + width - 1])
-                    halves = (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
-                    rows.append((sid, doc_id, start, end - start, *halves))
-            yield pd.DataFrame(rows, columns=["sid", "doc_id", "start", "core", "high", "low"])
 
-    schema = "sid long, doc_id long, start int, core int, high long, low long"
-    return materialise(found.select("sid", "doc_id", "text").mapInPandas(run, schema), "piece-places")
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows whose texts have about CHUNK bytes together."""
+    for batch in batches:
+        if len(batch):
+            number = np.cumsum(batch["text"].str.len().to_numpy()) // CHUNK
+            for _, part in batch.groupby(number, sort=False):
+                yield part
 
 
-def pieces(where: DataFrame) -> DataFrame:
-    """piece, high, low, n, first (doc_id, sid, start, core): every different piece and its first
-    place."""
-    place = F.struct("doc_id", "sid", "start", "core")
-    grouped = where.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    return materialise(grouped.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+STRETCH = "source long, doc_id long, start long, text binary"
 
 
-def stretches(found: DataFrame, own: DataFrame, width: int) -> DataFrame:
-    """sid, piece, doc_id, start, text: parts of pieces that other pieces may hold too, each a new
-    string; ``start`` is counted in the piece."""
-    first = own.select("piece", "first.*")
-    firsts = first.groupBy("sid").agg(F.collect_list(F.struct("piece", "start", "core")).alias("pieces"))
-    held = found.select("sid", "doc_id", "text").join(firsts, "sid")
+def stretches(found: DataFrame, width: int, gram: int, placed: bool = False) -> DataFrame:
+    """sid, source, doc_id, start, text: the parts of strings (of the same columns) around anchors
+    that strings of another source have too, each a new string. ``placed`` strings may overlap:
+    ``origin`` and ``place`` tell where they are, and a gram in another place counts as well.
+    """
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
-        for batch in batches:
-            for sid, text, some in zip(batch["sid"], batch["text"], batch["pieces"]):
-                for part in some:
-                    start = int(part["start"])
-                    own = text[start : start + int(part["core"]) + width - 1]
-                    code = grams(np.frombuffer(own, dtype=np.uint8))
-                    values, at = np.unique(code, return_index=True)
-                    wanted = np.isin(values, anchors(code, width))
-                    yield {
-                        "piece": int(part["piece"]),
-                        "anchor": values[wanted].view(np.int64),
-                        "sid": sid,
-                        "at": start + at[wanted],
-                    }
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _chunks(batches):
+            row, at, code = anchors(part["text"].tolist(), width, gram)
+            sid, origin, place = (part[c].to_numpy()[row] for c in ("sid", "origin", "place"))
+            place = place + at if placed else place
+            yield pd.DataFrame(
+                {"sid": sid, "at": at, "anchor": code.view(np.int64), "origin": origin, "place": place}
+            )
 
+    origin = ("origin", "place") if placed else ("source as origin", "0L as place")
     marks = materialise(
-        held.select("sid", "text", "pieces").mapInPandas(
-            lambda b: _frames(mark(b)), "piece long, anchor long, sid long, at long"
+        found.selectExpr("sid", "text", *origin).mapInPandas(
+            mark, "sid long, at int, anchor long, origin long, place long"
         ),
         "anchors",
     )
-    # A gram in the bytes that two neighbouring pieces share is the same gram.
-    place = F.struct("sid", "at")
+    place = F.struct("origin", "place")
     shared = (
         marks.groupBy("anchor")
         .agg(F.min(place).alias("a"), F.max(place).alias("b"))
@@ -209,40 +201,27 @@ def stretches(found: DataFrame, own: DataFrame, width: int) -> DataFrame:
     )
     shared = materialise(shared, "shared-anchors")
     repeated = (
-        marks.join(small(shared), "anchor", "left_semi")
-        .groupBy("piece")
-        .agg(F.collect_set("anchor").alias("anchors"))
-    )
-    marked = (
-        first.join(repeated, "piece")
+        marks.join(small(shared, BROADCAST_ANCHORS), "anchor", "left_semi")
         .groupBy("sid")
-        .agg(F.collect_list(F.struct("piece", "start", "core", "anchors")).alias("pieces"))
+        .agg(F.sort_array(F.collect_set("at")).alias("places"))
     )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc_id, text, some in zip(batch["doc_id"], batch["text"], batch["pieces"]):
-                for part in some:
-                    start = int(part["start"])
-                    own = text[start : start + int(part["core"]) + width - 1]
-                    data = np.frombuffer(own, dtype=np.uint8)
-                    wanted = np.asarray(part["anchors"], dtype=np.int64).view(np.uint64)
-                    at = np.flatnonzero(np.isin(grams(data), wanted))
-                    low = np.maximum(at - (width - GRAM), 0)
-                    high = np.minimum(at + width, len(data))
-                    new = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
-                    for first, last in zip(new, np.r_[new[1:], len(at)] - 1):
-                        if high[last] - low[first] >= width:
-                            text_part = own[low[first] : high[last]]
-                            rows.append((int(part["piece"]), doc_id, int(low[first]), text_part))
-            yield pd.DataFrame(rows, columns=["piece", "doc_id", "start", "text"])
+            for source, doc_id, start, text, at in batch.itertuples(index=False):
+                low = np.maximum(at - (width - gram), 0)
+                high = np.minimum(at + width, len(text))
+                new = np.flatnonzero(low[1:] > high[:-1]) + 1
+                for a, b in zip(low[np.r_[0, new]].tolist(), high[np.r_[new - 1, len(at) - 1]].tolist()):
+                    rows.append((source, doc_id, start + a, text[a:b]))
+            yield pd.DataFrame(rows, columns=["source", "doc_id", "start", "text"])
 
     parts = (
-        found.select("sid", "doc_id", "text")
-        .join(marked, "sid")
-        .select("doc_id", "text", "pieces")
-        .mapInPandas(cut, "piece long, doc_id long, start long, text binary")
+        found.select("sid", "source", "doc_id", "start", "text")
+        .join(repeated, "sid")
+        .select("source", "doc_id", "start", "text", "places")
+        .mapInPandas(cut, STRETCH)
     )
     # An order of 2 ** 33 tasks and rows leaves room for the doubling of ids in the recursion.
     written = materialise(parts.withColumn("sid", F.monotonically_increasing_id()), "stretches")
@@ -250,6 +229,73 @@ def stretches(found: DataFrame, own: DataFrame, width: int) -> DataFrame:
     return written
 
 
+def cuts(data: np.ndarray, reach: int = CUT_REACH) -> np.ndarray:
+    """Where the pieces of a string start: at 0, and where a gram is smaller than all of ``reach``
+    before it and as small as all behind it. In a text that repeats with a period few are."""
+    if len(data) <= 2 * reach:
+        return np.zeros(1, dtype=np.int64)
+    code = _mixed(_rolling(data, GRAMS[0], FACTORS[0]))
+    high = np.full(reach, np.iinfo(np.uint64).max, dtype=np.uint64)
+    padded = np.concatenate([high, code, high])
+    least = padded[_least_at(padded, reach)]
+    before, behind = least[: len(code)], least[reach + 1 :][: len(code)]
+    return np.union1d([0], np.flatnonzero((code < before) & (code <= behind)))
+
+
+def places(found: DataFrame, width: int) -> DataFrame:
+    """sid, source, doc_id, start, at, core, high, low: where the pieces of stretches are (``start``
+    in the source, ``at`` in the stretch), and their digests.
+
+    ``core`` strings of ``width`` bytes start in a piece; with the rest of the last one it is
+    ``core + width - 1`` bytes long.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for sid, source, doc_id, start, text in batch.itertuples(index=False):
+                last = len(text) - width + 1  # starts of whole strings
+                at = [int(x) for x in cuts(np.frombuffer(text, dtype=np.uint8)) if x < last] + [last]
+                for a, b in zip(at, at[1:]):
+                    value = xxhash.xxh3_128_intdigest(text[a : b + width - 1])
+                    halves = (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
+                    rows.append((sid, source, doc_id, start + a, a, b - a, *halves))
+            yield pd.DataFrame(rows, columns=PLACE.replace(" long", "").replace(" int", "").split(", "))
+
+    own = found.select("sid", "source", "doc_id", "start", "text")
+    return materialise(own.mapInPandas(run, PLACE), "piece-places")
+
+
+PLACE = "sid long, source long, doc_id long, start long, at int, core int, high long, low long"
+
+
+def pieces(where: DataFrame) -> DataFrame:
+    """piece, high, low, n, first (doc_id, sid, at, ...): every different piece and its first
+    place."""
+    place = F.struct("doc_id", "sid", "at", "source", "start", "core")
+    grouped = where.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    return materialise(grouped.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+
+
+def piece_texts(found: DataFrame, own: DataFrame, width: int) -> DataFrame:
+    """sid and source (the piece), doc_id, start (0), text, and origin and place in a text."""
+    first = own.select("piece", "first.*")
+    held = found.select("sid", "text").join(first, "sid")
+    text = F.substring(F.col("text"), F.col("at") + 1, F.col("core") + (width - 1))
+    return materialise(
+        held.select(
+            F.col("piece").alias("sid"),
+            F.col("piece").alias("source"),
+            "doc_id",
+            F.lit(0).cast("long").alias("start"),
+            text.alias("text"),
+            F.col("source").alias("origin"),
+            F.col("start").alias("place"),
+        ),
+        "piece-texts",
+    )
+
+
 def _placed(sorted_rows: DataFrame, columns: str) -> tuple[DataFrame, DataFrame]:
     """Rows with ``part`` and ``k``, their range and the place in it, given a place beyond all
     ranges before, from 1; and the table that they are read from. One number for each range is
@@ -498,7 +544,7 @@ def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
 
     extra = ", h long, i long, whole boolean, doc_id long"
     found = _merge_rows(parts, cover, BYTE, extra).mapInPandas(run, "sid long, at int")
-    own = parts.select("sid", "piece", "start")
+    own = parts.select("sid", F.col("source").alias("piece"), "start")
     found = found.join(own, "sid").select("piece", (F.col("at") + F.col("start")).alias("at"))
     written = materialise(found, "late-starts")
     discard(*tables)
@@ -506,16 +552,25 @@ def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 SPANS = "array<struct<start:int,length:int>>"
+STARTS = "array<struct<start:long,length:int>>"
 
 
 def late_spans(found: DataFrame, width: int) -> DataFrame:
-    """sid, spans (start, length): where strings start in a text that a smaller document also has.
+    """source, starts (start, length): where strings start in a text that a smaller document also
+    has.
 
     In every text but that of its smallest document all strings of a piece do.
     """
-    where = places(found, width)
+    rough = stretches(found, width, GRAMS[0])
+    fine = stretches(rough, width, GRAMS[1])
+    discard(rough)
+    where = places(fine, width)
     own = pieces(where)
-    late = repeats(stretches(found, own, width), width)
+    texts = piece_texts(fine, own, width)
+    discard(fine)
+    parts = stretches(texts, width, GRAMS[1], placed=True)
+    discard(texts)
+    late = repeats(parts, width)
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -530,20 +585,20 @@ def late_spans(found: DataFrame, width: int) -> DataFrame:
     late = (
         late.groupBy("piece")
         .agg(F.collect_set("at").alias("starts"))
-        .mapInPandas(joined, f"piece long, late {SPANS}")
+        .mapInPandas(joined, f"piece long, late {STARTS}")
     )
     first = own.select("piece", "high", "low", "n", F.col("first.doc_id").alias("smallest"))
     wanted = first.join(late, "piece", "left").filter("n > 1 or late is not null")
     whole = F.array(F.struct(F.col("start"), F.col("core").alias("length")))
     inside = F.transform(
-        F.coalesce("late", F.array().cast(SPANS)),
+        F.coalesce("late", F.array().cast(STARTS)),
         lambda x: F.struct((x["start"] + F.col("start")).alias("start"), x["length"].alias("length")),
     )
     return (
         where.join(wanted, ["high", "low"])
-        .select("sid", F.when(F.col("doc_id") > F.col("smallest"), whole).otherwise(inside).alias("some"))
+        .select("source", F.when(F.col("doc_id") > F.col("smallest"), whole).otherwise(inside).alias("some"))
         .filter(F.size("some") > 0)
-        .groupBy("sid")
+        .groupBy("source")
         .agg(F.flatten(F.collect_list("some")).alias("starts"))
     )
 
@@ -558,12 +613,13 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     found = strings(docs)
     late = materialise(late_spans(found, width), "late-spans")
-    firsts = found.select("digest", "sid", F.col("doc_id").alias("first"))
+    # Rows that repeat whole are equal strings of one document; one of them stands for all.
+    firsts = found.groupBy("digest").agg(F.min("source").alias("source"), F.min("doc_id").alias("first"))
     text: Column = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     own = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("digest")
     )
-    marks = firsts.join(late, "sid", "left").select("digest", "first", "starts")
+    marks = firsts.join(late, "source", "left").select("digest", "first", "starts")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
