@@ -42,7 +42,7 @@ GRAMS = (16, 32)
 #: Bytes that anchors are looked for in at once, and anchors up to which their table is broadcast.
 CHUNK, BROADCAST_ANCHORS = 2 << 20, 4_000_000
 #: A string is cut at the smallest gram among this many before and behind it.
-CUT_REACH = 128
+CUT_REACH = 24
 #: Suffixes of a range that one task sorts, on average.
 RANGE_ROWS = 250_000
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -192,11 +192,11 @@ def stretches(found: DataFrame, width: int, gram: int, placed: bool = False) ->
         ),
         "anchors",
     )
-    place = F.struct("origin", "place")
+    ends = [f(name).alias(f.__name__ + name) for name in ("origin", "place") for f in (F.min, F.max)]
     shared = (
         marks.groupBy("anchor")
-        .agg(F.min(place).alias("a"), F.max(place).alias("b"))
-        .filter("a < b")
+        .agg(*ends)
+        .filter("minorigin < maxorigin or minplace < maxplace")
         .select("anchor")
     )
     shared = materialise(shared, "shared-anchors")
