@@ -42,17 +42,17 @@ PLACE = ["doc_id", "text_key", "line_no"]
 DIGEST = ["high", "low"]
 
 
-def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS, short_repeats: bool = True) -> DataFrame:
+def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, text_key, line_no (from 0), line, long, high, low: the lines that take part.
 
-    ``long`` lines are compared by edits, others, which have more than white space, as a whole; the
-    others take no part without ``short_repeats``. The digest of 128 bits stands for the line.
+    ``long`` lines are compared by edits, others, which have more than white space, as a whole. The
+    digest of 128 bits stands for the line.
     """
     lines = keyed_texts(docs).select("doc_id", "text_key", F.posexplode(F.split("text", "\n", -1)))
     return (
         lines.toDF(*PLACE, "line")
         .withColumn("long", F.char_length(F.trim("line")) >= min_chars)
-        .filter(F.col("long") | F.col("line").rlike(NOT_BLANK) if short_repeats else F.col("long"))
+        .filter(F.col("long") | F.col("line").rlike(NOT_BLANK))
         .withColumn("high", F.xxhash64("line"))
         .withColumn("low", F.xxhash64(F.lit("low"), "line"))
     )
@@ -200,14 +200,15 @@ def linked(near: DataFrame) -> DataFrame:
     )
 
 
-def removals(docs: DataFrame, min_chars: int = MIN_CHARS, short_repeats: bool = True) -> DataFrame:
+def removals(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, text_key, gone: the numbers of a document's lines that go. Only where there are any.
 
     A line goes if a line at an earlier place is equal to it or, for lines of ``min_chars`` and
-    more, within one edit, whether or not that one goes itself. Blank lines stay. Places are ordered by doc_id, then text_key, then line; rows that repeat
-    whole share their places and keep what they have.
+    more, within one edit, whether or not that one goes itself. Blank lines stay. Places are ordered by
+    doc_id, then text_key, then line; rows that repeat whole share their places and keep what they
+    have.
     """
-    lines = lines_of(docs, min_chars, short_repeats)
+    lines = lines_of(docs, min_chars)
     different = materialise(distinct_lines(lines), "lines")
     near = materialise(candidates(different, lines), "line-texts")
     late = linked(near).withColumn("late", F.lit(True))
@@ -225,15 +226,14 @@ def removals(docs: DataFrame, min_chars: int = MIN_CHARS, short_repeats: bool =
     )
 
 
-def deduplicated(
-    docs: DataFrame, min_chars: int = MIN_CHARS, short_repeats: bool = True
-) -> DataFrame:
+def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, text_key, kept_text, n_lines, n_removed, one row per row with a doc_id.
 
     A null or empty text is one empty line, which stays. Rows without a doc_id have no place and
-    are left out. Texts without a line to remove stay as they are, line breaks included.
+    are left out. Texts without a line to remove stay as they are, line breaks included. Other
+    columns are dropped. An empty table gives no row.
     """
-    gone = materialise(removals(docs, min_chars, short_repeats), "line-removals")
+    gone = materialise(removals(docs, min_chars), "line-removals")
     split = F.split("text", "\n", -1)
     kept = F.filter(split, lambda _, k: ~F.array_contains("gone", k))
     return (
