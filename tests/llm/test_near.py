@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from yearpanel.llm import line_dedup, minhash, substring_dedup, suffix_dedup
 from yearpanel.llm.components import components
 
+from .brute import late_lines, late_units, tiles_of
+from .conftest import prose
+
 SCHEMA = "doc_id long, text string"
 
 
@@ -32,31 +35,11 @@ def same(found, expected):
 # Lines
 
 
-def within_one(a, b):
-    if abs(len(a) - len(b)) > 1:
-        return False
-    p = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-    return a[p + 1 :] == b[p + 1 :] or a[p + 1 :] == b[p:] or a[p:] == b[p + 1 :]
-
-
 def without_lines(docs):
-    places, out = {}, []
-    rows = with_id(docs)
-    for doc_id, text in rows:
-        for k, line in enumerate(text.split("\n")):
-            if len(line.strip(" ")) >= line_dedup.MIN_CHARS:
-                places.setdefault(line, (doc_id, k))
-    first = sorted((place, line) for line, place in places.items())
-    for doc_id, text in rows:
-        lines = text.split("\n")
-        kept = []
-        for k, line in enumerate(lines):
-            gone = line in places and any(
-                place < (doc_id, k) and within_one(line, other) for place, other in first
-            )
-            if not gone:
-                kept.append(line)
-        out.append((doc_id, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    rows, out = with_id(docs), []
+    for (doc_id, text), gone in zip(rows, late_lines(rows)):
+        kept = "\n".join(line for line, g in zip(text.split("\n"), gone) if not g)
+        out.append((doc_id, len(gone), sum(gone), sha(kept)))
     return out
 
 
@@ -93,23 +76,11 @@ def test_lines_run_without_python(documents):
 
 
 def without_units(docs):
-    rows, first, out = with_id(docs), {}, []
-    for doc_id, text in rows:
-        for k, plain in enumerate(map(substring_dedup.normalised, substring_dedup.units(text))):
-            if len(plain.split()) >= substring_dedup.MIN_WORDS:
-                first.setdefault(plain, (doc_id, k))
-    for doc_id, text in rows:
-        tiles = substring_dedup.units(text)
-        assert "".join(tiles) == text
-        plain = [substring_dedup.normalised(u) for u in tiles]
-        state = [first[p] != (doc_id, k) if p in first else None for k, p in enumerate(plain)]
-        gone = [
-            next((s for s in reversed(state[: k + 1]) if s is not None), False)
-            and next((s for s in state[k:] if s is not None), False)
-            for k in range(len(tiles))
-        ]
-        kept = "".join(u for u, g in zip(tiles, gone) if not g)
-        marks = "".join("x" * len(u) if g else "-" * len(u) for u, g in zip(tiles, gone))
+    rows, out = with_id(docs), []
+    for (doc_id, text), gone in zip(rows, late_units(rows)):
+        tiles = tiles_of(text)
+        kept = "".join(t for t, g in zip(tiles, gone) if not g)
+        marks = "".join("x" * len(t) if g else "-" * len(t) for t, g in zip(tiles, gone))
         spans = [(m.start(), m.end() - m.start()) for m in re.finditer("x+", marks)]
         written = ",".join(f"{a}:{n}" for a, n in spans)
         out.append(
@@ -118,7 +89,19 @@ def without_units(docs):
     return out
 
 
-@pytest.mark.parametrize("name", ["documents", "odd_documents", "no_documents"])
+@pytest.fixture(scope="module")
+def short_units(spark):
+    """Passages of short sentences, in scripts with and without blanks, and short copies."""
+    short = "Ka lon. Mi ru! Te sa vor? Pel dam. Ox ka. Lo mi ru. Te ka. Sa sa vor. Pel. Dam ox lo. Mi.\n"
+    hot = "One sentence that very many documents have."
+    signs = "".join(chr(0x4E00 + k) for k in range(60))
+    texts = [short, prose(1) + " " + short + prose(2), short, "Yes. No.", "yes.  NO.", hot, prose(3) + " " + hot]
+    texts += [prose(4) + "\n" + hot, signs + ".\n" + prose(5), prose(6) + "\n" + signs + ".", "a. " * 40, "a. " * 50]
+    texts += [short[:40] + prose(7), prose(8) + short[20:], "", " \n", short.replace(".", "!")]
+    return spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+
+
+@pytest.mark.parametrize("name", ["documents", "odd_documents", "short_units", "no_documents"])
 def test_units(request, name):
     docs = request.getfixturevalue(name)
     same(substring_dedup.digests(substring_dedup.deduplicated(docs)), without_units(docs))

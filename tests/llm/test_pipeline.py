@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import random
-import re
 
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from yearpanel.llm import line_dedup, packing, quality, substring_dedup
+from yearpanel.llm import packing, quality
 
+from .brute import late_lines, late_units, tiles_of
 from .conftest import DOCUMENTS, prose
-from .test_near import linked, within_one
+from .test_near import linked
 from .test_quality import counts
 
 
@@ -70,38 +70,20 @@ def kept_by_rules(spark, folder, texts):
 
 
 def without_late_lines(texts):
-    first, out = {}, {}
-    for k in sorted(texts):
-        for j, line in enumerate(texts[k].split("\n")):
-            if len(line.strip(" ")) >= line_dedup.MIN_CHARS:
-                first.setdefault(line, (k, j))
-    for k in sorted(texts):
-        lines = texts[k].split("\n")
-        kept = [
-            line
-            for j, line in enumerate(lines)
-            if line not in first or not any(p < (k, j) and within_one(line, o) for o, p in first.items())
-        ]
-        if len(kept) == len(lines) or "\n".join(kept).strip():
-            out[k] = "\n".join(kept)
+    rows, out = sorted(texts.items()), {}
+    for (k, text), gone in zip(rows, late_lines(rows)):
+        kept = "\n".join(line for line, g in zip(text.split("\n"), gone) if not g)
+        if not any(gone) or kept.strip():
+            out[k] = kept
     return out
 
 
 def without_late_units(texts):
-    first, out = {}, {}
-    for k in sorted(texts):
-        for j, unit in enumerate(substring_dedup.units(texts[k])):
-            plain = " ".join(unit.lower().split())
-            if len(plain.split()) >= substring_dedup.MIN_WORDS:
-                first.setdefault(plain, (k, j))
-    for k in sorted(texts):
-        tiles = substring_dedup.units(texts[k])
-        plain = [" ".join(u.lower().split()) for u in tiles]
-        mark = "".join("?" if p not in first else "-" if first[p] == (k, j) else "x" for j, p in enumerate(plain))
-        mark = re.sub(r"(?<=x)\?+(?=x)", lambda m: "x" * len(m[0]), mark)
-        text = "".join(u for u, m in zip(tiles, mark) if m != "x")
-        if "x" not in mark or text.strip():
-            out[k] = text
+    rows, out = sorted(texts.items()), {}
+    for (k, text), gone in zip(rows, late_units(rows)):
+        kept = "".join(t for t, g in zip(tiles_of(text), gone) if not g)
+        if not any(gone) or kept.strip():
+            out[k] = kept
     return out
 
 

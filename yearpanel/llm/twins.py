@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from yearpanel.llm.line_dedup import MIN_CHARS
-from yearpanel.llm.substring_dedup import MIN_WORDS
-
-# Units tile the text. A long unit goes where an earlier place has it; a short one goes where the
-# nearest long ones on both sides do.
-SUBSTRING = rf"""
+# Units tile the text. Long units, three short ones in a row and whole texts go where an earlier
+# place has them, other short units where the nearest ones on both sides do, and only runs of 20
+# words stay away.
+SUBSTRING = r"""
 WITH units AS (
     SELECT doc_id, unnest(u) AS unit, generate_subscripts(u, 1) AS k
     FROM (SELECT doc_id,
@@ -16,22 +14,46 @@ WITH units AS (
 ), plain AS (
     SELECT *, lower(trim(regexp_replace(unit, '\s+', ' ', 'g'))) AS norm FROM units
 ), sized AS (
-    SELECT *, length(norm) - length(replace(norm, ' ', '')) + 1 >= {MIN_WORDS} AS long FROM plain
+    SELECT *, CASE WHEN norm = '' THEN 0 ELSE length(norm) - length(replace(norm, ' ', '')) + 1 END AS words
+    FROM plain
+), kinds AS (
+    SELECT *, words >= 6 OR length(norm) >= 40 AS long FROM sized
+), neighbours AS (
+    SELECT *, lead(norm) OVER w AS norm2, lead(norm, 2) OVER w AS norm3,
+           NOT (long OR lead(long) OVER w OR lead(long, 2) OVER w)
+               AND words + lead(words) OVER w + lead(words, 2) OVER w >= 6 AS threefold
+    FROM kinds WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+), keyed AS (
+    SELECT *, CASE WHEN long THEN [norm] WHEN threefold THEN [norm, norm2, norm3] END AS key FROM neighbours
 ), ranked AS (
-    SELECT *, CASE WHEN long THEN row_number() OVER (PARTITION BY norm, long ORDER BY doc_id, k) > 1
-              END AS late
-    FROM sized
+    SELECT *, key IS NOT NULL AND (doc_id > first.d OR k >= first.k + len(key)) AS again
+    FROM (SELECT *, min({'d': doc_id, 'k': k}) OVER (PARTITION BY key) AS first FROM keyed)
+), marked AS (
+    SELECT *, CASE WHEN long THEN again
+                   WHEN again OR coalesce(lag(again AND NOT long) OVER w, FALSE)
+                        OR coalesce(lag(again AND NOT long, 2) OVER w, FALSE) THEN TRUE END AS late
+    FROM ranked WINDOW w AS (PARTITION BY doc_id ORDER BY k)
 ), placed AS (
     SELECT *, coalesce(last_value(late IGNORE NULLS) OVER before, FALSE)
-              AND coalesce(first_value(late IGNORE NULLS) OVER behind, FALSE) AS gone
-    FROM ranked
+              AND coalesce(first_value(late IGNORE NULLS) OVER behind, FALSE) AS between
+    FROM marked
     WINDOW before AS (PARTITION BY doc_id ORDER BY k ROWS UNBOUNDED PRECEDING),
            behind AS (PARTITION BY doc_id ORDER BY k
                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), stretches AS (
+    SELECT *, sum(CAST(NOT between AS INT)) OVER (PARTITION BY doc_id ORDER BY k) AS stretch FROM placed
+), copies AS (
+    SELECT doc_id, norm <> '' AND doc_id > min(doc_id) OVER (PARTITION BY norm) AS copy
+    FROM (SELECT doc_id, lower(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS norm
+          FROM documents)
+), judged AS (
+    SELECT s.*, copy OR (between AND sum(words) FILTER (between) OVER (PARTITION BY doc_id, stretch) >= 20)
+               AS gone
+    FROM stretches s JOIN copies USING (doc_id)
 ), spread AS (
     SELECT *, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k) - length(unit) AS pos,
            gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), FALSE) AS opens
-    FROM placed
+    FROM judged
 ), runs AS (
     SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM spread
 ), spans AS (
@@ -44,7 +66,7 @@ WITH units AS (
     SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
            CAST(coalesce(sum(length(unit)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
            coalesce(string_agg(unit, '' ORDER BY k) FILTER (NOT gone), '') AS kept
-    FROM placed GROUP BY doc_id
+    FROM judged GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
        coalesce(removed_chars, 0) AS removed_chars, coalesce(n_spans, 0) AS n_spans,
@@ -54,16 +76,21 @@ FROM documents d LEFT JOIN docs USING (doc_id) LEFT JOIN spans USING (doc_id)
 
 # Candidate pairs share the first or the second half; the edit is then looked for at the first
 # character that differs.
-LINES = rf"""
+LINES = r"""
 WITH lines AS (
     SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS k
     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
 ), places AS (
-    SELECT *, length(trim(line)) >= {MIN_CHARS} AS counts FROM lines
+    SELECT *, length(trim(line)) >= 20 AS long,
+           length(trim(line)) >= 20 OR regexp_matches(line,
+               '[^\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]'
+           ) AS counts
+    FROM lines
 ), different AS (
-    SELECT line, min((doc_id, k)) AS first, length(line) AS n FROM places WHERE counts GROUP BY line
+    SELECT line, min((doc_id, k)) AS first, length(line) AS n, bool_or(long) AS long
+    FROM places WHERE counts GROUP BY line
 ), sized AS (
-    SELECT *, n AS m FROM different UNION ALL SELECT *, n - 1 AS m FROM different
+    SELECT *, n AS m FROM different WHERE long UNION ALL SELECT *, n - 1 AS m FROM different WHERE long
 ), halves AS (
     SELECT line, first, n, m, 'a' AS side, left(line, m // 2) AS half FROM sized
     UNION ALL
