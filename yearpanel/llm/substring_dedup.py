@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearpanel.llm.common import keyed_texts, small
-from yearpanel.sources.scratch import materialise
+from yearpanel.sources.scratch import discard, materialise
 
 UNIT = r"[^.!?\n]*[.!?\n]+[ \t]*|[^.!?\n]+"
 #: Units with fewer words and characters are short ones.
@@ -112,7 +112,8 @@ def split(text: str, gone: set[tuple[int, int]]) -> tuple[str, list[dict], int]:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, gone (unit, size): the ``keys`` of a text that an earlier place has.
+    """doc_id, text_key, gone (unit, size), written: the ``keys`` of a text that an earlier place
+    has.
 
     Places are ordered by doc_id, then text_key, then unit. Rows that repeat whole share their
     places and keep what they have. A row of units that overlaps its own first place stays.
@@ -142,12 +143,15 @@ def repeats(docs: DataFrame) -> DataFrame:
     text = F.struct("doc_id", "text_key")
     first = F.struct("first.doc_id", "first.text_key")
     apart = (text != first) | (F.col("unit") >= F.col("first.unit") + F.col("size"))
-    return (
+    found = (
         places.join(small(firsts), ["high", "low"])
         .filter(apart)
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set(F.struct("unit", "size")).alias("gone"))
     )
+    gone = materialise(found, "removed-units")
+    discard(places, firsts)
+    return gone
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -157,7 +161,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     empty or null text has no unit. Rows without a doc_id have no rank and are left out. Other
     columns are dropped. An empty table gives no row.
     """
-    gone = materialise(repeats(docs), "removed-units")
+    gone = repeats(docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
