@@ -72,3 +72,5 @@ def test_stages_take_null_and_repeated_rows(spark, documents, odd_documents, no_
             rows = out.collect()
             if name != "packing":
                 assert out.columns == docs.columns and len(rows) <= docs.count()
+            if name.endswith("_dedup"):  # rows without an id have no place, and stay
+                assert sum(r.doc_id is None for r in rows) == docs.filter("doc_id is null").count()

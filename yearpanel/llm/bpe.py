@@ -170,10 +170,9 @@ def encoded(
 
     One row per row of ``docs``, repeated rows included; nothing shuffles.
     """
-    path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = codec(path, pattern)
+        own = codec(path or public_tokenizers.path(RANKS), pattern)
         for batch in batches:
             ids = [own.encode(text or "") for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids})
@@ -185,10 +184,9 @@ def encoded(
 
 def decoded(frame: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and text_bytes, what the array ``ids`` stands for. Null ids give no bytes."""
-    path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = codec(path, public_tokenizers.PATTERN)
+        own = codec(path or public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
         for batch in batches:
             texts = [b"" if ids is None else own.decode(ids) for ids in batch["ids"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "text_bytes": texts})
@@ -205,10 +203,9 @@ def token_digests(
     text. Ids are written in decimal with one blank between them. A null text is an empty one;
     repeated rows, extra columns and null ids of documents pass through.
     """
-    path = path or public_tokenizers.path(RANKS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = codec(path, pattern)
+        own = codec(path or public_tokenizers.path(RANKS), pattern)
         decimal = [str(k) for k in range(len(own.tokens))]
         for batch in batches:
             out = []
