@@ -3,8 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written as Parquet and
 reread as the next one's docs. All but the last return the columns of the documents they got.
 
-Rows without a doc_id have no place in the order that the stages keep the earliest by; the first
-stage passes them on, line dedup leaves them out. Rows that repeat whole pass all stages alike.
+Rows without a doc_id have no place in the order that the stages keep the earliest by; the dedup
+stages pass them on as they are. Rows that repeat whole pass all stages alike.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def _with_texts(docs: DataFrame, changed: DataFrame) -> DataFrame:
     new = changed.select(
         F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "kept_text"
     ).dropDuplicates(["_doc", "_key"])
-    joined = docs.filter("doc_id is not null").join(
+    joined = docs.join(
         new, (F.col("doc_id").cast("long") == F.col("_doc")) & (_text_key() == F.col("_key")), "left"
     )
     lost = F.col("kept_text").isNotNull()
@@ -49,7 +49,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that are within one edit of an earlier one."""
+    """Documents without the lines that are equal to an earlier one or, if they are not short, within
+    one edit of it."""
     result = line_dedup.deduplicated(docs).filter("n_removed > 0")
     return _with_texts(docs, result)
 
@@ -68,7 +69,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the units that an earlier one has."""
+    """Documents without the passages that earlier ones have."""
     result = substring_dedup.deduplicated(docs).filter("n_removed > 0")
     return _with_texts(docs, result)
 
