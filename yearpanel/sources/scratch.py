@@ -37,10 +37,11 @@ def deleted_afterwards(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _kept.pop():
-            _delete(spark, path)
+            delete_folder(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if there is one, on whatever file system it is."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -48,7 +49,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 def discard(*frames: DataFrame) -> None:
     """Delete the files of frames that ``materialise`` gave and that nothing reads any more."""
     for frame in frames:
-        _delete(frame.sparkSession, frame.scratch)
+        delete_folder(frame.sparkSession, frame.scratch)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
