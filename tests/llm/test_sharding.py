@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from yearpanel.llm import sharding
 from yearpanel.llm.sharding import Block
@@ -71,5 +72,71 @@ def test_only_changed_shards_are_rewritten(spark, tmp_path, documents):
     assert [p.name for p in (tmp_path / "s").glob("shard=*")] == ["shard=1"]
 
 
+def _held(spark, folder):
+    rows = spark.read.parquet(folder).collect()
+    out = {}
+    for r in rows:
+        out.setdefault(r.shard, []).append(r)
+    for k, own in out.items():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    return out
+
+
+def _files(folder):
+    return {p.parent.name: p.name for p in sorted(folder.glob("shard=*/part-*"))}
+
+
+def test_only_affected_files_are_rewritten_in_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "CELL_ROWS", 3)
+    docs = spark.createDataFrame([(k, "a" * (k % 50)) for k in range(60)], "doc_id long, text string")
+    old = F.when(F.col("doc_id") < 20, 0).when(F.col("doc_id") < 40, 1).when(F.col("doc_id") < 55, 2)
+    place = tmp_path / "shards"
+    folder = str(place)
+    slots = F.row_number().over(Window.partitionBy(old).orderBy("doc_id")) - 1
+    sharding.write_shards(docs.withColumns({"shard": F.coalesce(old, F.lit(3)), "slot": slots}), folder)
+    before = _files(place)
+    assert sharding.rebalanced(spark, folder, 4, [20, 20, 10, 10]) == [2, 3]
+    after = _files(place)
+    assert all(before[k] == after[k] for k in ("shard=0", "shard=1"))
+    assert all(before[k] != after[k] for k in ("shard=2", "shard=3"))
+    held = _held(spark, folder)
+    assert {k: len(v) for k, v in held.items()} == {0: 20, 1: 20, 2: 10, 3: 10}
+    assert sharding.rebalanced(spark, folder, 4, [20, 20, 10, 10]) == []
+    # Fewer shards: the rows of those that vanish move, their folders go.
+    assert sharding.rebalanced(spark, folder, 2, [40, 20]) == [0]
+    held = _held(spark, folder)
+    assert {k: len(v) for k, v in held.items()} == {0: 40, 1: 20}
+    assert Counter((r.doc_id, r.text) for v in held.values() for r in v) == Counter(map(tuple, docs.collect()))
+    # More shards, and one that is emptied.
+    sharding.rebalanced(spark, folder, 3, [0, 30, 30])
+    held = _held(spark, folder)
+    assert {k: len(v) for k, v in held.items()} == {1: 30, 2: 30}
+    assert Counter((r.doc_id, r.text) for v in held.values() for r in v) == Counter(map(tuple, docs.collect()))
+
+
+def test_rows_without_a_shard_and_empty_folders(spark, tmp_path):
+    folder = str(tmp_path / "shards")
+    rows = [(None, "x", None), (1, None, 0), (1, None, 0), (2, "", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
+    slots = F.row_number().over(Window.partitionBy("shard").orderBy("doc_id")) - 1
+    sharding.write_shards(docs.withColumn("slot", slots), folder)
+    assert sharding.rebalanced(spark, folder, 2) == [1]
+    held = _held(spark, folder)
+    assert {k: len(v) for k, v in held.items()} == {0: 2, 1: 2}
+    assert sorted(p.name for p in (tmp_path / "shards").glob("shard=*")) == ["shard=0", "shard=1"]
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert sharding.rebalanced(spark, str(empty), 2) == []
+
+
+def test_cells_are_bounded_by_rows_and_bytes(spark, monkeypatch):
+    assert sharding._cells(Block(0, 20, 100, 100 << 20)) == 13
+    assert sharding._cells(Block(0, 5, 20_000, 20_000 << 5)) == 5
+    monkeypatch.setattr(sharding, "CELL_BYTES", 1000)
+    rows = spark.createDataFrame([(None, f"{k} " + "z" * 100) for k in range(200)], "doc_id long, text string")
+    found = sharding.assigned(rows, F.lit(0), 1).collect()
+    assert sorted(r.slot for r in found) == list(range(200))  # rows without an id share no cell
+
+
 def test_no_rows(no_documents):
     assert sharding.resharded(no_documents, F.lit(0), 4).count() == 0

@@ -5,7 +5,8 @@ flow network and new shards its sinks. Staying costs nothing, moving a row costs
 size, so that the cheapest flow fills every new shard to its capacity and moves the fewest bytes.
 The network has a node for each old shard and power of two, whatever the number of rows. Transfers
 are intervals of a block's rows; Spark numbers the rows of small cells, finds each row's interval
-and place, and rewrites the shards that change.
+and place, and rewrites the shards that change. ``rebalanced`` does so in place: the files of other
+shards are neither read nor written.
 """
 
 from __future__ import annotations
@@ -15,18 +16,20 @@ from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from yearpanel.llm.common import small
-from yearpanel.sources.scratch import materialise, scratch_path
+from yearpanel.sources.scratch import delete_folder, discard, materialise, scratch_path
 
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 16
-#: Rows of a cell, the unit that one task numbers.
+#: Rows and bytes of a cell, the unit that one task numbers. A single row may have more bytes.
 CELL_ROWS = 5_000
+CELL_BYTES = 8 << 20
 
 BLOCK = ["_old", "_class"]
 CELL = [*BLOCK, "_cell"]
@@ -132,6 +135,28 @@ def _text() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
+def _blocked(docs: DataFrame, old_shard: Column) -> DataFrame:
+    size = F.octet_length(_text()) + ROW_BYTES
+    return docs.withColumns(
+        {
+            "_old": F.coalesce(old_shard.cast("int"), F.lit(-1)),
+            "_class": F.floor(F.log2(size)).cast("int"),
+            "_size": size.cast("long"),
+        }
+    )
+
+
+def _blocks(blocked: DataFrame) -> list[Block]:
+    """A block for each old shard and power of two."""
+    counted = blocked.groupBy(*BLOCK).agg(F.count("*").alias("n"), F.sum("_size").alias("b"))
+    return sorted((Block(*row) for row in counted.collect()), key=lambda b: (b.old, b.size_class))
+
+
+def _cells(block: Block) -> int:
+    """Cells of a block: few enough rows and bytes in each, on average."""
+    return 1 + max(block.rows // CELL_ROWS, block.bytes // CELL_BYTES)
+
+
 def assigned(
     docs: DataFrame, old_shard: Column, shards: int, capacities: Sequence[int] | None = None
 ) -> DataFrame:
@@ -142,25 +167,21 @@ def assigned(
     one is -1. Slots of a shard count from 0 without a gap. A null text has no bytes. Columns of
     ``docs`` with the names of added ones are replaced.
     """
-    spark = docs.sparkSession
     docs = docs.drop("old_shard", "shard", "slot")
-    size = F.octet_length(_text()) + ROW_BYTES
-    blocked = docs.withColumns(
-        {
-            "_old": F.coalesce(old_shard.cast("int"), F.lit(-1)),
-            "_class": F.floor(F.log2(size)).cast("int"),
-            "_size": size.cast("long"),
-        }
-    )
-    # A row for each old shard and power of two.
-    counted = blocked.groupBy(*BLOCK).agg(F.count("*").alias("n"), F.sum("_size").alias("b"))
-    blocks = sorted((Block(*row) for row in counted.collect()), key=lambda b: (b.old, b.size_class))
+    blocked = _blocked(docs, old_shard)
+    blocks = _blocks(blocked)
     plan = transfers(blocks, capacities or even_capacities(blocks, shards)) if blocks else []
+    return _placed(blocked, blocks, plan).select(*docs.columns, "old_shard", "shard", "slot")
 
+
+def _placed(blocked: DataFrame, blocks: Sequence[Block], plan: Sequence[tuple]) -> DataFrame:
+    """The rows of ``blocks`` with old_shard, shard and slot as the transfers of ``plan`` have it."""
+    spark = blocked.sparkSession
     cells = T.StructType([T.StructField(c, T.IntegerType(), False) for c in (*BLOCK, "_cells")])
-    per_block = [(b.old, b.size_class, 1 + b.rows // CELL_ROWS) for b in blocks]
+    per_block = [(b.old, b.size_class, _cells(b)) for b in blocks]
+    # Rows that share a doc_id, or have none, spread by their texts.
     numbered = blocked.join(F.broadcast(spark.createDataFrame(per_block, cells)), BLOCK).withColumn(
-        "_cell", F.pmod(F.xxhash64("doc_id"), "_cells").cast("int")
+        "_cell", F.pmod(F.xxhash64("doc_id", _text()), "_cells").cast("int")
     )
     runs = _runs(numbered, plan)
     order = ["doc_id", "_size", F.crc32(_text())]
@@ -179,15 +200,14 @@ def assigned(
                 "slot": F.col("_base") + F.col("_rank") - F.col("_low"),
             }
         )
-        .select(*docs.columns, "old_shard", "shard", "slot")
     )
 
 
-def _runs(numbered: DataFrame, plan: list[tuple]) -> DataFrame:
+def _runs(numbered: DataFrame, plan: Sequence[tuple]) -> DataFrame:
     """For each cell and shard the cell's ranks that go there, and the slot of the first."""
     spark = numbered.sparkSession
     schema = "_old int, _class int, _shard int, low long, high long"
-    intervals = F.broadcast(spark.createDataFrame(plan, schema))  # blocks and shards at most
+    intervals = F.broadcast(spark.createDataFrame(list(plan), schema))  # blocks and shards at most
     in_block = Window.partitionBy(*BLOCK).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     in_shard = (
         Window.partitionBy("_shard").orderBy(*CELL).rowsBetween(Window.unboundedPreceding, -1)
@@ -237,6 +257,49 @@ def resharded(
     return spark.read.schema(assignment.schema).parquet(folder)
 
 
+def rebalanced(
+    spark: SparkSession, folder: str, shards: int, capacities: Sequence[int] | None = None
+) -> list[int]:
+    """Bring the shards below ``folder`` to ``shards`` ones in place; the shards that were rewritten.
+
+    ``folder`` is as ``write_shards`` leaves it. Shards that neither give nor get rows keep their
+    files, with the slots in them; they are only read to be counted. Columns stay as they are. Rows without a shard, or in
+    shards from ``shards`` on, move. The rewritten shards are complete in the shared scratch folder
+    before the first file is replaced, and are deleted there after the last one: what an interrupted
+    run left undone is done by writing them again. A folder without files stays as it is.
+    """
+    try:
+        held = spark.read.parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return []
+    rows = held.drop("slot", "old_shard").withColumnRenamed("shard", "_from")
+    blocked = _blocked(rows, F.col("_from"))
+    blocks = _blocks(blocked)
+    plan = transfers(blocks, capacities or even_capacities(blocks, shards)) if blocks else []
+    changes = {k for old, _, shard, *_ in plan if old != shard for k in (old, shard)}
+    if not changes:
+        return []
+    named = F.coalesce("_from", F.lit(-1)).isin(sorted(changes))  # prunes folders
+    placed = _placed(
+        blocked.filter(named),
+        [b for b in blocks if b.old in changes],
+        [part for part in plan if part[0] in changes],
+    )
+    # Files that stay and new ones have the same columns and types.
+    same = [F.col(field.name).cast(field.dataType) for field in held.schema]
+    staged = materialise(placed.select(*same), "shards")
+    write_shards(staged, folder)
+    filled = {shard for _, _, shard, *_ in plan}
+    for k in changes - filled:
+        name = "__HIVE_DEFAULT_PARTITION__" if k == -1 else k
+        delete_folder(spark, f"{folder.rstrip('/')}/shard={name}")
+    spark.catalog.refreshByPath(folder)
+    discard(staged)
+    return sorted(changes & filled)
+
+
 def shard_digests(rows: DataFrame) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     return rows.select(
