@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -212,6 +213,25 @@ def test_near_duplicates(request, monkeypatch, name):
     same(minhash.near_duplicates(docs), linked(docs))
 
 
+@pytest.mark.parametrize("labels", [[5] * 90 + [6], [5] * 40 + [6] * 30 + [7] * 20, list(range(70)), [5, 5, 6]])
+def test_cells_hold_every_pair_of_labels_once(spark, monkeypatch, labels):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    rows = [(1, k, label) for k, label in enumerate(labels)] + [(2, k, 9) for k in range(20)]
+    rows = spark.createDataFrame(rows, "key long, id long, label long")
+    dealt = minhash._dealt(rows, minhash._bucket_sizes(rows)).collect()
+    assert {r.key for r in dealt} == {1}  # nothing to compare among members of one label
+    cells = {}
+    for r in dealt:
+        cells.setdefault(r.cell, []).append(r.id)
+    met = Counter(frozenset(pair) for ids in cells.values() for pair in itertools.combinations(ids, 2))
+    n = len(labels)
+    for a, b in itertools.combinations(range(n), 2):
+        if labels[a] != labels[b]:
+            assert met[frozenset((a, b))] >= 1
+    if len(set(labels)) == 2 and n > 8:  # one other label costs a copy of each row, not one for each part
+        assert len(dealt) <= 2 * n
+
+
 def test_components(spark):
     rng = random.Random(1)
     path = [(k, k + 1) for k in range(100, 160)]

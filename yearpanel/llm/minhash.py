@@ -222,18 +222,47 @@ def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _dealt(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``rows`` (key, id, ...) repeated for the cells of their bucket.
+    """``rows`` (key, id, label, ...) repeated for the cells of their bucket.
 
-    A cell is a pair of parts of a bucket; a member goes to the cells of its part with any part.
-    Buckets of up to BLOCK members are one cell.
+    Members with the label that most of a bucket have are never compared with each other. The others
+    make up the first ``minor`` of its ``parts``. A cell is a pair of parts of which one is such a
+    part: those members go to the cells of their part with any part, and members of the common label
+    only to the cells with the minor parts. Buckets of up to BLOCK members are one cell.
     """
-    part = F.pmod(F.xxhash64("id"), "parts").cast("int")
+    mixed = F.pmod(F.xxhash64("id"), "minor")
+    others = F.greatest(F.col("parts") - F.col("minor"), F.lit(1))
+    common = F.col("minor") + F.pmod(F.xxhash64("id"), others)
+    rare = (F.col("label") != F.col("common")) | (F.col("parts") == 1)
+    part = F.when(rare, mixed).otherwise(common).cast("int")
+    met = F.when(rare, F.col("parts")).otherwise(F.col("minor"))
     cells = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
+        F.sequence(F.lit(0), met - 1),
         lambda k: F.least("part", k) * F.col("parts") + F.greatest("part", k),
     )
     joined = rows.join(sizes, "key").withColumn("part", part).withColumn("cell", F.explode(cells))
-    return joined.drop("part", "parts")
+    return joined.drop("part", "parts", "minor", "common")
+
+
+def _bucket_sizes(firsts: DataFrame) -> DataFrame:
+    """key, parts, minor, common of the buckets with more than one label.
+
+    ``common`` is the label that most members have. The others are dealt into ``minor`` parts, all
+    members into ``parts``.
+    """
+    counted = firsts.groupBy("key", "label").agg(F.count("*").alias("n"))
+    sizes = counted.groupBy("key").agg(
+        F.sum("n").alias("n"),
+        F.count("*").alias("labels"),
+        F.max(F.struct("n", "label")).alias("most"),
+    )
+    minor = F.ceil((F.col("n") - F.col("most.n")) / BLOCK)
+    parts = F.when(F.col("n") <= BLOCK, 1).otherwise(minor + F.ceil(F.col("most.n") / BLOCK))
+    return sizes.filter("labels > 1").select(
+        "key",
+        parts.cast("int").alias("parts"),
+        F.when(F.col("n") <= BLOCK, 1).otherwise(minor).cast("int").alias("minor"),
+        F.col("most.label").alias("common"),
+    )
 
 
 def _by_cell(rows: DataFrame) -> DataFrame:
@@ -262,13 +291,7 @@ def meeting(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFr
     open_ids = materialise(open_ids.select("id", "label").distinct(), "open-members")
     own = classes.join(small(open_ids), "id").select("id", "label", "n_shingles", "halves", "signature")
     firsts = own.select("*", F.explode(F.slice("halves", 1, HALVES)).alias("key"))
-    sizes = materialise(
-        firsts.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
-        .filter("least < most")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")),
-        "open-buckets",
-    )
+    sizes = materialise(_bucket_sizes(firsts), "open-buckets")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _groups(batches):
