@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from yearpanel.llm.common import small
@@ -30,6 +29,9 @@ ROW_BYTES = 16
 #: Rows and bytes of a cell, the unit that one task numbers. A single row may have more bytes.
 CELL_ROWS = 5_000
 CELL_BYTES = 8 << 20
+#: Rows and bytes of neighbouring cells that are dealt together.
+BATCH_ROWS = 5_000
+BATCH_BYTES = 32 << 20
 
 BLOCK = ["_old", "_class"]
 CELL = [*BLOCK, "_cell"]
@@ -177,17 +179,25 @@ def assigned(
 def _placed(blocked: DataFrame, blocks: Sequence[Block], plan: Sequence[tuple]) -> DataFrame:
     """The rows of ``blocks`` with old_shard, shard and slot as the transfers of ``plan`` have it."""
     spark = blocked.sparkSession
-    cells = T.StructType([T.StructField(c, T.IntegerType(), False) for c in (*BLOCK, "_cells")])
-    per_block = [(b.old, b.size_class, _cells(b)) for b in blocks]
+    schema = "_old int not null, _class int not null, _cells int not null, _before double, _share double"
+    per_block, before = [], 0.0
+    for b in blocks:
+        weight = max(b.rows / BATCH_ROWS, b.bytes / BATCH_BYTES)
+        per_block.append((b.old, b.size_class, _cells(b), before, weight / _cells(b)))
+        before += weight
     # Rows that share a doc_id, or have none, spread by their texts.
-    numbered = blocked.join(F.broadcast(spark.createDataFrame(per_block, cells)), BLOCK).withColumn(
+    numbered = blocked.join(F.broadcast(spark.createDataFrame(per_block, schema)), BLOCK).withColumn(
         "_cell", F.pmod(F.xxhash64("doc_id", _text()), "_cells").cast("int")
     )
     runs = _runs(numbered, plan)
     order = ["doc_id", "_size", F.crc32(_text())]
+    # Ranges of cells would be even by rows only. Batches keep neighbours together, for few files.
+    batch = F.floor(F.col("_before") + F.col("_cell") * F.col("_share"))
+    in_cell = Window.partitionBy("_batch", *CELL).orderBy(*order)
     ranked = (
-        numbered.repartitionByRange(*CELL)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*CELL).orderBy(*order)) - 1)
+        numbered.withColumn("_batch", batch)
+        .repartition("_batch")
+        .withColumn("_rank", F.row_number().over(in_cell) - 1)
     )
     inside = (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high"))
     return (
