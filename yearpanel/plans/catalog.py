@@ -258,12 +258,11 @@ def generation_lags(spark, sf):
 # Model
 
 
-def model_inputs(spark, sf):
+def model_inputs(spark, sf, copies=None):
     """Generation reduced per supplier, technology and year before suppliers are joined."""
+    columns = ["country", "year", "technology", "value"]
     return (
-        panels.generation(
-            spark, sf, ["country", "year", "technology", "value"], reduce=model.supplier_points
-        ),
+        panels.generation(spark, sf, columns, reduce=model.supplier_points, copies=copies),
         panels.investment(spark, sf),
     )
 
@@ -387,6 +386,19 @@ QUERIES: dict[str, Query] = {
         3,
         "renewable_generated",
     ),
+    "generation_by_technology_year_bucketed": lambda spark, sf: rounded(
+        reports.generation_by_technology_year(
+            panels.generation(
+                spark,
+                sf,
+                ["technology", "year", "value"],
+                subtotal=SUM,
+                copies=panels.part_copies(spark, sf),
+            )
+        ),
+        3,
+        "renewable_generated",
+    ),
     "country_generation_investment": lambda spark, sf: rounded(
         reports.country_generation_investment(
             panels.generation(spark, sf, ["country", "value"], subtotal=SUM),
@@ -470,6 +482,12 @@ QUERIES: dict[str, Query] = {
     "ml_training_frame": lambda spark, sf: rounded(
         model.training_frame(*model_inputs(spark, sf)), 5, "amount", "value"
     ),
+    "ml_training_frame_bucketed": lambda spark, sf: rounded(
+        model.training_frame(*model_inputs(spark, sf, panels.part_copies(spark, sf))),
+        5,
+        "amount",
+        "value",
+    ),
     "ml_pair_moments": ml_pair_moments,
     "ml_within_rmse": lambda spark, sf: reports.investment_impact_rmse(
         *model_inputs(spark, sf), categories=["technology"], digits=6

@@ -514,3 +514,7 @@ FROM pairs GROUP BY ALL""",
     "ml_coefficients": COEFFICIENTS,
     "ml_predictions": PREDICTIONS,
 }
+
+# The same questions, answered from bucketed copies.
+for _name in ["generation_by_technology_year", "ml_training_frame"]:
+    ORACLES[f"{_name}_bucketed"] = ORACLES[_name]

@@ -18,10 +18,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearpanel.functions.units import normalised
+from yearpanel.sources.buckets import Copies, dealt, joined
 
 GENERATION = ["country", "year", "technology", "type", "region", "unit", "value"]
 SUPPLY_INVESTMENT = ["country", "year", "technology", "region", "amount"]
 
+# What panels read of line items and parts.
+LINE_ITEM_COLUMNS = [
+    "l_suppkey",
+    "l_partkey",
+    "l_shipdate",
+    "l_linestatus",
+    "l_returnflag",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+]
+PART_COLUMNS = ["p_partkey", "p_type"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -82,6 +96,13 @@ def investment(
     )
 
 
+def part_copies(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> Copies:
+    """Line items and parts in the same buckets of parts, for any number of panels."""
+    items = table(spark, sf_dir, "lineitem").select(LINE_ITEM_COLUMNS)
+    parts = table(spark, sf_dir, "part").select(PART_COLUMNS)
+    return dealt(items, "l_partkey", parts, "p_partkey", buckets)
+
+
 def _line_items(
     spark: SparkSession,
     sf_dir: str,
@@ -90,11 +111,13 @@ def _line_items(
     years: tuple[int, int] | None,
     subtotal: Callable[[Column], Column] | None,
     reduce: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    copies: Copies | None = None,
 ) -> DataFrame:
     """Line items with the requested dimensions and a measure named by the last column.
 
     Where both parts and suppliers are needed, ``reduce`` combines the rows of a supplier between
-    the two joins. Columns that it adds stay.
+    the two joins. Columns that it adds stay. With the ``copies`` of ``part_copies`` neither the
+    join with parts nor a subtotal per part shuffles line items, but those of hot parts.
     """
     wanted, value = set(columns), columns[-1]
     by_nation, by_part = bool(wanted & {"country", "region"}), "technology" in wanted
@@ -103,21 +126,29 @@ def _line_items(
         *(["l_partkey"] if by_part else []),
         *[name for name in ("year", "type", "unit") if name in wanted],
     ]
-    items = _in_years(table(spark, sf_dir, "lineitem"), "l_shipdate", years).withColumns(
-        {
-            "year": F.year("l_shipdate"),
-            "type": F.col("l_linestatus"),
-            "unit": _unit(F.col("l_returnflag")),
-            value: measure,
-        }
-    )
-    items = items.select(*keys, value)
-    if subtotal is not None and by_nation != by_part:
-        items = items.groupBy(*keys).agg(subtotal(F.col(value)).alias(value))
+
+    def narrowed(rows: DataFrame) -> DataFrame:
+        items = _in_years(rows, "l_shipdate", years).withColumns(
+            {
+                "year": F.year("l_shipdate"),
+                "type": F.col("l_linestatus"),
+                "unit": _unit(F.col("l_returnflag")),
+                value: measure,
+            }
+        )
+        items = items.select(*keys, value)
+        if subtotal is not None and by_nation != by_part:
+            items = items.groupBy(*keys).agg(subtotal(F.col(value)).alias(value))
+        return items
+
     added = []
-    if by_part:
-        part = table(spark, sf_dir, "part")
-        items = items.join(part, items.l_partkey == part.p_partkey)
+    if by_part and copies is not None:
+        items = joined(copies, narrowed)
+    else:
+        items = narrowed(table(spark, sf_dir, "lineitem"))
+        if by_part:
+            part = table(spark, sf_dir, "part")
+            items = items.join(part, items.l_partkey == part.p_partkey)
     if reduce is not None and by_nation and by_part:
         kept = [*[key for key in keys if key != "l_partkey"], "p_type"]
         items = reduce(items.select(*kept, value), kept)
@@ -145,10 +176,11 @@ def generation(
     years: tuple[int, int] | None = None,
     subtotal: Callable[[Column], Column] | None = None,
     reduce: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    copies: Copies | None = None,
 ) -> DataFrame:
     """The requested generation columns, ``value`` last and in the GWh scale."""
     measure = normalised(_unit(F.col("l_returnflag")), F.col("l_quantity"))
-    return _line_items(spark, sf_dir, columns, measure, years, subtotal, reduce)
+    return _line_items(spark, sf_dir, columns, measure, years, subtotal, reduce, copies)
 
 
 def supply_investment(
