@@ -173,3 +173,28 @@ def test_a_table_of_countries_is_looked_up_when_an_action_runs(spark, tmp_path):
     assert clean.in_countries(panel, wanted.limit(0)).count() == 0
     main = found._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
     assert "Exchange" not in main and "Join" not in main
+
+
+def test_each_text_is_parsed_once(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [("2003", "x", "a", "b", "c", "MW", "1.5"), ("1900", "y", "a", "b", "c", "MW", "n/a")],
+        [f" {name} " for name in clean.GENERATION_COLUMNS],
+    )
+    path = str(tmp_path / "raw")
+    raw.write.parquet(path)
+    cleaned = clean.clean_generation(spark.read.parquet(path), (2000, 2005))
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("as double") == 2  # the year and the figure
+    assert "Exchange" not in plan and "*(1) Generate" in plan
+    assert [tuple(row)[:2] for row in cleaned.collect()] == [("x", 2003)]
+
+
+def test_a_column_named_like_the_typed_year(spark):
+    raw = spark.createDataFrame(
+        [("2003", "x", "a", "r", "5", "mine")],
+        ["Year", "Country/Area", "Technology", "Region", clean.AMOUNT_COLUMN, "TYPED_year"],
+    )
+    kept = clean.clean_investment(raw, (2000, 2005), keep_raw=True)
+    assert kept.columns == [*raw.columns, "Country", "TotalFinanceFlow"]
+    assert kept.first()["TYPED_year"] == "mine"
+    assert clean.clean_investment(raw, (2000, 2005)).first()["year"] == 2003

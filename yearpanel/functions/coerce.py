@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +57,45 @@ def to_year(df: DataFrame, name: str) -> Column:
     return to_double(name).try_cast("int")
 
 
+def typed_once(df: DataFrame, typed: Mapping[str, Column]) -> DataFrame:
+    """The frame with further columns, each computed once however often it is used.
+
+    A column of ``select`` is computed again by every filter on it, as the optimizer moves filters
+    below the projection. A generator of one row per row stays where it is and inside generated
+    code. For costly expressions, as parsing a text.
+    """
+    row = F.struct(*[value.alias(name) for name, value in typed.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores appended while the frame has such a column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_year(df: DataFrame, name: str, years: tuple[int, int]) -> tuple[DataFrame, Column]:
+    """Rows of a range of years, ends included, and the column that holds their year as an integer.
+
+    Text is parsed once. On whole numbers the range reaches the scan.
+    """
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return df.filter(in_years(df, name, years)), to_year(df, name)
+    year = free_name(df, "typed_year")
+    typed = typed_once(df, {year: to_year(df, name)})
+    return typed.filter(named(year).between(*years)), named(year)
+
+
+def with_double(df: DataFrame, name: str) -> tuple[DataFrame, Column]:
+    """The frame and a column that holds the double value of ``name``; text is parsed once."""
+    if not is_text(df, name):
+        return df, to_double(name)
+    double = free_name(df, "typed_double")
+    return typed_once(df, {double: to_double(name)}), named(double)
+
+
 def in_years(df: DataFrame, name: str, years: tuple[int, int]) -> Column:
     """True for years of a range, ends included. On whole numbers the range reaches the scan."""
     if isinstance(df.schema[name].dataType, T.IntegralType):

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yearpanel.functions.coerce import in_years, named, to_double, to_year
+from yearpanel.functions.coerce import named, to_double, with_double, with_year
 from yearpanel.functions.names import (
     EMISSIONS_ALIASES,
     GENERATION_ALIASES,
@@ -55,16 +55,13 @@ def clean_emissions(
 
     A row with a missing cell among the four goes; a figure that is no number stays as null.
     """
-    return (
-        raw.filter(in_years(raw, "Year", years))
-        .select(*[named(name) for name in EMISSIONS_COLUMNS])
-        .na.drop()
-        .select(
-            canonical(F.col("Country"), aliases).alias("country"),
-            to_year(raw, "Year").alias("year"),
-            to_double("Total").alias("total"),
-            to_double("Per Capita").alias("per_capita"),
-        )
+    complete = raw.select(*[named(name) for name in EMISSIONS_COLUMNS]).na.drop()
+    kept, year = with_year(complete, "Year", years)
+    return kept.select(
+        canonical(F.col("Country"), aliases).alias("country"),
+        year.alias("year"),
+        to_double("Total").alias("total"),
+        to_double("Per Capita").alias("per_capita"),
     )
 
 
@@ -78,22 +75,19 @@ def clean_generation(
 
     A row with a missing cell goes, and so does one whose figure is no number.
     """
-    trimmed = trimmed_headers(raw)
-    texts = [name for name in GENERATION_COLUMNS if name != "Values"]
-    return (
-        trimmed.filter(in_years(trimmed, "Years", years))
-        .na.drop(subset=texts)
-        .select(
-            canonical(named("IRENA Menu Label"), aliases).alias("country"),
-            to_year(trimmed, "Years").alias("year"),
-            named("Technology").alias("technology"),
-            named("Type").alias("type"),
-            named("UN Region English").alias("region"),
-            named("Unit").alias("unit"),
-            normalised(named("Unit"), to_double("Values"), divisors).alias("value"),
-        )
-        .na.drop(subset=["value"])
+    needed = trimmed_headers(raw).select(*[named(name) for name in GENERATION_COLUMNS])
+    kept, year = with_year(needed.na.drop(), "Years", years)
+    kept, figure = with_double(kept, "Values")
+    panel = kept.select(
+        canonical(named("IRENA Menu Label"), aliases).alias("country"),
+        year.alias("year"),
+        named("Technology").alias("technology"),
+        named("Type").alias("type"),
+        named("UN Region English").alias("region"),
+        named("Unit").alias("unit"),
+        normalised(named("Unit"), figure, divisors).alias("value"),
     )
+    return panel.na.drop(subset=["value"])
 
 
 def clean_investment(
@@ -110,18 +104,20 @@ def clean_investment(
     ``countries`` narrows to a list of common names, or to those in the first column of a frame
     (see ``in_countries``). ``keep_raw`` keeps all raw columns and appends the typed ones.
     """
-    kept = raw.na.drop().filter(in_years(raw, "Year", years))
+    complete = raw.na.drop()
     if technology is not None:
-        kept = kept.filter(named("Technology") == technology)
+        complete = complete.filter(named("Technology") == technology)
+    kept, year = with_year(complete, "Year", years)
     country = canonical(named("Country/Area"), aliases)
     if keep_raw:
+        kept = kept.select(*[named(name) for name in raw.columns])
         panel = kept.withColumns({"Country": country, "TotalFinanceFlow": to_double(AMOUNT_COLUMN)})
         key = "Country"
     else:
         key = "country"
         panel = kept.select(
             country.alias("country"),
-            to_year(raw, "Year").alias("year"),
+            year.alias("year"),
             named("Technology").alias("technology"),
             named("Region").alias("region"),
             to_double(AMOUNT_COLUMN).alias("amount"),
