@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from yearpanel.llm import suffix_dedup
+from yearpanel.sources.scratch import materialise
 
 from .conftest import DOCUMENTS, prose
 from .test_near import same, without_bytes
@@ -91,3 +92,35 @@ def test_every_window_has_its_smallest_gram():
         assert len(text) >= 50 or r not in marks
     assert all(len(v) == 1 for k, v in marks.items() if isinstance(k, bytes))
     assert suffix_dedup.anchors([b""], 50, 16)[0].size == 0
+
+
+@pytest.mark.parametrize("width", [50, 64, 90])
+def test_strings_of_any_width(spark, width, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANGE_ROWS", 700)
+    docs = frame(spark, shared_texts(5, 24))
+    found = suffix_dedup.digests(suffix_dedup.deduplicated(docs, width))
+    same(found, without_bytes(docs, width))
+
+
+def test_strings_that_differ_in_their_last_bytes_only(spark):
+    rng = random.Random(6)
+    stem = "".join(rng.choice("abcdefgh") for _ in range(48))
+    texts = ["." * k + stem + end + "!" * 60 for k, end in enumerate(["xy", "xz", "xy", "wy", "xy", "wy"])]
+    docs = frame(spark, texts)
+    same(suffix_dedup.digests(suffix_dedup.deduplicated(docs)), without_bytes(docs))
+
+
+def test_few_rows_are_sorted(spark, monkeypatch):
+    """Fewer rows are sorted than the texts have bytes, and none for names of names."""
+    written = []
+
+    def counted(df, label):
+        held = materialise(df, label)
+        written.append((label, held.count()))
+        return held
+
+    monkeypatch.setattr(suffix_dedup, "materialise", counted)
+    texts = shared_texts(7, 200)
+    suffix_dedup.deduplicated(frame(spark, texts)).agg(F.count("*")).collect()
+    assert sum(rows for label, rows in written if label == "ordered") < sum(map(len, texts))
+    assert not {"level", "keys"} & {label for label, _ in written}

@@ -5,7 +5,10 @@ positions 1 and 2 modulo 3 are named by sorting their first three symbols, the n
 of two thirds of the length whose suffixes are ordered by the same method, and the suffixes at
 positions 0 modulo 3 are then merged in: two suffixes always have a small shift after which both
 are in the cover. Strings are told apart by their first ``width`` bytes only, so that the recursion
-ends as soon as two names cover that many. In the final order suffixes with equal prefixes are
+ends as soon as two names cover that many. Up to a width of ``DIRECT`` there is none: the cover is
+named by sorting its own strings of two bytes less, and these names with the two last bytes order,
+and tell apart, all strings exactly. Only suffixes that start a whole string are rows, and only
+the cover that these look at is named. In the final order suffixes with equal prefixes are
 neighbours; comparing neighbours gives the runs, and every suffix of a run that starts in a larger
 document than the smallest of the run starts a string to remove.
 
@@ -14,11 +17,13 @@ of the ranges, one number for each task, turn places within a range into global
 
 Three reductions that lose nothing come first. Equal texts are one string. Of every window of
 ``width`` bytes the gram with the smallest hash is an anchor, which equal windows share: only the
-stretches around anchors that two strings have take part, first by anchors of 16 bytes, and of
+stretches around anchors that two documents have take part, first by anchors of 16 bytes, and of
 what these leave by anchors of 32. And stretches are cut into pieces where their content says so,
 each with the bytes that strings starting in it need. Equal pieces are one piece of the smallest
 document that has it: in every larger one all of it goes. So a passage that a third of all
-documents hold is sorted once.
+documents hold is sorted once. Of different pieces the stretches around anchors of 44 bytes stay;
+they are cut once more, into smaller pieces, so that copies which differ here and there are sorted
+again near the differences only.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -37,12 +44,15 @@ from yearpanel.llm.common import small
 from yearpanel.sources.scratch import discard, materialise
 
 WIDTH = 50
-#: Bytes of an anchor, at first and in what is left by these.
-GRAMS = (16, 32)
+#: Bytes of an anchor, at first, in what is left by these, and in different pieces of that.
+GRAMS = (16, 32, 44)
 #: Bytes that anchors are looked for in at once, and anchors up to which their table is broadcast.
 CHUNK, BROADCAST_ANCHORS = 2 << 20, 4_000_000
-#: A string is cut at the smallest gram among this many before and behind it.
-CUT_REACH = 24
+#: A string is cut at the smallest gram among this many before and behind it, and different pieces
+#: are cut again with the second number.
+CUT_REACH, FINE_REACH = 64, 12
+#: Bytes up to which strings of the cover are sorted as they are.
+DIRECT = 64
 #: Suffixes of a range that one task sorts, on average.
 RANGE_ROWS = 250_000
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -136,6 +146,14 @@ def anchors(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, np.n
     return row[at], at - (end - size)[row[at]], code[at]
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``materialise``, without the shuffle files of the job. Spark deletes them as soon as the
+    driver's garbage collector meets what refers to them, which may be long after."""
+    held = materialise(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return held
+
+
 def strings(docs: DataFrame) -> DataFrame:
     """source, sid, doc_id, start (0), text (bytes), digest: texts of the smallest doc_id that has
     them. Rows that repeat whole are several strings."""
@@ -149,13 +167,15 @@ def strings(docs: DataFrame) -> DataFrame:
         .filter("first < last")
         .select("digest", "first")
     )
-    found = own.join(small(materialise(copies, "copied-texts")), "digest", "left").filter(
+    found = own.join(small(_written(copies, "copied-texts")), "digest", "left").filter(
         F.col("first").isNull() | (F.col("first") == F.col("doc_id"))
     )
     sid = F.monotonically_increasing_id()
     found = found.select("doc_id", "text", "digest", sid.alias("sid"))
-    written = materialise(found, "strings")
-    return written.withColumns({"source": F.col("sid"), "start": F.lit(0).cast("long")})
+    written = _written(found, "strings")
+    placed = written.withColumns({"source": F.col("sid"), "start": F.lit(0).cast("long")})
+    placed.scratch = written.scratch
+    return placed
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,41 +190,34 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 STRETCH = "source long, doc_id long, start long, text binary"
 
 
-def stretches(found: DataFrame, width: int, gram: int, placed: bool = False) -> DataFrame:
+def stretches(found: DataFrame, width: int, gram: int) -> DataFrame:
     """sid, source, doc_id, start, text: the parts of strings (of the same columns) around anchors
-    that strings of another source have too, each a new string. ``placed`` strings may overlap:
-    ``origin`` and ``place`` tell where they are, and a gram in another place counts as well.
-    """
+    that another document has too, each a new string."""
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _chunks(batches):
             row, at, code = anchors(part["text"].tolist(), width, gram)
-            sid, origin, place = (part[c].to_numpy()[row] for c in ("sid", "origin", "place"))
-            place = place + at if placed else place
-            yield pd.DataFrame(
-                {"sid": sid, "at": at, "anchor": code.view(np.int64), "origin": origin, "place": place}
-            )
+            sid, doc_id = (part[c].to_numpy()[row] for c in ("sid", "doc_id"))
+            yield pd.DataFrame({"sid": sid, "at": at, "anchor": code.view(np.int64), "doc_id": doc_id})
 
-    origin = ("origin", "place") if placed else ("source as origin", "0L as place")
-    marks = materialise(
-        found.selectExpr("sid", "text", *origin).mapInPandas(
-            mark, "sid long, at int, anchor long, origin long, place long"
-        ),
+    marks = _written(
+        found.select("sid", "text", "doc_id").mapInPandas(mark, "sid long, at int, anchor long, doc_id long"),
         "anchors",
     )
-    ends = [f(name).alias(f.__name__ + name) for name in ("origin", "place") for f in (F.min, F.max)]
     shared = (
         marks.groupBy("anchor")
-        .agg(*ends)
-        .filter("minorigin < maxorigin or minplace < maxplace")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .filter("first < last")
         .select("anchor")
     )
-    shared = materialise(shared, "shared-anchors")
+    shared = _written(shared, "shared-anchors")
     repeated = (
         marks.join(small(shared, BROADCAST_ANCHORS), "anchor", "left_semi")
         .groupBy("sid")
         .agg(F.sort_array(F.collect_set("at")).alias("places"))
     )
+    repeated = _written(repeated, "repeated-anchors")
+    discard(marks, shared)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,14 +237,15 @@ def stretches(found: DataFrame, width: int, gram: int, placed: bool = False) ->
         .mapInPandas(cut, STRETCH)
     )
     # An order of 2 ** 33 tasks and rows leaves room for the doubling of ids in the recursion.
-    written = materialise(parts.withColumn("sid", F.monotonically_increasing_id()), "stretches")
-    discard(marks, shared)
+    written = _written(parts.withColumn("sid", F.monotonically_increasing_id()), "stretches")
+    discard(repeated)
     return written
 
 
 def cuts(data: np.ndarray, reach: int = CUT_REACH) -> np.ndarray:
-    """Where the pieces of a string start: at 0, and where a gram is smaller than all of ``reach``
-    before it and as small as all behind it. In a text that repeats with a period few are."""
+    """Where the pieces of a string start: at 0, and from ``reach`` on where a gram is smaller than
+    all of ``reach`` before it and as small as all behind it. In a text that repeats with a period
+    few are."""
     if len(data) <= 2 * reach:
         return np.zeros(1, dtype=np.int64)
     code = _mixed(_rolling(data, GRAMS[0], FACTORS[0]))
@@ -239,10 +253,11 @@ def cuts(data: np.ndarray, reach: int = CUT_REACH) -> np.ndarray:
     padded = np.concatenate([high, code, high])
     least = padded[_least_at(padded, reach)]
     before, behind = least[: len(code)], least[reach + 1 :][: len(code)]
-    return np.union1d([0], np.flatnonzero((code < before) & (code <= behind)))
+    at = np.flatnonzero((code < before) & (code <= behind))
+    return np.r_[0, at[at > reach]]
 
 
-def places(found: DataFrame, width: int) -> DataFrame:
+def places(found: DataFrame, width: int, reach: int = CUT_REACH) -> DataFrame:
     """sid, source, doc_id, start, at, core, high, low: where the pieces of stretches are (``start``
     in the source, ``at`` in the stretch), and their digests.
 
@@ -255,7 +270,7 @@ def places(found: DataFrame, width: int) -> DataFrame:
             rows = []
             for sid, source, doc_id, start, text in batch.itertuples(index=False):
                 last = len(text) - width + 1  # starts of whole strings
-                at = [int(x) for x in cuts(np.frombuffer(text, dtype=np.uint8)) if x < last] + [last]
+                at = [int(x) for x in cuts(np.frombuffer(text, dtype=np.uint8), reach) if x < last] + [last]
                 for a, b in zip(at, at[1:]):
                     value = xxhash.xxh3_128_intdigest(text[a : b + width - 1])
                     halves = (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
@@ -263,7 +278,7 @@ def places(found: DataFrame, width: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=PLACE.replace(" long", "").replace(" int", "").split(", "))
 
     own = found.select("sid", "source", "doc_id", "start", "text")
-    return materialise(own.mapInPandas(run, PLACE), "piece-places")
+    return _written(own.mapInPandas(run, PLACE), "piece-places")
 
 
 PLACE = "sid long, source long, doc_id long, start long, at int, core int, high long, low long"
@@ -274,23 +289,21 @@ def pieces(where: DataFrame) -> DataFrame:
     place."""
     place = F.struct("doc_id", "sid", "at", "source", "start", "core")
     grouped = where.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    return materialise(grouped.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    return _written(grouped.withColumn("piece", F.monotonically_increasing_id()), "pieces")
 
 
 def piece_texts(found: DataFrame, own: DataFrame, width: int) -> DataFrame:
-    """sid and source (the piece), doc_id, start (0), text, and origin and place in a text."""
+    """sid and source (the piece), doc_id, start (0), text."""
     first = own.select("piece", "first.*")
     held = found.select("sid", "text").join(first, "sid")
     text = F.substring(F.col("text"), F.col("at") + 1, F.col("core") + (width - 1))
-    return materialise(
+    return _written(
         held.select(
             F.col("piece").alias("sid"),
             F.col("piece").alias("source"),
             "doc_id",
             F.lit(0).cast("long").alias("start"),
             text.alias("text"),
-            F.col("source").alias("origin"),
-            F.col("start").alias("place"),
         ),
         "piece-texts",
     )
@@ -300,7 +313,7 @@ def _placed(sorted_rows: DataFrame, columns: str) -> tuple[DataFrame, DataFrame]
     """Rows with ``part`` and ``k``, their range and the place in it, given a place beyond all
     ranges before, from 1; and the table that they are read from. One number for each range is
     gathered."""
-    rows = materialise(sorted_rows, "ordered")
+    rows = _written(sorted_rows, "ordered")
     sizes = rows.groupBy("part").agg((F.max("k") + 1).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
@@ -315,7 +328,9 @@ def _part() -> int:
 def _regrouped(ranks: DataFrame) -> DataFrame:
     """sid and symbols: the ranks of a string by position."""
     pairs = F.array_sort(F.collect_list(F.struct("at", "rank")))
-    return ranks.groupBy("sid").agg(F.transform(pairs, lambda p: p["rank"]).alias("symbols"))
+    # Almost no sid comes twice in a range, so that plain rows are shuffled.
+    grouped = ranks.repartition("sid").groupBy("sid")
+    return grouped.agg(F.transform(pairs, lambda p: p["rank"]).alias("symbols"))
 
 
 def _shifted(symbols: np.ndarray, by: int) -> np.ndarray:
@@ -346,7 +361,7 @@ def _named(level: DataFrame, sampled: bool) -> tuple[DataFrame, list[DataFrame]]
             yield batch.assign(part=_part(), k=np.arange(at, at + len(batch)))
             at += len(batch)
 
-    rows = materialise(level.mapInPandas(lambda b: _frames(keys(b)), "a long, b long, c long, sid long, at int"), "keys")
+    rows = _written(level.mapInPandas(lambda b: _frames(keys(b)), "a long, b long, c long, sid long, at int"), "keys")
     key = ["a", "b", "c"]
     ordered = rows.select(*key).distinct().repartitionByRange(*key).sortWithinPartitions(*key)
     names, table = _placed(ordered.mapInPandas(number, "a long, b long, c long, part int, k long"), "a b c")
@@ -387,7 +402,9 @@ def _prefixes(s: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _merge_rows(level: DataFrame, cover: DataFrame, bits: int, extra: str = "") -> DataFrame:
+def _merge_rows(
+    level: DataFrame, cover: DataFrame, bits: int, extra: str = "", width: int = WIDTH
+) -> DataFrame:
     """A row for every suffix, with what merging compares: a prefix (p, q), which ranges are cut by
     and which the first symbols are read from, and the ranks of the two next sampled suffixes."""
     side = cover.select(
@@ -422,7 +439,7 @@ def _merge_rows(level: DataFrame, cover: DataFrame, bits: int, extra: str = "")
                     "at": np.arange(n, dtype=np.int32),
                 }
                 if top:
-                    window = [_rolling(data, WIDTH, f).view(np.int64) for f in FACTORS]
+                    window = [_rolling(data, width, f).view(np.int64) for f in FACTORS]
                     for name, codes in zip(("h", "i"), window):
                         out[name] = np.r_[codes, np.zeros(n - len(codes), dtype=np.int64)]
                     out["whole"] = np.arange(n) < len(window[0])
@@ -464,16 +481,19 @@ def unpacked(rows: pd.DataFrame, bits: int) -> pd.DataFrame:
 
 
 def merged(rows: pd.DataFrame) -> np.ndarray:
-    """The place of every suffix of a range, from three sorted kinds."""
+    """The place of every suffix of a range, from three sorted kinds. Where ranks end before the
+    strings do, ``e1`` and ``e2`` are the last byte and the two last ones."""
+    if "e1" not in rows:
+        rows = rows.assign(e1=0, e2=0)
     kinds = [rows[rows["kind"] == k] for k in range(3)]
-    col = [{c: part[c].to_numpy() for c in ("s", "t", "r0", "r1", "r2")} for part in kinds]
-    orders = [np.lexsort((col[0]["r1"], col[0]["s"])), np.argsort(col[1]["r0"]), np.argsort(col[2]["r0"])]
+    col = [{c: part[c].to_numpy() for c in ("s", "t", "r0", "r1", "r2", "e1", "e2")} for part in kinds]
+    orders = [np.lexsort([own[c] for c in names]) for own, names in zip(col, (("e1", "r1", "s"), *[("e2", "r0")] * 2))]
     places = []
     for order in orders:
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
         places.append(place)
-    for a, b, names in ((0, 1, ("s", "r1")), (0, 2, ("s", "t", "r2")), (1, 2, ("r0",))):
+    for a, b, names in ((0, 1, ("s", "r1", "e1")), (0, 2, ("s", "t", "r2")), (1, 2, ("r0", "e2"))):
         x, y = _earlier([col[a][c] for c in names], [col[b][c] for c in names])
         places[a] += x
         places[b] += y
@@ -510,7 +530,7 @@ def suffix_ranks(
 
     ``read`` are the tables that ``level`` is read from; they go as soon as it is written.
     """
-    level = materialise(level, "level")
+    level = _written(level, "level")
     discard(*read)
     if width <= 2:
         named, tables = _named(level, sampled=False)
@@ -522,9 +542,141 @@ def suffix_ranks(
     return _regrouped(ordered), [table]
 
 
-def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """piece, at: where a string of ``width`` bytes starts that a piece of a smaller document also
-    has."""
+def _joined_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows whose texts have about CHUNK bytes together, the bytes, and the sizes of the texts."""
+    for batch in batches:
+        size = np.asarray(pa.compute.binary_length(batch["text"]), dtype=np.int64)
+        ends = np.flatnonzero(np.diff(np.cumsum(size) // CHUNK, append=-1)) + 1
+        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            part = batch.slice(a, b - a)
+            data = np.frombuffer(b"".join(part["text"].to_pylist()), dtype=np.uint8)
+            yield part, data, size[a:b]
+
+
+def _spread(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the row and place in it of as many places as each row has."""
+    row = np.repeat(np.arange(len(count)), count)
+    return row, np.arange(len(row)) - (np.cumsum(count) - count)[row]
+
+
+def _cover(parts: DataFrame, width: int) -> DataFrame:
+    """sid, doc_id, text, symbols: the names of the strings of ``width`` - 2 bytes that start at
+    places 1 and 2 modulo 3, as far as whole strings look at them. Equal ones have equal names."""
+    wide = width - 2
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, size in _joined_texts(batches):
+            row, at = _spread(np.maximum(size - wide + 1, 0))
+            row, at = row[at % 3 > 0], at[at % 3 > 0]
+            if len(at):
+                held = np.lib.stride_tricks.sliding_window_view(data, wide)
+                begin, sid = np.cumsum(size) - size, part["sid"].to_numpy()
+                for k in range(0, len(at), 100_000):
+                    r, a = row[k : k + 100_000], at[k : k + 100_000]
+                    ends = pa.py_buffer(np.arange(0, wide * len(a) + 1, wide, dtype=np.int32))
+                    texts = pa.py_buffer(held[begin[r] + a].tobytes())
+                    key = pa.Array.from_buffers(pa.binary(), len(a), [None, ends, texts])
+                    yield pa.RecordBatch.from_arrays(
+                        [key, pa.array(sid[r]), pa.array(a.astype(np.int32))], ["key", "sid", "at"]
+                    )
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, name, last = 0, 0, b""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.frombuffer(b"".join(batch["key"].to_pylist()), dtype=np.dtype((np.void, wide)))
+            new = np.r_[key[0].tobytes() != last, key[1:] != key[:-1]]
+            k = np.maximum.accumulate(np.where(new, np.arange(n, n + len(key)), name))
+            n, name, last = n + len(key), int(k[-1]), key[-1].tobytes()
+            part = pa.array(np.full(len(key), _part(), dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch["sid"], batch["at"], part, pa.array(k)], ["sid", "at", "part", "k"]
+            )
+
+    found = parts.select("sid", "text").mapInArrow(keys, "key binary, sid long, at int")
+    ranged = found.repartitionByRange(_ranges(parts, width), "key").sortWithinPartitions("key")
+    names, table = _placed(ranged.mapInArrow(number, "sid long, at int, part int, k long"), "sid at")
+    covered = parts.select("sid", "doc_id", "text").join(_regrouped(names), "sid")
+    written = _written(covered, "covered")
+    discard(table)
+    return written
+
+
+def _ranges(parts: DataFrame, width: int) -> int:
+    """Ranges that whole strings are sorted in."""
+    total = parts.agg(F.sum(F.octet_length("text") - (width - 1))).first()[0] or 0
+    return 1 + total // RANGE_ROWS
+
+
+def _first_bytes(held: np.ndarray, kind: str) -> np.ndarray:
+    """Big-endian numbers of the first bytes of every string; they sort as the strings do."""
+    low = np.iinfo(kind).min
+    return np.ascontiguousarray(held[:, : np.dtype(kind).itemsize]).view(f">{kind}")[:, 0].astype(kind) ^ low
+
+
+def _late_rows(parts: DataFrame, width: int) -> DataFrame:
+    """sid, at: the late starts among strings of up to DIRECT bytes."""
+    covered = _cover(parts, width)
+
+    def strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, size in _joined_texts(batches):
+            count = size - width + 3  # places that have a name or stand between such
+            row, at = _spread(count)
+            rank = np.zeros(len(at), dtype=np.int64)
+            rank[at % 3 > 0] = part["symbols"].flatten().to_numpy()
+            whole = np.flatnonzero(at < count[row] - 2)
+            held = np.lib.stride_tricks.sliding_window_view(data, width)
+            begin, sid, doc_id = np.cumsum(size) - size, part["sid"].to_numpy(), part["doc_id"].to_numpy()
+            for i in (whole[k : k + 100_000] for k in range(0, len(whole), 100_000)):
+                own, kind = held[begin[row[i]] + at[i]], at[i] % 3
+                out = {
+                    "p": _first_bytes(own, "i8"),
+                    "q": _first_bytes(own[:, 8:], "i4"),
+                    "u": np.where(kind == 0, rank[i + 1], rank[i]),
+                    "v": np.where(kind == 1, rank[i + 1], rank[i + 2]),
+                    "sid": sid[row[i]],
+                    "at": at[i].astype(np.int32),
+                    "e": own[:, -2].astype(np.int32) << 8 | own[:, -1],
+                    "doc_id": doc_id[row[i]],
+                }
+                yield pa.RecordBatch.from_pydict(out)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = _all_rows(batches)
+        if rows is None:
+            return
+        kind, u, v = rows["at"].to_numpy() % 3, rows["u"].to_numpy(), rows["v"].to_numpy()
+        first = rows["p"].to_numpy() ^ np.iinfo("i8").min
+        ranks = {
+            "r0": np.where(kind == 0, 0, u),
+            "r1": np.select([kind == 0, kind == 1], [u, v], 0),
+            "r2": np.where(kind == 1, 0, v),
+        }
+        ends = {"s": first >> 56 & 255, "t": first >> 48 & 255, "e1": rows["e"] & 255, "e2": rows["e"]}
+        order = np.argsort(merged(pd.DataFrame({"kind": kind} | ranks | ends)))
+        kind, p, e, doc = (x[order] for x in (kind, first, rows["e"].to_numpy(), rows["doc_id"].to_numpy()))
+        r0, r1, r2 = (ranks[c][order] for c in ("r0", "r1", "r2"))
+        # Names after the shift that puts both into the cover; first and last bytes do the rest.
+        a, b = kind[1:], kind[:-1]
+        zero = (a == 0) | (b == 0)
+        shift = np.where(~zero, 0, np.where((a == 2) | (b == 2), 2, 1))
+        equal = (p[1:] == p[:-1]) & (e[1:] == e[:-1])
+        equal &= np.choose(shift, [r[1:] == r[:-1] for r in (r0, r1, r2)])
+        starts = np.r_[0, np.flatnonzero(~equal) + 1]
+        least = np.minimum.reduceat(doc, starts)
+        late = doc > np.repeat(least, np.diff(np.r_[starts, len(doc)]))
+        yield rows.iloc[order[late]][["sid", "at"]]
+
+    columns = "p long, q int, u long, v long, sid long, at int, e int, doc_id long"
+    rows = covered.mapInArrow(strings_of, columns).repartitionByRange(_ranges(parts, width), "p", "q")
+    late = _written(rows.mapInPandas(run, "sid long, at int"), "late-rows")
+    discard(covered)
+    return late
+
+
+def _late_rows_by_names(parts: DataFrame, width: int) -> DataFrame:
+    """sid, at: the late starts among wider strings, by names of names."""
     cover, tables = suffix_ranks(_packed_triples(parts), -(-width // 3), TRIPLE)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -543,11 +695,22 @@ def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
         yield rows.loc[late, ["sid", "at"]]
 
     extra = ", h long, i long, whole boolean, doc_id long"
-    found = _merge_rows(parts, cover, BYTE, extra).mapInPandas(run, "sid long, at int")
-    own = parts.select("sid", F.col("source").alias("piece"), "start")
-    found = found.join(own, "sid").select("piece", (F.col("at") + F.col("start")).alias("at"))
-    written = materialise(found, "late-starts")
+    found = _merge_rows(parts, cover, BYTE, extra, width).mapInPandas(run, "sid long, at int")
+    late = _written(found, "late-rows")
     discard(*tables)
+    return late
+
+
+def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """piece, starts: where strings of ``width`` bytes start that a piece of a smaller document
+    also has."""
+    found = (_late_rows if width <= DIRECT else _late_rows_by_names)(parts, width)
+    own = parts.select("sid", F.col("source").alias("piece"), "start")
+    places = found.groupBy("sid").agg(F.collect_list("at").alias("places")).join(own, "sid")
+    starts = F.transform("places", lambda x: x + F.col("start"))
+    grouped = places.select("piece", starts.alias("starts")).groupBy("piece")
+    written = _written(grouped.agg(F.flatten(F.collect_list("starts")).alias("starts")), "late-starts")
+    discard(found)
     return written
 
 
@@ -555,38 +718,44 @@ SPANS = "array<struct<start:int,length:int>>"
 STARTS = "array<struct<start:long,length:int>>"
 
 
-def late_spans(found: DataFrame, width: int) -> DataFrame:
+def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """piece, late (start, length): neighbouring starts joined."""
+    for batch in batches:
+        spans = []
+        for starts in batch["starts"]:
+            at = np.unique(np.asarray(starts, dtype=np.int64))
+            new = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+            size = np.diff(np.r_[new, len(at)])
+            spans.append([{"start": int(a), "length": int(n)} for a, n in zip(at[new], size)])
+        yield pd.DataFrame({"piece": batch["piece"], "late": spans})
+
+
+def late_spans(
+    found: DataFrame,
+    width: int,
+    grams: Sequence[int] = GRAMS[:-1],
+    reaches: Sequence[int] = (CUT_REACH, FINE_REACH),
+) -> DataFrame:
     """source, starts (start, length): where strings start in a text that a smaller document also
     has.
 
-    In every text but that of its smallest document all strings of a piece do.
+    In every text but that of its smallest document all strings of a piece do. The table of
+    ``found`` is deleted once its stretches are written.
     """
-    rough = stretches(found, width, GRAMS[0])
-    fine = stretches(rough, width, GRAMS[1])
-    discard(rough)
-    where = places(fine, width)
+    for gram in grams:
+        held, found = found, stretches(found, width, gram)
+        discard(held)
+    where = places(found, width, reaches[0])
     own = pieces(where)
-    texts = piece_texts(fine, own, width)
-    discard(fine)
-    parts = stretches(texts, width, GRAMS[1], placed=True)
-    discard(texts)
-    late = repeats(parts, width)
-
-    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            spans = []
-            for starts in batch["starts"]:
-                at = np.unique(np.asarray(starts, dtype=np.int64))
-                new = np.flatnonzero(np.r_[True, np.diff(at) > 1])
-                size = np.diff(np.r_[new, len(at)])
-                spans.append([{"start": int(a), "length": int(n)} for a, n in zip(at[new], size)])
-            yield pd.DataFrame({"piece": batch["piece"], "late": spans})
-
-    late = (
-        late.groupBy("piece")
-        .agg(F.collect_set("at").alias("starts"))
-        .mapInPandas(joined, f"piece long, late {STARTS}")
-    )
+    texts = piece_texts(found, own, width)
+    discard(found)
+    if reaches[1:]:
+        late = late_spans(texts, width, GRAMS[-1:], reaches[1:]).selectExpr("source as piece", "starts as late")
+    else:
+        parts = stretches(texts, width, GRAMS[-1])
+        discard(texts)
+        late = repeats(parts, width).mapInPandas(_spans, f"piece long, late {STARTS}")
+        discard(parts)
     first = own.select("piece", "high", "low", "n", F.col("first.doc_id").alias("smallest"))
     wanted = first.join(late, "piece", "left").filter("n > 1 or late is not null")
     whole = F.array(F.struct(F.col("start"), F.col("core").alias("length")))
@@ -594,13 +763,16 @@ def late_spans(found: DataFrame, width: int) -> DataFrame:
         F.coalesce("late", F.array().cast(STARTS)),
         lambda x: F.struct((x["start"] + F.col("start")).alias("start"), x["length"].alias("length")),
     )
-    return (
+    late = (
         where.join(wanted, ["high", "low"])
         .select("source", F.when(F.col("doc_id") > F.col("smallest"), whole).otherwise(inside).alias("some"))
         .filter(F.size("some") > 0)
         .groupBy("source")
         .agg(F.flatten(F.collect_list("some")).alias("starts"))
     )
+    written = _written(late, "late-spans")
+    discard(where, own)
+    return written
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -612,9 +784,10 @@ def deduplicated(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     Other columns are dropped. An empty table gives no row.
     """
     found = strings(docs)
-    late = materialise(late_spans(found, width), "late-spans")
     # Rows that repeat whole are equal strings of one document; one of them stands for all.
     firsts = found.groupBy("digest").agg(F.min("source").alias("source"), F.min("doc_id").alias("first"))
+    firsts = _written(firsts, "sources")
+    late = late_spans(found, width)
     text: Column = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     own = docs.filter("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("digest")
