@@ -124,3 +124,44 @@ def test_few_rows_are_sorted(spark, monkeypatch):
     suffix_dedup.deduplicated(frame(spark, texts)).agg(F.count("*")).collect()
     assert sum(rows for label, rows in written if label == "ordered") < sum(map(len, texts))
     assert not {"level", "keys"} & {label for label, _ in written}
+
+
+def test_places_travel_packed(spark, monkeypatch):
+    """Tables of places have a row for a block of texts and a bucket or range, and no anchors are
+    broadcast."""
+    written = {}
+
+    def counted(df, label):
+        held = materialise(df, label)
+        written[label] = written.get(label, 0) + held.count()
+        return held
+
+    def narrow(df, rows=suffix_dedup.small.__defaults__[0]):
+        assert "anchor" not in df.columns
+        return df
+
+    monkeypatch.setattr(suffix_dedup, "materialise", counted)
+    monkeypatch.setattr(suffix_dedup, "small", narrow)
+    texts = shared_texts(8, 200)
+    docs = frame(spark, texts)
+    same(suffix_dedup.digests(suffix_dedup.deduplicated(docs)), without_bytes(docs))
+    places = ("anchors", "repeated-anchors", "ordered", "covered")
+    assert sum(written.get(label, 0) for label in places) < len(texts)
+
+
+def test_ranges_are_cut_between_sampled_keys(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANGE_ROWS", 500)
+    texts = [t.encode() for t in shared_texts(9, 40)]
+    rows = [(k, t, k) for k, t in enumerate(texts)]
+    parts = spark.createDataFrame(rows, "sid long, text binary, doc_id long")
+    total = sum(max(0, len(t) - 49) for t in texts)
+    borders = suffix_dedup._borders(parts, 50, total)
+    keys = np.array([t[k : k + 48] for t in texts for k in range(len(t) - 49)], dtype="S48")
+    sizes = np.bincount(np.searchsorted(borders, keys, "right"))
+    assert len(sizes) > total / 500 / 2 and sizes.max() < 4 * 500
+
+
+def test_shuffle_files_go_and_the_setting_is_restored(spark):
+    before = spark.conf.get(suffix_dedup.SHUFFLE_CLEANUP, None)
+    held = suffix_dedup._written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert held.count() == 7 and spark.conf.get(suffix_dedup.SHUFFLE_CLEANUP, None) == before

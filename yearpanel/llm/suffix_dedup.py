@@ -12,8 +12,11 @@ the cover that these look at is named. In the final order suffixes with equal pr
 neighbours; comparing neighbours gives the runs, and every suffix of a run that starts in a larger
 document than the smallest of the run starts a string to remove.
 
-Names and orders are made by Spark's range partitioning: every task sorts one range, and the sizes
-of the ranges, one number for each task, turn places within a range into global ones.
+The rows of a block of texts that go to one task, a range of the order or a bucket of hashes, travel
+as one row of packed numbers, and so do the answers: Spark shuffles them, and numpy sorts a range or
+bucket at once. Ranges are cut between keys of a sample, a few for each. Wider strings are ordered by
+Spark's range partitioning: every task sorts one range, and the sizes of the ranges, one number for
+each task, turn places within a range into global ones.
 
 Three reductions that lose nothing come first. Equal texts are one string. Of every window of
 ``width`` bytes the gram with the smallest hash is an anchor, which equal windows share: only the
@@ -46,8 +49,10 @@ from yearpanel.sources.scratch import discard, materialise
 WIDTH = 50
 #: Bytes of an anchor, at first, in what is left by these, and in different pieces of that.
 GRAMS = (16, 32, 44)
-#: Bytes that anchors are looked for in at once, and anchors up to which their table is broadcast.
-CHUNK, BROADCAST_ANCHORS = 2 << 20, 4_000_000
+#: Bytes of texts that a task works on at once, and of texts whose rows and answers travel together.
+BLOCK, CHUNK = 1 << 18, 1 << 20
+#: Anchors that one task compares, on average.
+BUCKET_ROWS = 1_000_000
 #: A string is cut at the smallest gram among this many before and behind it, and different pieces
 #: are cut again with the second number.
 CUT_REACH, FINE_REACH = 64, 12
@@ -55,6 +60,12 @@ CUT_REACH, FINE_REACH = 64, 12
 DIRECT = 64
 #: Suffixes of a range that one task sorts, on average.
 RANGE_ROWS = 250_000
+#: Lets Spark delete a job's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Bits of a place in a string.
+PLACE_BITS = 40
+#: Keys sampled for each range that is cut.
+SAMPLED = 30
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -109,47 +120,53 @@ def _frames(pieces: Iterator[dict], rows: int = 200_000) -> Iterator[pd.DataFram
         yield joined()
 
 
-def _least_at(code: np.ndarray, length: int) -> np.ndarray:
-    """Where the smallest value of every stretch of ``length`` is, the first one of equal ones."""
-    at, size = np.arange(len(code)), 1
-
-    def joined(by: int) -> None:
-        nonlocal code, at
-        later = code[by:] < code[:-by]
-        at = np.where(later, at[by:], at[:-by])
-        code = np.where(later, code[by:], code[:-by])
-
+def _extremes(code: np.ndarray, length: int, pick: np.ufunc) -> np.ndarray:
+    """The smallest or largest value of every stretch of ``length``."""
+    size = 1
     while 2 * size <= length:
-        joined(size)
+        code = pick(code[size:], code[:-size])
         size *= 2
-    if size < length:
-        joined(length - size)
-    return at
+    return pick(code[length - size :], code[: size - length]) if size < length else code
 
 
-def anchors(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Number of the text, place in it and hash of the smallest gram of every window of ``width``
-    bytes. A gram that several windows have is given once, unless others come between."""
-    size = np.array([len(t) for t in texts])
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    end = np.cumsum(size)
-    if len(data) < width:
+def _anchors(data: np.ndarray, size: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``anchors`` of texts of the given sizes, one behind the other."""
+    n = len(data) - width + 1
+    if n < 1:
         none = np.zeros(0, dtype=np.int64)
         return none, none, none.view(np.uint64)
-    row = np.repeat(np.arange(len(texts)), size)
+    end = np.cumsum(size)
+    row = np.repeat(np.arange(len(size), dtype=np.int32), size)
     code = _mixed(_rolling(data, gram, FACTORS[0]))
-    code[np.arange(gram, gram + len(code)) > end[row[: len(code)]]] = np.iinfo(np.uint64).max
-    at = _least_at(code, width - gram + 1)
-    inside = np.arange(width, width + len(at)) <= end[row[: len(at)]]
-    new = np.r_[True, (at[1:] != at[:-1]) | ~inside[:-1]]
-    at = at[inside & new]
-    return row[at], at - (end - size)[row[at]], code[at]
+    grade = (code >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    least = _extremes(grade, width - gram + 1, np.minimum)
+    least[np.arange(width, width + n) > end[row[:n]]] = 0  # windows that no text has
+    none = np.zeros(width - gram, dtype=np.uint32)
+    # A gram is the smallest of a window if it equals the largest of all windows' smallest ones.
+    at = np.flatnonzero(_extremes(np.concatenate([none, least, none]), width - gram + 1, np.maximum) == grade)
+    return row[at].astype(np.int64), at - (end - size)[row[at]], code[at]
+
+
+def anchors(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, place in it and hash of the smallest gram of every window of ``width``
+    bytes; of all that are smallest, if several are."""
+    size = np.array([len(t) for t in texts])
+    return _anchors(np.frombuffer(b"".join(texts), dtype=np.uint8), size, width, gram)
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
-    """``materialise``, without the shuffle files of the job. Spark deletes them as soon as the
+    """``materialise``, without the shuffle files of the job. Else Spark deletes them when the
     driver's garbage collector meets what refers to them, which may be long after."""
-    held = materialise(df, label)
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        held = materialise(df, label)
+    finally:
+        if before is None:
+            conf.unset(SHUFFLE_CLEANUP)
+        else:
+            conf.set(SHUFFLE_CLEANUP, before)
     df.sparkSession.sparkContext._jvm.System.gc()
     return held
 
@@ -178,13 +195,85 @@ def strings(docs: DataFrame) -> DataFrame:
     return placed
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows whose texts have about CHUNK bytes together."""
+def _joined_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows whose texts have about BLOCK bytes together, the bytes, and the sizes of the texts."""
     for batch in batches:
-        if len(batch):
-            number = np.cumsum(batch["text"].str.len().to_numpy()) // CHUNK
-            for _, part in batch.groupby(number, sort=False):
-                yield part
+        size = np.asarray(pa.compute.binary_length(batch["text"]), dtype=np.int64)
+        ends = np.flatnonzero(np.diff(np.cumsum(size) // BLOCK, append=-1)) + 1
+        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            part = batch.slice(a, b - a)
+            data = np.frombuffer(b"".join(part["text"].to_pylist()), dtype=np.uint8)
+            yield part, data, size[a:b]
+
+
+def _spread(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the row and place in it of as many places as each row has."""
+    row = np.repeat(np.arange(len(count)), count)
+    return row, np.arange(len(row)) - (np.cumsum(count) - count)[row]
+
+
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values of neighbouring rows of ``values``, which end at ``ends``."""
+    step = values.dtype.itemsize * int(np.prod(values.shape[1:]))
+    offsets = pa.py_buffer((np.r_[0, ends] * step).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.ChunkedArray, kind: str = "i8") -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+
+
+def _sent(bucket: np.ndarray, sid: np.ndarray, at: np.ndarray, bits: int, values: dict) -> pa.RecordBatch:
+    """bucket, chunk, place, and values: a row for all places of a chunk that go to one bucket.
+
+    A chunk is 2 ** bits neighbouring numbers of strings, and a place is that in the chunk and the
+    one in the string.
+    """
+    chunk = sid >> bits
+    order = np.lexsort([bucket, chunk])
+    chunk, bucket = chunk[order], bucket[order].astype(np.int64)
+    ends = np.flatnonzero((np.diff(chunk) != 0) | (np.diff(bucket) != 0)) + 1
+    ends = np.r_[ends, len(order)] if len(order) else ends
+    place = (sid & (1 << bits) - 1) << PLACE_BITS | at
+    packed = {name: _packed(value[order], ends) for name, value in ({"place": place} | values).items()}
+    return pa.RecordBatch.from_pydict({"bucket": bucket[ends - 1], "chunk": chunk[ends - 1]} | packed)
+
+
+def _answered(table: pa.Table, wanted: np.ndarray | None, values: dict) -> pa.Table:
+    """chunk and values, as far as wanted, of the rows of a bucket, given in their order."""
+    size = np.asarray(pa.compute.binary_length(table["place"]), dtype=np.int64) // 8
+    if wanted is not None:
+        size = np.bincount(np.repeat(np.arange(len(size)), size)[wanted], minlength=len(size))
+        values = {name: value[wanted] for name, value in values.items()}
+    packed = {name: _packed(value, np.cumsum(size)) for name, value in values.items()}
+    answers = pa.table({"chunk": table["chunk"].combine_chunks()} | packed)
+    return answers.filter(pa.array(size > 0))
+
+
+def _places(column: pa.ChunkedArray, bits: int, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of places, and the number of the row in ``table``, which is in the order of sid, and
+    the place in it of each."""
+    place = _unpacked(column)
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    number = table["sid"].to_numpy() & (1 << bits) - 1
+    return order, np.searchsorted(number, place >> PLACE_BITS), place & (1 << PLACE_BITS) - 1
+
+
+def _measured(found: DataFrame) -> tuple[int, int, int]:
+    """Bytes and rows of texts, and the bits of numbers in a chunk."""
+    total, rows = found.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    total = total or 0
+    return total, rows, max(0, min(CHUNK, CHUNK * rows // max(total, 1)).bit_length() - 1)
+
+
+def _chunk(bits: int) -> Column:
+    return F.shiftright("sid", bits).alias("chunk")
+
+
+def _groups_in_one(doc: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Whether each group, which starts at ``starts``, has one document only."""
+    return np.minimum.reduceat(doc, starts) == np.maximum.reduceat(doc, starts)
 
 
 STRETCH = "source long, doc_id long, start long, text binary"
@@ -192,69 +281,103 @@ STRETCH = "source long, doc_id long, start long, text binary"
 
 def stretches(found: DataFrame, width: int, gram: int) -> DataFrame:
     """sid, source, doc_id, start, text: the parts of strings (of the same columns) around anchors
-    that another document has too, each a new string."""
+    that another document has too, each a new string.
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _chunks(batches):
-            row, at, code = anchors(part["text"].tolist(), width, gram)
-            sid, doc_id = (part[c].to_numpy()[row] for c in ("sid", "doc_id"))
-            yield pd.DataFrame({"sid": sid, "at": at, "anchor": code.view(np.int64), "doc_id": doc_id})
+    Anchors meet in buckets of their hashes, many in a row of packed numbers; where they are shared
+    goes back to the chunk that they come from. Of an anchor that several documents of a block have,
+    two places go to its bucket and the others straight back.
+    """
+    total, _, bits = _measured(found)
+    buckets = 1 + 2 * total // (width - gram + 2) // BUCKET_ROWS
 
-    marks = _written(
-        found.select("sid", "text", "doc_id").mapInPandas(mark, "sid long, at int, anchor long, doc_id long"),
-        "anchors",
-    )
-    shared = (
-        marks.groupBy("anchor")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .filter("first < last")
-        .select("anchor")
-    )
-    shared = _written(shared, "shared-anchors")
-    repeated = (
-        marks.join(small(shared, BROADCAST_ANCHORS), "anchor", "left_semi")
-        .groupBy("sid")
-        .agg(F.sort_array(F.collect_set("at")).alias("places"))
-    )
-    repeated = _written(repeated, "repeated-anchors")
-    discard(marks, shared)
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, size in _joined_texts(batches):
+            row, at, code = _anchors(data, size, width, gram)
+            if not len(at):
+                continue
+            sid, doc = part["sid"].to_numpy()[row], part["doc_id"].to_numpy()[row]
+            order = np.lexsort([doc, code])
+            sid, doc, at, code = sid[order], doc[order], at[order], code[order]
+            starts = np.r_[0, np.flatnonzero(code[1:] != code[:-1]) + 1]
+            count = np.diff(np.r_[starts, len(code)])
+            several = np.repeat(~_groups_in_one(doc, starts), count)
+            ends = np.zeros(len(code), dtype=bool)
+            ends[starts] = ends[starts + count - 1] = True
+            sure = several & ~ends
+            yield _sent(code[~sure] % np.uint64(buckets), sid[~sure], at[~sure], bits, {"anchor": code[~sure], "doc": doc[~sure]})
+            if sure.any():
+                back = _sent((sid[sure] >> bits) % buckets, sid[sure], at[sure], bits, {})
+                none = pa.nulls(len(back), pa.binary())
+                yield pa.RecordBatch.from_arrays([*back.columns, none, none], [*back.schema.names, "anchor", "doc"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        sure, table = table.filter(pa.compute.is_null(table["anchor"])), table.filter(pa.compute.is_valid(table["anchor"]))
+        known = sure.select(["chunk", "place"])
+        if not len(table):
+            return known
+        code, doc, place = _unpacked(table["anchor"], "u8"), _unpacked(table["doc"]), _unpacked(table["place"])
+        order = np.argsort(code, kind="stable")
+        starts = np.r_[0, np.flatnonzero(np.diff(code[order])) + 1]
+        several = ~_groups_in_one(doc[order], starts)
+        shared = np.empty(len(code), dtype=bool)
+        shared[order] = np.repeat(several, np.diff(np.r_[starts, len(code)]))
+        return pa.concat_tables([_answered(table, shared, {"place": place}), known])
+
+    def cut(strings: pa.Table, answers: pa.Table) -> pa.Table:
+        strings = strings.sort_by("sid")
+        _, row, at = _places(answers["place"], bits, strings)
+        source, doc, start = (strings[c].to_numpy() for c in ("source", "doc_id", "start"))
+        texts = strings["text"].to_pylist() if len(at) else []
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        low = np.maximum(at - (width - gram), 0)
+        high = np.minimum(at + width, size[row]) if len(at) else at
+        new = np.r_[True, (row[1:] != row[:-1]) | (low[1:] > high[:-1])][: len(at)]
+        first = np.flatnonzero(new)
+        last = np.r_[first[1:], len(at)][: len(first)] - 1
+        row, low, high = row[first], low[first], high[last]
+        parts = [texts[r][a:b] for r, a, b in zip(row.tolist(), low.tolist(), high.tolist())]
+        return pa.table(
+            {"source": source[row], "doc_id": doc[row], "start": start[row] + low, "text": pa.array(parts, pa.binary())}
+        )
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for source, doc_id, start, text, at in batch.itertuples(index=False):
-                low = np.maximum(at - (width - gram), 0)
-                high = np.minimum(at + width, len(text))
-                new = np.flatnonzero(low[1:] > high[:-1]) + 1
-                for a, b in zip(low[np.r_[0, new]].tolist(), high[np.r_[new - 1, len(at) - 1]].tolist()):
-                    rows.append((source, doc_id, start + a, text[a:b]))
-            yield pd.DataFrame(rows, columns=["source", "doc_id", "start", "text"])
-
-    parts = (
-        found.select("sid", "source", "doc_id", "start", "text")
-        .join(repeated, "sid")
-        .select("source", "doc_id", "start", "text", "places")
-        .mapInPandas(cut, STRETCH)
+    sent = found.select("sid", "text", "doc_id").mapInArrow(
+        mark, "bucket long, chunk long, place binary, anchor binary, doc binary"
     )
+    answers = _written(sent.groupBy("bucket").applyInArrow(compare, "chunk long, place binary"), "repeated-anchors")
+    own = found.select("sid", "source", "doc_id", "start", "text", _chunk(bits))
+    parts = own.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(cut, STRETCH)
     # An order of 2 ** 33 tasks and rows leaves room for the doubling of ids in the recursion.
     written = _written(parts.withColumn("sid", F.monotonically_increasing_id()), "stretches")
-    discard(repeated)
+    discard(answers)
     return written
 
 
+def _cuts(data: np.ndarray, size: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and place in it of ``cuts`` of texts of the given sizes, one behind the
+    other."""
+    gap = reach + GRAMS[0]  # so that no text sees another
+    begin = np.cumsum(size + gap) - size
+    row, at = _spread(size)
+    spot = begin[row] + at
+    padded = np.zeros(len(data) + gap * (len(size) + 1), dtype=np.uint8)
+    padded[spot] = data
+    code = np.full(len(padded), np.iinfo(np.uint64).max, dtype=np.uint64)
+    whole = at <= size[row] - GRAMS[0]
+    row, at, spot = row[whole], at[whole], spot[whole]
+    code[spot] = _mixed(_rolling(padded, GRAMS[0], FACTORS[0]))[spot]
+    least = _extremes(code, reach, np.minimum)
+    own = code[spot]
+    new = (own < least[spot - reach]) & (own <= least[spot + 1]) & (at > reach) & (size[row] > 2 * reach)
+    row, at = np.r_[np.arange(len(size)), row[new]], np.r_[np.zeros(len(size), dtype=np.int64), at[new]]
+    order = np.lexsort([at, row])
+    return row[order], at[order]
+
+
 def cuts(data: np.ndarray, reach: int = CUT_REACH) -> np.ndarray:
     """Where the pieces of a string start: at 0, and from ``reach`` on where a gram is smaller than
     all of ``reach`` before it and as small as all behind it. In a text that repeats with a period
     few are."""
-    if len(data) <= 2 * reach:
-        return np.zeros(1, dtype=np.int64)
-    code = _mixed(_rolling(data, GRAMS[0], FACTORS[0]))
-    high = np.full(reach, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded = np.concatenate([high, code, high])
-    least = padded[_least_at(padded, reach)]
-    before, behind = least[: len(code)], least[reach + 1 :][: len(code)]
-    at = np.flatnonzero((code < before) & (code <= behind))
-    return np.r_[0, at[at > reach]]
+    return _cuts(data, np.array([len(data)]), reach)[1]
 
 
 def places(found: DataFrame, width: int, reach: int = CUT_REACH) -> DataFrame:
@@ -265,20 +388,30 @@ def places(found: DataFrame, width: int, reach: int = CUT_REACH) -> DataFrame:
     ``core + width - 1`` bytes long.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for sid, source, doc_id, start, text in batch.itertuples(index=False):
-                last = len(text) - width + 1  # starts of whole strings
-                at = [int(x) for x in cuts(np.frombuffer(text, dtype=np.uint8), reach) if x < last] + [last]
-                for a, b in zip(at, at[1:]):
-                    value = xxhash.xxh3_128_intdigest(text[a : b + width - 1])
-                    halves = (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
-                    rows.append((sid, source, doc_id, start + a, a, b - a, *halves))
-            yield pd.DataFrame(rows, columns=PLACE.replace(" long", "").replace(" int", "").split(", "))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, size in _joined_texts(batches):
+            row, at = _cuts(data, size, reach)
+            last = size - width + 1  # starts of whole strings
+            row, at = row[at < last[row]], at[at < last[row]]
+            ends = np.r_[row[1:] != row[:-1], True][: len(at)]
+            core = np.where(ends, last[row], np.r_[at[1:], 0][: len(at)]) - at
+            begin = (np.cumsum(size) - size)[row] + at
+            text = memoryview(data)
+            codes = [
+                xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(begin.tolist(), (begin + core + width - 1).tolist())
+            ]
+            halves = np.frombuffer(b"".join(codes), dtype=">i8").reshape(-1, 2).astype(np.int64)
+            sid, source, doc_id, start = (part[c].to_numpy()[row] for c in ("sid", "source", "doc_id", "start"))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *map(pa.array, (sid, source, doc_id, start + at, at.astype(np.int32), core.astype(np.int32))),
+                    *map(pa.array, (halves[:, 0], halves[:, 1])),
+                ],
+                [column.split()[0] for column in PLACE.split(", ")],
+            )
 
     own = found.select("sid", "source", "doc_id", "start", "text")
-    return _written(own.mapInPandas(run, PLACE), "piece-places")
+    return _written(own.mapInArrow(run, PLACE), "piece-places")
 
 
 PLACE = "sid long, source long, doc_id long, start long, at int, core int, high long, low long"
@@ -293,18 +426,18 @@ def pieces(where: DataFrame) -> DataFrame:
 
 
 def piece_texts(found: DataFrame, own: DataFrame, width: int) -> DataFrame:
-    """sid and source (the piece), doc_id, start (0), text."""
+    """sid, source (the piece), doc_id, start (0), text. Numbers follow the order of the files, so that
+    texts read together are of few chunks."""
     first = own.select("piece", "first.*")
     held = found.select("sid", "text").join(first, "sid")
     text = F.substring(F.col("text"), F.col("at") + 1, F.col("core") + (width - 1))
     return _written(
         held.select(
-            F.col("piece").alias("sid"),
             F.col("piece").alias("source"),
             "doc_id",
             F.lit(0).cast("long").alias("start"),
             text.alias("text"),
-        ),
+        ).withColumn("sid", F.monotonically_increasing_id()),
         "piece-texts",
     )
 
@@ -542,26 +675,39 @@ def suffix_ranks(
     return _regrouped(ordered), [table]
 
 
-def _joined_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows whose texts have about CHUNK bytes together, the bytes, and the sizes of the texts."""
-    for batch in batches:
-        size = np.asarray(pa.compute.binary_length(batch["text"]), dtype=np.int64)
-        ends = np.flatnonzero(np.diff(np.cumsum(size) // CHUNK, append=-1)) + 1
-        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
-            part = batch.slice(a, b - a)
-            data = np.frombuffer(b"".join(part["text"].to_pylist()), dtype=np.uint8)
-            yield part, data, size[a:b]
+def _words(held: np.ndarray) -> list[np.ndarray]:
+    """Numbers of eight bytes each of every string, which sort as the strings do, the last first."""
+    n, wide = held.shape
+    full = np.zeros((n, -(-wide // 8) * 8), dtype=np.uint8)
+    full[:, :wide] = held
+    return list(full.view(">u8").astype(np.uint64).T[::-1])
 
 
-def _spread(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the row and place in it of as many places as each row has."""
-    row = np.repeat(np.arange(len(count)), count)
-    return row, np.arange(len(row)) - (np.cumsum(count) - count)[row]
+def _borders(parts: DataFrame, width: int, total: int) -> np.ndarray:
+    """Strings of ``width`` - 2 bytes between which ranges of about RANGE_ROWS strings are cut, from
+    a sample of SAMPLED for each range."""
+    wide, ranges = width - 2, 1 + total // RANGE_ROWS
+    step = max(1, total // (ranges * SAMPLED))
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for _, data, size in _joined_texts(batches):
+            row, at = _spread(np.maximum(size - wide + 1, 0))
+            drawn = slice(-n % step, None, step)
+            n += len(at)
+            spot = (np.cumsum(size) - size)[row[drawn]] + at[drawn]
+            if len(spot):
+                held = np.lib.stride_tricks.sliding_window_view(data, wide)[spot]
+                yield pa.RecordBatch.from_arrays([_packed(held, np.arange(1, len(held) + 1))], ["key"])
+
+    found = parts.select("text").mapInArrow(sample, "key binary").toArrow()["key"].to_pylist()
+    keys = np.sort(np.array(found, dtype=f"S{wide}"))
+    return np.unique(keys[np.arange(1, ranges) * len(keys) // ranges]) if len(keys) else keys
 
 
-def _cover(parts: DataFrame, width: int) -> DataFrame:
-    """sid, doc_id, text, symbols: the names of the strings of ``width`` - 2 bytes that start at
-    places 1 and 2 modulo 3, as far as whole strings look at them. Equal ones have equal names."""
+def _cover(parts: DataFrame, width: int, bits: int, borders: np.ndarray) -> DataFrame:
+    """chunk, place, name: the names of the strings of ``width`` - 2 bytes that start at places 1
+    and 2 modulo 3, as far as whole strings look at them. Equal ones have equal names."""
     wide = width - 2
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -569,44 +715,23 @@ def _cover(parts: DataFrame, width: int) -> DataFrame:
             row, at = _spread(np.maximum(size - wide + 1, 0))
             row, at = row[at % 3 > 0], at[at % 3 > 0]
             if len(at):
-                held = np.lib.stride_tricks.sliding_window_view(data, wide)
-                begin, sid = np.cumsum(size) - size, part["sid"].to_numpy()
-                for k in range(0, len(at), 100_000):
-                    r, a = row[k : k + 100_000], at[k : k + 100_000]
-                    ends = pa.py_buffer(np.arange(0, wide * len(a) + 1, wide, dtype=np.int32))
-                    texts = pa.py_buffer(held[begin[r] + a].tobytes())
-                    key = pa.Array.from_buffers(pa.binary(), len(a), [None, ends, texts])
-                    yield pa.RecordBatch.from_arrays(
-                        [key, pa.array(sid[r]), pa.array(a.astype(np.int32))], ["key", "sid", "at"]
-                    )
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, name, last = 0, 0, b""
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = np.frombuffer(b"".join(batch["key"].to_pylist()), dtype=np.dtype((np.void, wide)))
-            new = np.r_[key[0].tobytes() != last, key[1:] != key[:-1]]
-            k = np.maximum.accumulate(np.where(new, np.arange(n, n + len(key)), name))
-            n, name, last = n + len(key), int(k[-1]), key[-1].tobytes()
-            part = pa.array(np.full(len(key), _part(), dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch["sid"], batch["at"], part, pa.array(k)], ["sid", "at", "part", "k"]
-            )
-
-    found = parts.select("sid", "text").mapInArrow(keys, "key binary, sid long, at int")
-    ranged = found.repartitionByRange(_ranges(parts, width), "key").sortWithinPartitions("key")
-    names, table = _placed(ranged.mapInArrow(number, "sid long, at int, part int, k long"), "sid at")
-    covered = parts.select("sid", "doc_id", "text").join(_regrouped(names), "sid")
-    written = _written(covered, "covered")
-    discard(table)
-    return written
+                held = np.lib.stride_tricks.sliding_window_view(data, wide)[(np.cumsum(size) - size)[row] + at]
+                bucket = np.searchsorted(borders, held.view(f"S{wide}")[:, 0], "right")
+                yield _sent(bucket, part["sid"].to_numpy()[row], at, bits, {"key": held})
 
+    def named(key: tuple, table: pa.Table) -> pa.Table:
+        words = _words(_unpacked(table["key"], "u1").reshape(-1, wide))
+        order = np.lexsort(words)
+        new = np.zeros(len(order), dtype=bool)
+        for word in words:
+            word = word[order]
+            new[1:] |= word[1:] != word[:-1]
+        name = np.empty(len(order), dtype=np.int64)
+        name[order] = np.cumsum(new) + (key[0].as_py() + 1 << PLACE_BITS)
+        return _answered(table, None, {"place": _unpacked(table["place"]), "name": name})
 
-def _ranges(parts: DataFrame, width: int) -> int:
-    """Ranges that whole strings are sorted in."""
-    total = parts.agg(F.sum(F.octet_length("text") - (width - 1))).first()[0] or 0
-    return 1 + total // RANGE_ROWS
+    sent = parts.select("sid", "text").mapInArrow(keys, "bucket long, chunk long, place binary, key binary")
+    return _written(sent.groupBy("bucket").applyInArrow(named, "chunk long, place binary, name binary"), "covered")
 
 
 def _first_bytes(held: np.ndarray, kind: str) -> np.ndarray:
@@ -615,47 +740,56 @@ def _first_bytes(held: np.ndarray, kind: str) -> np.ndarray:
     return np.ascontiguousarray(held[:, : np.dtype(kind).itemsize]).view(f">{kind}")[:, 0].astype(kind) ^ low
 
 
-def _late_rows(parts: DataFrame, width: int) -> DataFrame:
-    """sid, at: the late starts among strings of up to DIRECT bytes."""
-    covered = _cover(parts, width)
-
-    def strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, size in _joined_texts(batches):
-            count = size - width + 3  # places that have a name or stand between such
-            row, at = _spread(count)
-            rank = np.zeros(len(at), dtype=np.int64)
-            rank[at % 3 > 0] = part["symbols"].flatten().to_numpy()
-            whole = np.flatnonzero(at < count[row] - 2)
-            held = np.lib.stride_tricks.sliding_window_view(data, width)
-            begin, sid, doc_id = np.cumsum(size) - size, part["sid"].to_numpy(), part["doc_id"].to_numpy()
-            for i in (whole[k : k + 100_000] for k in range(0, len(whole), 100_000)):
-                own, kind = held[begin[row[i]] + at[i]], at[i] % 3
-                out = {
-                    "p": _first_bytes(own, "i8"),
-                    "q": _first_bytes(own[:, 8:], "i4"),
-                    "u": np.where(kind == 0, rank[i + 1], rank[i]),
-                    "v": np.where(kind == 1, rank[i + 1], rank[i + 2]),
-                    "sid": sid[row[i]],
-                    "at": at[i].astype(np.int32),
-                    "e": own[:, -2].astype(np.int32) << 8 | own[:, -1],
-                    "doc_id": doc_id[row[i]],
-                }
-                yield pa.RecordBatch.from_pydict(out)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = _all_rows(batches)
-        if rows is None:
-            return
-        kind, u, v = rows["at"].to_numpy() % 3, rows["u"].to_numpy(), rows["v"].to_numpy()
-        first = rows["p"].to_numpy() ^ np.iinfo("i8").min
+def _late_spans(parts: DataFrame, width: int) -> DataFrame:
+    """sid, at, length: neighbouring late starts among strings of up to DIRECT bytes."""
+    total, rows, bits = _measured(parts)
+    total -= rows * (width - 1)
+    borders = _borders(parts, width, total)
+    names = _cover(parts, width, bits, borders)
+    values = {"first": "i8", "u": "i8", "v": "i8", "e": "i4", "doc": "i8"}
+
+    def strings_of(texts: pa.Table, covered: pa.Table) -> pa.Table:
+        texts = texts.sort_by("sid")
+        order, _, _ = _places(covered["place"], bits, texts)
+        name = _unpacked(covered["name"])[order]
+        sid, doc = texts["sid"].to_numpy(), texts["doc_id"].to_numpy()
+        held = texts["text"].to_pylist()
+        data = np.frombuffer(b"".join(held), dtype=np.uint8)
+        size = np.array([len(t) for t in held], dtype=np.int64)
+        count = size - width + 3  # places that have a name or stand between such
+        row, at = _spread(count)
+        rank = np.zeros(len(at), dtype=np.int64)
+        rank[at % 3 > 0] = name
+        spot = np.flatnonzero(at < count[row] - 2)
+        begin, sent = np.cumsum(size) - size, []
+        for i in (spot[k : k + 200_000] for k in range(0, len(spot), 200_000)):
+            own = np.lib.stride_tricks.sliding_window_view(data, width)[begin[row[i]] + at[i]]
+            kind = at[i] % 3
+            key = np.ascontiguousarray(own[:, : width - 2]).view(f"S{width - 2}")[:, 0]
+            ends = {
+                "first": _first_bytes(own, "i8") ^ np.iinfo("i8").min,
+                "u": np.where(kind == 0, rank[i + 1], rank[i]),
+                "v": np.where(kind == 1, rank[i + 1], rank[i + 2]),
+                "e": own[:, -2].astype(np.int32) << 8 | own[:, -1],
+                "doc": doc[row[i]],
+            }
+            sent.append(_sent(np.searchsorted(borders, key, "right"), sid[row[i]], at[i], bits, ends))
+        names = ["bucket", "chunk", "place", *values]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * (1 + len(values))]
+        return pa.Table.from_batches(sent, schema=pa.schema(list(zip(names, kinds))))
+
+    def run(table: pa.Table) -> pa.Table:
+        place = _unpacked(table["place"])
+        first, u, v, e, doc = (_unpacked(table[name], kind) for name, kind in values.items())
+        kind = (place & (1 << PLACE_BITS) - 1) % 3
         ranks = {
             "r0": np.where(kind == 0, 0, u),
             "r1": np.select([kind == 0, kind == 1], [u, v], 0),
             "r2": np.where(kind == 1, 0, v),
         }
-        ends = {"s": first >> 56 & 255, "t": first >> 48 & 255, "e1": rows["e"] & 255, "e2": rows["e"]}
+        ends = {"s": first >> 56 & 255, "t": first >> 48 & 255, "e1": e & 255, "e2": e}
         order = np.argsort(merged(pd.DataFrame({"kind": kind} | ranks | ends)))
-        kind, p, e, doc = (x[order] for x in (kind, first, rows["e"].to_numpy(), rows["doc_id"].to_numpy()))
+        kind, p, e, doc = (x[order] for x in (kind, first, e, doc))
         r0, r1, r2 = (ranks[c][order] for c in ("r0", "r1", "r2"))
         # Names after the shift that puts both into the cover; first and last bytes do the rest.
         a, b = kind[1:], kind[:-1]
@@ -665,14 +799,25 @@ def _late_rows(parts: DataFrame, width: int) -> DataFrame:
         equal &= np.choose(shift, [r[1:] == r[:-1] for r in (r0, r1, r2)])
         starts = np.r_[0, np.flatnonzero(~equal) + 1]
         least = np.minimum.reduceat(doc, starts)
-        late = doc > np.repeat(least, np.diff(np.r_[starts, len(doc)]))
-        yield rows.iloc[order[late]][["sid", "at"]]
-
-    columns = "p long, q int, u long, v long, sid long, at int, e int, doc_id long"
-    rows = covered.mapInArrow(strings_of, columns).repartitionByRange(_ranges(parts, width), "p", "q")
-    late = _written(rows.mapInPandas(run, "sid long, at int"), "late-rows")
-    discard(covered)
-    return late
+        late = np.empty(len(order), dtype=bool)
+        late[order] = doc > np.repeat(least, np.diff(np.r_[starts, len(doc)]))
+        return _answered(table, late, {"place": place})
+
+    def joined(key: tuple, table: pa.Table) -> pa.Table:
+        place = np.sort(_unpacked(table["place"]))
+        new = np.flatnonzero(np.r_[True, np.diff(place) > 1])
+        size = np.diff(np.r_[new, len(place)])
+        sid = (key[0].as_py() << bits) + (place[new] >> PLACE_BITS)
+        at = place[new] & (1 << PLACE_BITS) - 1
+        return pa.table({"sid": sid, "at": at, "length": size.astype(np.int32)})
+
+    own = parts.select("sid", "doc_id", "text", _chunk(bits))
+    columns = ", ".join(["bucket long, chunk long, place binary", *[f"{name} binary" for name in values]])
+    sent = own.groupBy("chunk").cogroup(names.groupBy("chunk")).applyInArrow(strings_of, columns)
+    late = sent.groupBy("bucket").applyInArrow(run, "chunk long, place binary")
+    written = _written(late.groupBy("chunk").applyInArrow(joined, "sid long, at long, length int"), "late-rows")
+    discard(names)
+    return written
 
 
 def _late_rows_by_names(parts: DataFrame, width: int) -> DataFrame:
@@ -701,16 +846,30 @@ def _late_rows_by_names(parts: DataFrame, width: int) -> DataFrame:
     return late
 
 
+def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """sid, at, length: neighbouring places joined."""
+    for batch in batches:
+        for sid, found in zip(batch["sid"], batch["places"]):
+            at = np.unique(np.asarray(found, dtype=np.int64))
+            new = np.flatnonzero(np.r_[True, np.diff(at) > 1])
+            yield pd.DataFrame({"sid": sid, "at": at[new], "length": np.diff(np.r_[new, len(at)])})
+
+
 def repeats(parts: DataFrame, width: int = WIDTH) -> DataFrame:
-    """piece, starts: where strings of ``width`` bytes start that a piece of a smaller document
-    also has."""
-    found = (_late_rows if width <= DIRECT else _late_rows_by_names)(parts, width)
+    """piece, late (start, length): where strings of ``width`` bytes start that a piece of a smaller
+    document also has."""
+    if width <= DIRECT:
+        found = _late_spans(parts, width)
+        spans, tables = found, [found]
+    else:
+        found = _late_rows_by_names(parts, width)
+        rows = found.groupBy("sid").agg(F.collect_list("at").alias("places"))
+        spans, tables = rows.mapInPandas(_spans, "sid long, at long, length int"), [found]
     own = parts.select("sid", F.col("source").alias("piece"), "start")
-    places = found.groupBy("sid").agg(F.collect_list("at").alias("places")).join(own, "sid")
-    starts = F.transform("places", lambda x: x + F.col("start"))
-    grouped = places.select("piece", starts.alias("starts")).groupBy("piece")
-    written = _written(grouped.agg(F.flatten(F.collect_list("starts")).alias("starts")), "late-starts")
-    discard(found)
+    span = F.struct((F.col("at") + F.col("start")).alias("start"), "length")
+    grouped = spans.join(own, "sid").groupBy("piece").agg(F.collect_list(span).alias("late"))
+    written = _written(grouped, "late-starts")
+    discard(*tables)
     return written
 
 
@@ -718,18 +877,6 @@ SPANS = "array<struct<start:int,length:int>>"
 STARTS = "array<struct<start:long,length:int>>"
 
 
-def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """piece, late (start, length): neighbouring starts joined."""
-    for batch in batches:
-        spans = []
-        for starts in batch["starts"]:
-            at = np.unique(np.asarray(starts, dtype=np.int64))
-            new = np.flatnonzero(np.r_[True, np.diff(at) > 1])
-            size = np.diff(np.r_[new, len(at)])
-            spans.append([{"start": int(a), "length": int(n)} for a, n in zip(at[new], size)])
-        yield pd.DataFrame({"piece": batch["piece"], "late": spans})
-
-
 def late_spans(
     found: DataFrame,
     width: int,
@@ -754,7 +901,7 @@ def late_spans(
     else:
         parts = stretches(texts, width, GRAMS[-1])
         discard(texts)
-        late = repeats(parts, width).mapInPandas(_spans, f"piece long, late {STARTS}")
+        late = repeats(parts, width)
         discard(parts)
     first = own.select("piece", "high", "low", "n", F.col("first.doc_id").alias("smallest"))
     wanted = first.join(late, "piece", "left").filter("n > 1 or late is not null")
